@@ -2,6 +2,30 @@
 
 from __future__ import annotations
 
+_P1 = """
+c AS (SELECT DISTINCT candidate_no, candidate_type,
+        CASE WHEN candidate_type = 'concept' THEN coalesce(name, '') || ' ' || description ELSE statement END AS said FROM candidate),
+s AS (SELECT candidate_no, candidate_type, list_distinct(regexp_extract_all(lower(said), '[\\p{L}\\p{N}]+')) AS words
+      FROM c WHERE said IS NOT NULL),
+w AS (SELECT candidate_no, candidate_type, len(words) AS n, unnest(words) AS word FROM s),
+j AS (SELECT a.candidate_type, a.candidate_no AS x, b.candidate_no AS y, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS m
+      FROM w a JOIN w b ON a.word = b.word AND a.candidate_type = b.candidate_type AND a.candidate_no < b.candidate_no GROUP BY ALL),
+p AS (SELECT candidate_type, x, y, na, nb, m FROM j WHERE 10 * m >= 6 * (na + nb - m))
+"""
+
+P1_FOUND = f"WITH {_P1} SELECT x AS candidate_no_a, y AS candidate_no_b FROM p"
+
+P1_GROUPS = f"""WITH RECURSIVE {_P1},
+cls AS (SELECT candidate_no, candidate_type, min(candidate_no) OVER (PARTITION BY candidate_type, list_sort(words)) AS class_id FROM s WHERE len(words) > 0),
+e AS (SELECT x AS a, y AS b FROM p UNION SELECT y, x FROM p),
+reach AS (SELECT candidate_no AS a, candidate_no AS b FROM cls UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
+g AS (SELECT a AS candidate_no, min(b) AS group_id FROM reach GROUP BY a),
+l AS (SELECT ca.class_id, count(DISTINCT cb.class_id) AS links FROM e JOIN cls ca ON ca.candidate_no = e.a JOIN cls cb ON cb.candidate_no = e.b
+      WHERE ca.class_id <> cb.class_id GROUP BY 1)
+SELECT cls.candidate_type, cls.candidate_no, cls.class_id, g.group_id, coalesce(l.links, 0) AS links
+FROM cls JOIN g USING (candidate_no) LEFT JOIN l USING (class_id)
+"""
+
 P2_FOUND = """
 WITH RECURSIVE r AS (
   SELECT DISTINCT object_type, internal_id, lower(trim(internal_id)) AS k, nullif(lower(trim(merged_into)), '') AS t FROM (
@@ -20,4 +44,4 @@ SELECT have.object_type, have.internal_id, g.group_id FROM have JOIN g USING (ob
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND}
+    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND}

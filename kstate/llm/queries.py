@@ -9,9 +9,26 @@ from pyspark.sql import functions as F
 
 from kstate.llm.lookalikes import look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
+from kstate.llm.near_duplicates import expand_pairs, near_duplicate_groups, near_duplicates
 from kstate.runtime import table
 
 
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "candidate")
+    said = F.when(F.col("candidate_type") == "concept", F.concat(F.coalesce("name", F.lit("")), F.lit(" "), "description")).otherwise(F.col("statement"))
+    return c.select("candidate_no", F.col("candidate_type").alias("kind"), said.alias("text"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, pairs = near_duplicates(_candidates(spark, sf_dir), key="candidate_no")
+    return expand_pairs(members, pairs, "candidate_no")
+
+
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, pairs = near_duplicates(_candidates(spark, sf_dir), key="candidate_no")
+    return near_duplicate_groups(members, pairs, "candidate_no").withColumnRenamed("kind", "candidate_type")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = None
     for kind in ("concept", "claim"):
@@ -29,4 +46,4 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found}
