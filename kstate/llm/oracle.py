@@ -43,5 +43,26 @@ SELECT have.object_type, have.internal_id, g.group_id FROM have JOIN g USING (ob
 """
 
 
+_P6 = """
+i AS (SELECT DISTINCT item_id, suite, lower(nfc_normalize(text)) AS t, substr(lower(lang), 1, 2) IN ('zh', 'ja') AS by_sign FROM eval_item),
+d AS (SELECT DISTINCT doc_id, lower(nfc_normalize(text)) AS t FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT item_id, by_sign, CASE WHEN by_sign THEN 20 ELSE 12 END AS n,
+         CASE WHEN by_sign THEN regexp_extract_all(t, '[\\p{L}\\p{N}]') ELSE regexp_extract_all(t, '[\\p{L}\\p{N}]+') END AS w FROM i),
+ik AS (SELECT DISTINCT item_id, by_sign, array_to_string(list_slice(w, k, k + n - 1), ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM iw WHERE len(w) >= n)),
+dw AS (SELECT doc_id, false AS by_sign, 12 AS n, regexp_extract_all(t, '[\\p{L}\\p{N}]+') AS w FROM d
+       UNION ALL SELECT doc_id, true, 20, regexp_extract_all(t, '[\\p{L}\\p{N}]') FROM d WHERE regexp_matches(t, '[\\p{Han}\\p{Hiragana}\\p{Katakana}]')),
+dk AS (SELECT doc_id, by_sign, k, array_to_string(list_slice(w, k, k + n - 1), ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM dw WHERE len(w) >= n)),
+f AS (SELECT doc_id, item_id, count(*) AS windows FROM dk JOIN ik USING (by_sign, win) GROUP BY ALL)
+"""
+
+P6_FOUND = f"WITH {_P6} SELECT doc_id, item_id FROM f"
+
+P6_ITEMS = f"""WITH {_P6}
+SELECT i.item_id, i.suite, count(f.doc_id) AS documents, CAST(coalesce(sum(f.windows), 0) AS BIGINT) AS windows FROM i LEFT JOIN f USING (item_id) GROUP BY ALL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND}
+    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS}

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kstate.llm.leakage import leaked_items
 from kstate.llm.lookalikes import look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
 from kstate.llm.near_duplicates import expand_pairs, near_duplicate_groups, near_duplicates
+from kstate.llm.sentences import sentence_units
 from kstate.runtime import table
 
 
@@ -45,5 +47,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alike_pairs(rows)
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+    return found.filter("exact_windows > 0").select("doc_id", "item_id")
+
+
+def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which test items leaked, and into how many documents."""
+    items = table(spark, sf_dir, "eval_item").select("item_id", "suite").distinct()
+    found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+    n = found.groupBy("item_id").agg(F.count_if("exact_windows > 0").alias("documents"), F.sum("exact_windows").alias("windows"))
+    return items.join(n, "item_id", "left").na.fill(0)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_units(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found}
