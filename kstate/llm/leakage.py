@@ -196,6 +196,8 @@ def leaked_items(
 
 
 def _searcher(indexes: list[ItemIndex], least: float):
+    names = ["doc_id", "item_id", "windows", "exact_windows", "similarity"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):

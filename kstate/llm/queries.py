@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kstate.llm.canonical_match import UNMATCHED, map_to_canonical
 from kstate.llm.leakage import leaked_items
 from kstate.llm.lookalikes import look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
@@ -47,6 +48,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alike_pairs(rows)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = map_to_canonical(table(spark, sf_dir, "resolution"), table(spark, sf_dir, "catalog_concept"))
+    return found.select("candidate_no", "internal_id")
+
+
+def p4_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed values that mean no entry of the reference list, and how many rows carry them."""
+    found = map_to_canonical(table(spark, sf_dir, "resolution"), table(spark, sf_dir, "catalog_concept"))
+    return found.filter(F.col("internal_id") == UNMATCHED).groupBy("candidate_name").agg(F.count("*").alias("n"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
     return found.filter("exact_windows > 0").select("doc_id", "item_id")
@@ -56,7 +68,7 @@ def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which test items leaked, and into how many documents."""
     items = table(spark, sf_dir, "eval_item").select("item_id", "suite").distinct()
     found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
-    n = found.groupBy("item_id").agg(F.count_if("exact_windows > 0").alias("documents"), F.sum("exact_windows").alias("windows"))
+    n = found.groupBy("item_id").agg(F.count_if(F.col("exact_windows") > 0).alias("documents"), F.sum("exact_windows").alias("windows"))
     return items.join(n, "item_id", "left").na.fill(0)
 
 
@@ -65,4 +77,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found}
