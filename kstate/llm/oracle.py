@@ -43,6 +43,12 @@ SELECT have.object_type, have.internal_id, g.group_id FROM have JOIN g USING (ob
 """
 
 
+P5_FOUND = """
+SELECT DISTINCT m.run_id, u.unit_no FROM synthesis_manifest m
+JOIN normalized_unit u ON u.source_version_uri = 'kst-source:' || m.source_id || '@' || m.snapshot_id
+WHERE length(u.text) > m.max_input_chars
+"""
+
 _P6 = """
 i AS (SELECT DISTINCT item_id, suite, lower(nfc_normalize(text)) AS t, substr(lower(lang), 1, 2) IN ('zh', 'ja') AS by_sign FROM eval_item),
 d AS (SELECT DISTINCT doc_id, lower(nfc_normalize(text)) AS t FROM documents WHERE text IS NOT NULL),
@@ -65,4 +71,4 @@ SELECT i.item_id, i.suite, count(f.doc_id) AS documents, CAST(coalesce(sum(f.win
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS}
+    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND, "p5_found": P5_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS}

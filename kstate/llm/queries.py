@@ -12,6 +12,7 @@ from kstate.llm.leakage import leaked_items
 from kstate.llm.lookalikes import look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
 from kstate.llm.near_duplicates import expand_pairs, near_duplicate_groups, near_duplicates
+from kstate.llm.packing import pack
 from kstate.llm.sentences import sentence_units
 from kstate.runtime import table
 
@@ -59,6 +60,34 @@ def p4_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter(F.col("internal_id") == UNMATCHED).groupBy("candidate_name").agg(F.count("*").alias("n"))
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = table(spark, sf_dir, "normalized_unit").select(F.col("source_version_uri").alias("bag"), F.col("unit_no").alias("item"), F.length("text").alias("size"))
+    bag = F.concat(F.lit("kst-source:"), "source_id", F.lit("@"), "snapshot_id")
+    runs = table(spark, sf_dir, "synthesis_manifest").select(
+        F.col("run_id").alias("run"), bag.alias("bag"), F.col("max_input_chars").alias("capacity"), F.col("max_batch_units").alias("slots")
+    )
+    return pack(units, runs)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir).filter("pieces > 1").select(F.col("run").alias("run_id"), F.col("item").alias("unit_no")).distinct()
+
+
+def p5_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch of every unit, or of every piece of a divided one."""
+    return _packed(spark, sf_dir).select(
+        F.col("run").alias("run_id"), F.col("container").alias("batch_no"), F.col("item").alias("unit_no"), "piece", F.col("start").alias("piece_start"), F.col("size").alias("piece_chars")
+    )
+
+
+def p5_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of each run, beside the number no packing can go below."""
+    b = _packed(spark, sf_dir).groupBy(F.col("run").alias("run_id")).agg(F.countDistinct("container").alias("batches"), F.sum("size").alias("chars"), F.countDistinct("item").alias("units"))
+    m = table(spark, sf_dir, "synthesis_manifest").select("run_id", "max_input_chars", "max_batch_units").distinct()
+    least = F.greatest(F.ceil(F.col("chars") / F.col("max_input_chars")), F.ceil(F.col("units") / F.col("max_batch_units")))
+    return b.join(m, "run_id").select("run_id", "units", "chars", "batches", least.alias("least_batches"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
     return found.filter("exact_windows > 0").select("doc_id", "item_id")
@@ -77,4 +106,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found}
