@@ -11,6 +11,7 @@ from kstate.llm.canonical_match import UNMATCHED, map_to_canonical
 from kstate.llm.leakage import leaked_items
 from kstate.llm.lookalikes import look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
+from kstate.llm.mixture import mix, shares
 from kstate.llm.near_duplicates import expand_pairs, near_duplicate_groups, near_duplicates
 from kstate.llm.packing import pack
 from kstate.llm.sentences import sentence_units
@@ -101,9 +102,19 @@ def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(n, "item_id", "left").na.fill(0)
 
 
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents chosen for each source, with the number of uses."""
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return shares(p7_mix(spark, sf_dir), table(spark, sf_dir, "mix_target"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_units(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
