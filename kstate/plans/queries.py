@@ -474,12 +474,15 @@ def _no_relations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], A.SCHEMAS["relation"])
 
 
-def relation_operations(spark: SparkSession, d: str) -> DataFrame:
-    return P.plan_relations(relation_candidates(spark, d), concept_operations(spark, d), _no_relations(spark), _decisions(spark, d))
+def relation_operations(spark: SparkSession, d: str, concepts: DataFrame | None = None) -> DataFrame:
+    concepts = cut(concept_operations(spark, d)) if concepts is None else concepts
+    return P.plan_relations(relation_candidates(spark, d), concepts, _no_relations(spark), _decisions(spark, d))
 
 
 def operation_log(spark: SparkSession, d: str) -> DataFrame:
-    return P.number_operations([concept_operations(spark, d), summary_operations(spark, d), claim_operations(spark, d), relation_operations(spark, d)])
+    concepts = cut(concept_operations(spark, d))
+    parts = [concepts, cut(summary_operations(spark, d)), cut(claim_operations(spark, d)), cut(relation_operations(spark, d, concepts))]
+    return cut(P.number_operations(parts))
 
 
 def _shown(o: DataFrame) -> DataFrame:
@@ -553,7 +556,7 @@ def _state(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def compiled(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    log = cut(operation_log(spark, d))
+    log = operation_log(spark, d)
     state, results = A.apply_operations(_state(spark, d), A.translate(log))
     return state, log, results
 
