@@ -50,13 +50,14 @@ def distance(a: str, b: str, most: int) -> tuple[int, float] | None:
     if abs(len(a) - len(b)) > most:
         return None
     far = (most + 1, most + 1.0)
+    before = 0
     two: list = []
     one = [(j, j * 1.0) if j <= most else far for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
         row = [far] * (len(b) + 1)
         if i <= most:
             row[0] = (i, i * 1.0)
-        low = most + 1
+        low = row[0][0]
         for j in range(max(1, i - most), min(len(b), i + most) + 1):
             y = b[j - 1]
             if x == y:
@@ -73,8 +74,10 @@ def distance(a: str, b: str, most: int) -> tuple[int, float] | None:
                 best = min(best, (e + 1, w + 0.7))
             row[j] = best
             low = min(low, best[0])
-        if low > most:
+        # a swap reaches back two rows, so both must be out of reach
+        if low > most and before > most:
             return None
+        before = low
         two, one = one, row
     return one[-1] if one[-1][0] <= most else None
 
