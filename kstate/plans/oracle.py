@@ -248,7 +248,7 @@ WITH e AS (SELECT run_id, candidate_no, unnest(evidence_anchors) AS a, generate_
 SELECT run_id, count(*) AS anchors, md5(string_agg(a, chr(10) ORDER BY k)) AS order_md5 FROM f GROUP BY run_id"""
     q["merge_lineage"] = f"""
 WITH RECURSIVE c AS ({_latest('concept')}), l AS (SELECT internal_id, merged_into FROM c WHERE merged_into > internal_id AND merged_into IN (SELECT internal_id FROM c)),
-w AS (SELECT internal_id, merged_into AS at FROM l UNION ALL SELECT w.internal_id, l.merged_into FROM w JOIN l ON l.internal_id = w.at)
-SELECT internal_id, max(at) AS survivor FROM w GROUP BY internal_id"""
+w AS (SELECT internal_id, merged_into AS cur FROM l UNION ALL SELECT w.internal_id, l.merged_into FROM w JOIN l ON l.internal_id = w.cur)
+SELECT internal_id, max(cur) AS survivor FROM w GROUP BY internal_id"""
     q["token_sets"] = f"SELECT candidate_no, len(t) AS tokens, md5(array_to_string(list_sort(t), ' ')) AS tokens_md5 FROM (SELECT candidate_no, {tok('description')} AS t FROM ({CAND}) WHERE candidate_type = 'concept' AND description IS NOT NULL)"
     return q
