@@ -2,17 +2,19 @@
 
 Two permutations of the 32-bit universe generate every signature coordinate: the first scatters the
 hashed words, the second is applied after a circular shift by k and gives coordinate k as the minimum
-over the record's words. Coordinates are banded; records that agree in a band become candidates if
-their sizes and a 128-bit sketch (one bit a coordinate) allow the threshold; the exact Jaccard
-similarity of the word sets decides.
+over the record's words. Coordinates are banded; records that agree in a band become candidates if a
+128-bit sketch (a bit of each of 128 coordinates) allows the threshold, and the exact Jaccard similarity of
+their word sets decides.
 
 With the default 96 bands of 5 coordinates a pair at similarity 0.6 meets in a band with probability
-0.9996 and survives the sketch with 0.99997; at 0.7 both are 1 - 1e-6 or better. Unrelated records of
-similarity 0.1 meet with probability 0.001.
+0.9996, at 0.65 with 0.99999; a pair at 0.1 with 0.001. The sketch keeps a pair at the threshold with
+0.99997. A band key of no more bits than the number of classes needs, the sketch and the representative's
+key are shuffled, 96 times a class of equal word sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 from kstate.llm.components import connected_components
 from kstate.runtime import cut
 
+SKETCH = 128
 WORD = r"[\p{L}\p{N}]+"
-SKETCH_BITS = 128
 
 
 def words(text: Column) -> Column:
@@ -62,7 +64,7 @@ def circulant_minhash(hashes: np.ndarray, starts: np.ndarray, coordinates: int)
     return out.T
 
 
-def _bands(bands: int, rows: int):
+def _bands(bands: int, rows: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
@@ -71,23 +73,19 @@ def _bands(bands: int, rows: int):
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = np.array(lists.value_lengths().to_pylist(), dtype=np.int64)
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                sig = circulant_minhash(flat, starts, bands * rows)
-                key = np.full((len(sizes), bands), 0x9E3779B97F4A7C15, dtype=np.uint64)
-                key += np.arange(bands, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+                sig = circulant_minhash(flat, starts, max(bands * rows, SKETCH))
+                # the kind is part of every key, so kinds never meet
+                key = np.repeat(b.column(2).to_numpy().astype(np.int64).view(np.uint64)[:, None], bands, axis=1)
                 for r in range(rows):
-                    key ^= sig[:, r::rows][:, :bands].astype(np.uint64)
+                    key ^= sig[:, r : bands * rows : rows].astype(np.uint64)
                     key *= np.uint64(0xFF51AFD7ED558CCD)
                     key ^= key >> np.uint64(29)
-                key ^= b.column(2).to_numpy().astype(np.int64).view(np.uint64)[:, None] * np.uint64(0x9FB21C651E98DF25)
-                step = max(1, bands * rows // SKETCH_BITS)
-                bits = (sig[:, : step * SKETCH_BITS : step] >> np.uint32(7)).astype(np.uint8) & 1
-                if bits.shape[1] < SKETCH_BITS:
-                    bits = np.pad(bits, ((0, 0), (0, SKETCH_BITS - bits.shape[1])))
-                sketch = np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.int64)
-                rep = lambda x: pa.array(np.repeat(x, bands))
+                key = (key >> np.uint64(64 - bits)) | (np.arange(bands, dtype=np.uint64) << np.uint64(bits))
+                signs = np.ascontiguousarray((sig[:, :SKETCH] >> np.uint32(7)).astype(np.uint8) & 1)
+                sketch = np.packbits(signs, axis=1).copy().view(np.int64)
+                each = lambda x: pa.array(np.repeat(x, bands))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.reshape(-1).view(np.int64)), rep(b.column(0).to_numpy()), rep(sizes.astype(np.int32)), rep(sketch[:, 0]), rep(sketch[:, 1])],
-                    names=["band", "rep", "n", "s1", "s2"],
+                    [pa.array(key.reshape(-1).view(np.int64)), each(b.column(0).to_numpy()), each(sketch[:, 0]), each(sketch[:, 1])], names=["band", "rep", "s1", "s2"]
                 )
 
     return run
@@ -105,36 +103,41 @@ def near_duplicates(
     Rows with null key, kind or text, and texts without any word, take no part; a row delivered
     twice counts once; other columns are ignored; texts are used whole.
     """
-    r = records.select(F.col(kind).alias("kind"), F.col(key).alias("key"), shingles(F.col(text), shingle_words).alias("words"))
-    r = r.filter("kind is not null and key is not null and size(words) > 0")
-    r = r.withColumn("same", F.unhex(F.md5(F.array_join(F.sort_array("words"), "\u0001"))))
-    members = r.select("kind", "same", "key").distinct()
-    classes = r.groupBy("kind", "same").agg(F.min("key").alias("rep"), F.first("words").alias("words"))
-    classes = cut(classes)
-    members = members.join(classes.select("kind", "same", "rep"), ["kind", "same"]).select("kind", "rep", F.col("key").alias(key))
-    flat = classes.select("rep", F.transform("words", lambda w: F.xxhash64(w)).alias("h"), F.xxhash64("kind").alias("k"))
-    banded = flat.mapInArrow(_bands(bands, rows), "band long, rep long, n int, s1 long, s2 long")
-    a, b = banded.toDF("band", "rep_a", "na", "a1", "a2"), banded.toDF("band", "rep_b", "nb", "b1", "b2")
-    # bits of a pair at the threshold differ with probability (1 - t) / 2; four standard deviations more are let through
+    said = records.select(F.col(kind).alias("kind"), F.col(key).alias("key"), F.col(text).alias("text"))
+    said = said.filter("kind is not null and key is not null and text is not null")
+    w = shingles(F.col("text"), shingle_words)
+    said = said.filter(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    same = F.unhex(F.md5(F.array_join(F.sort_array(w), "\u0001")))
+    members = said.select("kind", "key", same.alias("same")).distinct()
+    classes = members.groupBy("kind", "same").agg(F.min("key").alias("rep"))
+    members = cut(members.join(classes, ["kind", "same"]).select("kind", "rep", "key"))
+    # one text a class
+    own = members.filter("rep = key").select("rep").distinct()
+    texts = said.withColumnRenamed("key", "rep").join(own, "rep", "left_semi").groupBy("rep").agg(F.min("kind").alias("kind"), F.min("text").alias("text"))
+    flat = texts.select("rep", F.transform(w, lambda x: F.xxhash64(x)).alias("h"), F.xxhash64("kind").alias("k"))
+    # bits of a band's hash grow with the number of classes: chance meetings stay at 1/256 a class and band
+    bits = min(56, max(24, math.ceil(math.log2(own.count() + 1)) + 8))
+    banded = flat.mapInArrow(_bands(bands, rows, bits), "band long, rep long, s1 long, s2 long")
+    a, b = banded.toDF("band", "rep_a", "a1", "a2"), banded.toDF("band", "rep_b", "b1", "b2")
+    # bits of a pair at the threshold differ with probability (1 - t) / 2; 4.1 standard deviations more pass
     p = (1 - threshold) / 2
-    far = int(SKETCH_BITS * p + 4.1 * (SKETCH_BITS * p * (1 - p)) ** 0.5 + 1)
-    near = (
-        (F.col("rep_a") < F.col("rep_b"))
-        & (F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)
-        & (F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2"))) <= far)
-    )
-    maybe = a.join(b, "band").filter(near).select("rep_a", "rep_b").distinct()
-    w = classes.select("kind", "rep", "words")
-    maybe = maybe.join(w.toDF("kind", "rep_a", "wa"), "rep_a").join(w.toDF("kind_b", "rep_b", "wb"), "rep_b").filter("kind = kind_b")
-    both = F.size(F.array_intersect("wa", "wb"))
-    pairs = maybe.withColumn("both", both).withColumn("all", F.size("wa") + F.size("wb") - F.col("both"))
+    far = int(SKETCH * p + 4.1 * (SKETCH * p * (1 - p)) ** 0.5 + 1)
+    apart = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
+    maybe = a.join(b, (a["band"] == b["band"]) & (F.col("rep_a") < F.col("rep_b")) & (apart <= far)).select("rep_a", "rep_b").distinct()
+    # texts travel, not their word lists: they are a third as long
+    maybe = maybe.join(texts.toDF("rep_a", "kind", "ta"), "rep_a").join(texts.toDF("rep_b", "kind_b", "tb"), "rep_b").filter("kind = kind_b")
+    # inline keeps each word set from being worked out again for every use of it
+    sets = F.array(F.struct(shingles(F.col("ta"), shingle_words).alias("a"), shingles(F.col("tb"), shingle_words).alias("b")))
+    counts = F.transform(sets, lambda x: F.struct(F.size(F.array_intersect(x["a"], x["b"])).alias("both"), (F.size(x["a"]) + F.size(x["b"])).alias("sizes")))
+    pairs = maybe.select("kind", "rep_a", "rep_b", F.inline(counts)).withColumn("all", F.col("sizes") - F.col("both"))
     pairs = pairs.filter(F.col("both") >= threshold * F.col("all") - 1e-9)
-    return members, pairs.select("kind", "rep_a", "rep_b", (F.col("both") / F.col("all")).alias("similarity"))
+    pairs = pairs.select("kind", "rep_a", "rep_b", (F.col("both") / F.col("all")).alias("similarity"))
+    return members.withColumnRenamed("key", key), pairs
 
 
 def expand_pairs(members: DataFrame, pairs: DataFrame, key: str = "key") -> DataFrame:
     """(<key>_a, <key>_b), a < b: every pair of records whose classes are equal or linked."""
-    m = cut(members)
+    m = members
     many = m.groupBy("kind", "rep").agg(F.count("*").alias("n")).filter("n > 1").select("kind", "rep")
     own = many.select("kind", F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b"))
     links = pairs.select("kind", "rep_a", "rep_b").unionByName(own)
