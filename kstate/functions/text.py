@@ -61,6 +61,12 @@ def path_title(path: Column) -> Column:
     return label(F.regexp_replace(base, "[-_]+", " "))
 
 
+def id_key(c: Column) -> Column:
+    """The form in which ids typed by hand are compared: no outer blanks, no letter case; blank counts as null."""
+    k = F.lower(F.regexp_replace(c, r"(?U)^[\s\x{200B}\x{FEFF}]+|[\s\x{200B}\x{FEFF}]+$", ""))
+    return F.when(k != "", k)
+
+
 def label_tokens(text: Column) -> Column:
     """Distinct case-folded runs of letters and digits longer than one sign."""
     runs = F.regexp_extract_all(label(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))

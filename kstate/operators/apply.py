@@ -199,17 +199,24 @@ def apply_operations(state: dict[str, DataFrame], operations: DataFrame) -> tupl
     return out, folded.filter("result_of is not null").select(F.col("result_of").alias("operation_id"), "result_ids")
 
 
+def survivors(links: DataFrame) -> DataFrame:
+    """(a, b): where each a of ``links`` (a, b; one row an a) ends. Who leads into a cycle, or stands on it, ends at its smallest id.
+
+    Pointers double; beside each goes the smallest id passed on the way. Once a round ends no further chain, only ways
+    into cycles are left, and as many steps as there are such ids go round each cycle whole.
+    """
+    m, steps, before = cut(links.select("a", "b", F.col("a").alias("low"))), 1, -1
+    while True:
+        n = cut(m.join(m.toDF("b", "c", "next"), "b", "left").select("a", F.coalesce("c", "b").alias("b"), F.least("low", "next").alias("low"), "next"))
+        left = n.filter("next is not null").count()
+        if left == 0 or left == before and steps >= left:
+            return n.select("a", F.coalesce("next", "b").alias("b"))
+        m, steps, before = n.drop("next"), 2 * steps, left
+
+
 def rewrite_ends(relations: DataFrame, concepts: DataFrame) -> DataFrame:
     """Ends of relations that are not merged move from merged concepts to what these were merged into, however often."""
-    gone = concepts.filter("merged_into is not null").select(F.col("internal_id").alias("a"), F.col("merged_into").alias("b"))
-    m = cut(gone)
-    while True:
-        n = m.join(gone.toDF("b", "c"), "b", "left").select("a", F.coalesce("c", "b").alias("b"), F.col("c").isNotNull().alias("moved"))
-        n = cut(n)
-        done = n.filter("moved").isEmpty()
-        m = n.select("a", "b")
-        if done:
-            break
+    m = survivors(concepts.filter("merged_into is not null").select(F.col("internal_id").alias("a"), F.col("merged_into").alias("b")))
     r = relations
     for side in ("subject_internal_id", "object_internal_id"):
         r = r.join(m.toDF(side, "to"), side, "left").withColumn(side, F.when(F.col("status") != "merged", F.coalesce("to", side)).otherwise(F.col(side))).drop("to")

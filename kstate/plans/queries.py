@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kstate.functions.canon import canonical_json_text
-from kstate.functions.text import label, label_tokens, normal_text, path_key, path_title, slug
+from kstate.functions.text import id_key, label, label_tokens, normal_text, path_key, path_title, slug
 from kstate.operators import apply as A
 from kstate.operators import classify as C
 from kstate.operators import extract as X
@@ -646,11 +646,14 @@ def ordered_anchors(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def merge_lineage(spark: SparkSession, d: str) -> DataFrame:
-    """Ends moved along chains of merged concepts, as relations would be: every merged concept with where it ended up."""
-    c = latest(spark, d, "concept")
-    ids = c.select(F.col("internal_id").alias("k"))
-    links = c.join(ids, c["merged_into"] == ids["k"], "left_semi").filter("merged_into <> internal_id and merged_into > internal_id")
-    state = links.select("internal_id", "merged_into")
+    """Ends moved along chains of merged concepts, as relations would be: every merged concept with where it ended up.
+
+    Ids are compared without outer blanks and letter case. A concept that names itself, or an id no concept has, was merged
+    into nothing; a cycle ends at its smallest id, for the concepts on it too.
+    """
+    c = cut(latest(spark, d, "concept").select("internal_id", id_key(F.col("internal_id")).alias("own"), id_key(F.col("merged_into")).alias("k")))
+    ids = c.groupBy(F.col("own").alias("k")).agg(F.min("internal_id").alias("merged_into"))
+    state = cut(c.filter("k <> own").join(ids, "k").select("internal_id", "merged_into"))
     probe = state.select("internal_id", F.col("internal_id").alias("subject_internal_id"), F.lit("is").alias("predicate"), F.col("merged_into").alias("object_internal_id"), F.lit("active").alias("status"))
     return A.rewrite_ends(probe, state).select("internal_id", F.col("subject_internal_id").alias("survivor"))
 

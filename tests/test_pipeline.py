@@ -211,3 +211,39 @@ def test_stream(spark, tmp_path):
     schema = RAW + ", acquired_at timestamp"
     I.append_to(I.normalize_stream(I.unit_stream(spark, str(tmp_path / "in"), schema)), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert sorted(r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["y", "é"]
+
+
+def follow(links):
+    """Where each id ends, link by link; a cycle ends at its smallest id."""
+    out = {}
+    for a in links:
+        way = [a]
+        while (b := links.get(way[-1])) and b not in way:
+            way.append(b)
+        out[a] = min(way[way.index(b):]) if b else way[-1]
+    return out
+
+
+def test_survivors(spark):
+    import random
+
+    from kstate.operators.apply import survivors
+
+    assert survivors(spark.createDataFrame([], "a string, b string")).count() == 0
+    rnd = random.Random(5)
+    for n, most in ((40, 40), (60, 75)):
+        names = [f"{rnd.random():.6f}" for _ in range(most)]
+        links = {a: rnd.choice(names) for a in names[:n]} | {f"z{k:02d}": f"z{k - 1:02d}" for k in range(1, 18)} | {"self": "self"}
+        got = {r.a: r.b for r in survivors(spark.createDataFrame(list(links.items()), "a string, b string")).collect()}
+        assert got == follow(links)
+
+
+def test_merge_lineage(spark, tmp_path):
+    from kstate.plans.queries import merge_lineage
+
+    rows = [("k5", "k3"), ("k3", "k7"), ("k7", None), ("k9", " K5 "), ("k1", "k2"), ("k2", "k1"), ("k0", "k2"), ("k4", "k4"), ("k6", "K6 "), ("k8", "gone"), ("ka", " ")]
+    df = spark.createDataFrame([(a, "merged", b) for a, b in rows], "internal_id string, status string, merged_into string").withColumn("recorded_at", F.lit("2024-01-02").cast("timestamp"))
+    old = spark.createDataFrame([("k7", "merged", "k1")], "internal_id string, status string, merged_into string").withColumn("recorded_at", F.lit("2024-01-01").cast("timestamp"))
+    df.unionByName(old).unionByName(old).write.parquet(str(tmp_path / "concept.parquet"))
+    got = {r.internal_id: r.survivor for r in merge_lineage(spark, str(tmp_path)).collect()}
+    assert got == {"k5": "k7", "k3": "k7", "k9": "k7", "k1": "k1", "k2": "k1", "k0": "k1"}
