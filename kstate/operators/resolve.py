@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from kstate.functions.canon import KStateError
 from kstate.functions.text import fold, label, label_tokens, path_key, path_title
 from kstate.operators.normalize import repeated
+from kstate.runtime import cut
 
 THRESHOLD, LIMIT, MOST = 0.40, 5, 50
 BLOCK = 20_000
@@ -101,17 +102,51 @@ def signals(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     return g.select("candidate_no", "internal_id", F.transform("s", lambda i: F.element_at(F.array(*map(F.lit, SIGNALS)), i + 1)).alias("signals"))
 
 
-def token_overlap(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
+def token_overlap(candidates: DataFrame, catalog: DataFrame, limit: int | None = None) -> DataFrame:
     """(candidate_no, internal_id, overlap): Jaccard of the token sets of pairs that share a token.
 
-    Counted by an equi-join on tokens after both sides are reduced to distinct texts.
+    A candidate's tokens are those of name and description, a concept's those of title, description, aliases and former
+    titles. Counted against the catalog in blocks. With a limit, pairs that cannot be among a candidate's best ``limit``
+    once overlaps are rounded to six places are left out; equal ones at the last place all stay.
     """
-    a = candidates.select("candidate_no", label_tokens(F.concat_ws(" ", "name", "description")).alias("t"))
+    a = candidates.select("candidate_no", F.array_join(label_tokens(F.concat_ws(" ", "name", "description")), " ").alias("t")).filter("t <> ''")
     text = F.concat_ws(" ", "title", "description", F.array_join("aliases", " "), F.array_join("title_history", " "))
-    b = catalog.select("internal_id", label_tokens(text).alias("t"))
-    x = a.select("candidate_no", F.size("t").alias("na"), F.explode("t").alias("w")).join(b.select("internal_id", F.size("t").alias("nb"), F.explode("t").alias("w")), "w")
-    g = x.groupBy("candidate_no", "internal_id").agg(F.count("*").alias("m"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    return g.select("candidate_no", "internal_id", (F.col("m") / (F.col("na") + F.col("nb") - F.col("m"))).alias("overlap"))
+    b = cut(catalog.select("internal_id", label_tokens(text).alias("t")).filter("size(t) > 0"))
+    blocks = max(1, math.ceil(b.count() / BLOCK))
+    out = None
+    for k in range(blocks):
+        rows = b.filter(F.pmod(F.xxhash64("internal_id"), F.lit(blocks)) == k).collect()
+        part = a.mapInPandas(_overlaps(sorted((r.internal_id, list(r.t)) for r in rows), limit), "candidate_no long, internal_id string, overlap double")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _overlaps(data: list[tuple[str, list[str]]], limit: int | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, size = np.array([i for i, _ in data], dtype=object), np.array([len(t) for _, t in data], dtype=np.int64)
+        where: dict[str, list[int]] = defaultdict(list)
+        for n, (_, tokens) in enumerate(data):
+            for t in tokens:
+                where[t].append(n)
+        holds = {t: np.array(x) for t, x in where.items()}
+        for b in batches:
+            numbers, found, values = [], [], []
+            for c, text in zip(b["candidate_no"], b["t"]):
+                own = text.split(" ")
+                hit = [holds[t] for t in own if t in holds]
+                if not hit:
+                    continue
+                shared = np.bincount(np.concatenate(hit), minlength=len(size))
+                overlap = shared / (size + len(own) - shared)
+                least = np.partition(overlap, -limit)[-limit] - 1e-6 if limit is not None and limit < len(size) else 0.0
+                at = np.flatnonzero((shared > 0) & (overlap >= least))
+                numbers.append(np.full(len(at), c))
+                found.append(ids[at])
+                values.append(overlap[at])
+            if numbers:
+                yield pd.DataFrame({"candidate_no": np.concatenate(numbers), "internal_id": np.concatenate(found), "overlap": np.concatenate(values)})
+
+    return run
 
 
 class ShortlistBlock:

@@ -400,11 +400,9 @@ def match_signals(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def token_overlap_top(spark: SparkSession, d: str) -> DataFrame:
-    """The five catalog concepts that share most of their words with each candidate name."""
-    c = concept_candidates(spark, d).select("candidate_no", "name", F.lit("").alias("description"))
-    k = catalog(spark, d).withColumn("description", F.lit(""))
+    """The five catalog concepts whose words, descriptions included, overlap most with those of each candidate."""
     w = Window.partitionBy("candidate_no").orderBy(F.desc("overlap"), "internal_id")
-    o = R.token_overlap(c, k).withColumn("overlap", F.round("overlap", 6))
+    o = R.token_overlap(concept_candidates(spark, d), catalog(spark, d), limit=5).withColumn("overlap", F.round("overlap", 6))
     return o.withColumn("rank", F.row_number().over(w)).filter("rank <= 5")
 
 

@@ -247,3 +247,33 @@ def test_merge_lineage(spark, tmp_path):
     df.unionByName(old).unionByName(old).write.parquet(str(tmp_path / "concept.parquet"))
     got = {r.internal_id: r.survivor for r in merge_lineage(spark, str(tmp_path)).collect()}
     assert got == {"k5": "k7", "k3": "k7", "k9": "k7", "k1": "k1", "k2": "k1", "k0": "k1"}
+
+
+def test_token_overlap_top(spark, tmp_path, monkeypatch):
+    import random
+    import re
+
+    from kstate.plans.queries import token_overlap_top
+
+    rnd = random.Random(3)
+    words = [f"w{k}" for k in range(14)] + ["Straße", "a", "été"]
+    some = lambda least, most: " ".join(rnd.choices(words, k=rnd.randint(least, most)))
+    cat = [(f"k{n:02d}", some(1, 2), rnd.choice([None, some(2, 9)]), [some(1, 2) for _ in range(n % 3)], [some(1, 1) for _ in range(n % 2)]) for n in range(40)]
+    cand = [(n, "concept", rnd.choice([None, "", some(1, 2)]), rnd.choice([None, some(3, 9)])) for n in range(60)] + [(60, "concept", "zz", "w3 w4 w5"), (61, "claim", "w1", "w2")]
+    spark.createDataFrame(cand, "candidate_no long, candidate_type string, name string, description string").write.parquet(str(tmp_path / "candidate.parquet"))
+    spark.createDataFrame(cat, "internal_id string, title string, description string, aliases array<string>, title_history array<string>").write.parquet(str(tmp_path / "catalog_concept.parquet"))
+    tokens = lambda *x: {t for t in re.findall(r"[^\W_]+", fold(" ".join(y or "" for y in x))) if len(t) > 1}
+    want, pairs = set(), set()
+    for n, kind, *text in cand:
+        a, scored = tokens(*text), []
+        for i, title, desc, aliases, history in cat:
+            b = tokens(title, desc, *aliases, *history)
+            if kind == "concept" and a & b:
+                scored.append((-round(len(a & b) / len(a | b), 6), i))
+        want |= {(n, i, -s, k) for k, (s, i) in enumerate(sorted(scored)[:5], 1)}
+        pairs |= {(n, i, -s) for s, i in scored}
+    for block in (R.BLOCK, 9):
+        monkeypatch.setattr(R, "BLOCK", block)
+        assert {(r.candidate_no, r.internal_id, r.overlap, r["rank"]) for r in token_overlap_top(spark, str(tmp_path)).collect()} == want
+    c, k = spark.read.parquet(str(tmp_path / "candidate.parquet")).filter("candidate_type = 'concept'"), spark.read.parquet(str(tmp_path / "catalog_concept.parquet"))
+    assert {(r.candidate_no, r.internal_id, round(r.overlap, 6)) for r in R.token_overlap(c, k).collect()} == pairs
