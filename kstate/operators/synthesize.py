@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kstate.functions.canon import KStateError, canonical_json
+from kstate.llm.sentences import sentences
+from kstate.runtime import cut
 
 KINDS = {"summary": "s", "concept": "c", "claim": "q", "relation": "r"}
 LISTS = {"summary": "summaries", "concept": "concepts", "claim": "claims", "relation": "relations"}
 INSTRUCTIONS = "List the summaries, concepts, claims and relations of these units. Cite the anchors of the units as evidence."
 BATCH_SCHEMA = "run_id string, unit_no long, batch_id string"
 ANSWER_SCHEMA = "run_id string, batch_id string, response string"
+ANSWER_FIELDS = ["run_id", "batch_id", "response"]
+#: characters of answers handed on at once
+CHUNK = 4_000_000
 CANDIDATE_SCHEMA = (
     "run_id string, batch_id string, candidate_type string, ordinal int, name string, description string, text string, statement string, "
     "subject_index int, predicate string, object_index int, evidence_anchors array<string>"
@@ -69,7 +74,11 @@ class Provider(Protocol):
 
 
 class OfflineProvider:
-    """Deterministic answers from the text alone: titles become concepts, sentences claims, neighbours relations."""
+    """Deterministic answers from the text alone: names become concepts, sentences claims, neighbours relations.
+
+    Each distinct name of a unit (a word of four or more signs that opens with A to Z) is a concept that has the unit's whole
+    text as its description; each sentence, in any of the scripts ``sentences`` knows, is a claim.
+    """
 
     def generate(self, request: dict) -> str:
         units = json.loads(request["input"])["units"]
@@ -78,10 +87,10 @@ class OfflineProvider:
             text = (u["text"] or "").strip()
             if not text:
                 continue
-            names = re.findall(r"\b[A-Z]\w{3,}\b", text)
-            if names:
-                out["concepts"].append({"name": names[0], "description": text[:200], "evidence_anchors": [u["anchor_uri"]]})
-            out["claims"].append({"statement": text.split("\n")[0][:300], "evidence_anchors": [u["anchor_uri"]]})
+            for name in dict.fromkeys(re.findall(r"\b[A-Z]\w{3,}\b", text)):
+                out["concepts"].append({"name": name, "description": text, "evidence_anchors": [u["anchor_uri"]]})
+            for start, end in sentences(text):
+                out["claims"].append({"statement": text[start:end], "evidence_anchors": [u["anchor_uri"]]})
         for k in range(1, len(out["concepts"])):
             e = sorted({*out["concepts"][k - 1]["evidence_anchors"], *out["concepts"][k]["evidence_anchors"]})
             out["relations"].append({"subject_index": k - 1, "predicate": "appears with", "object_index": k, "evidence_anchors": e})
@@ -95,13 +104,17 @@ def call_provider(req: DataFrame, provider: Provider) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            answers = []
+            rows, held = [], 0
             for r in b.to_dict("records"):
                 answer = provider.generate(r)
                 if not answer:
                     raise KStateError(f"no answer for {r['run_id']} {r['batch_id']}")
-                answers.append(answer)
-            yield pd.DataFrame({"run_id": b["run_id"], "batch_id": b["batch_id"], "response": answers})
+                rows.append((r["run_id"], r["batch_id"], answer))
+                held += len(answer)
+                if held > CHUNK:
+                    yield pd.DataFrame(rows, columns=ANSWER_FIELDS)
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=ANSWER_FIELDS)
 
     return req.mapInPandas(run, ANSWER_SCHEMA)
 
@@ -113,10 +126,18 @@ def parse_answers(answers: DataFrame) -> DataFrame:
         "relations": {"subject_index": int, "predicate": str, "object_index": int},
     }
 
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=[f.split()[0] for f in CANDIDATE_SCHEMA.split(", ")])
+        return out.astype({"subject_index": "Int32", "object_index": "Int32"})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
+            rows, held = [], 0
             for run_id, batch, answer in zip(b["run_id"], b["batch_id"], b["response"]):
+                if held > CHUNK:
+                    yield frame(rows)
+                    rows, held = [], 0
+                held += len(answer)
                 try:
                     value = json.loads(answer)
                 except ValueError as e:
@@ -132,8 +153,7 @@ def parse_answers(answers: DataFrame) -> DataFrame:
                             if type(item[f]) is not t or t is str and not item[f].strip():
                                 raise KStateError(f"{batch}: {kind} {n} has a bad {f}")
                         rows.append((run_id, batch, kind, n, item.get("name"), item.get("description"), item.get("text"), item.get("statement"), item.get("subject_index"), item.get("predicate"), item.get("object_index"), list(item["evidence_anchors"])))
-            out = pd.DataFrame(rows, columns=[f.split()[0] for f in CANDIDATE_SCHEMA.split(", ")])
-            yield out.astype({"subject_index": "Int32", "object_index": "Int32"})
+            yield frame(rows)
 
     return answers.mapInPandas(run, CANDIDATE_SCHEMA)
 
@@ -172,6 +192,6 @@ def relation_violations(relations: DataFrame, concepts: DataFrame) -> DataFrame:
 
 def candidate_counts(candidates: DataFrame) -> DataFrame:
     """(run_id, candidate_type, n) with a row for each type, also those a run has none of."""
-    each = candidates.select("run_id").distinct().withColumn("candidate_type", F.explode(F.array(*map(F.lit, KINDS))))
-    n = candidates.groupBy("run_id", "candidate_type").agg(F.count("*").alias("n"))
+    n = cut(candidates.groupBy("run_id", "candidate_type").agg(F.count("*").alias("n")))
+    each = n.select("run_id").distinct().withColumn("candidate_type", F.explode(F.array(*map(F.lit, KINDS))))
     return each.join(n, ["run_id", "candidate_type"], "left").na.fill(0, ["n"])

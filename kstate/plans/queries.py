@@ -311,7 +311,7 @@ def offline_candidates(spark: SparkSession, d: str) -> DataFrame:
 @query
 def offline_evidence(spark: SparkSession, d: str) -> DataFrame:
     u = run_units(spark, d)
-    req = S.requests(u.join(S.ordered_batches(u), ["run_id", "unit_no"]))
+    req = cut(S.requests(u.join(S.ordered_batches(u), ["run_id", "unit_no"])))
     c = S.assign_ids(S.parse_answers(S.call_provider(req, S.OfflineProvider())))
     return S.evidence_violations(c, u.select("run_id", F.col("anchor_uri").alias("anchor")).distinct())
 

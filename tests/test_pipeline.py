@@ -277,3 +277,19 @@ def test_token_overlap_top(spark, tmp_path, monkeypatch):
         assert {(r.candidate_no, r.internal_id, r.overlap, r["rank"]) for r in token_overlap_top(spark, str(tmp_path)).collect()} == want
     c, k = spark.read.parquet(str(tmp_path / "candidate.parquet")).filter("candidate_type = 'concept'"), spark.read.parquet(str(tmp_path / "catalog_concept.parquet"))
     assert {(r.candidate_no, r.internal_id, round(r.overlap, 6)) for r in R.token_overlap(c, k).collect()} == pairs
+
+
+def test_offline_answers_are_whole(spark, monkeypatch):
+    long = "Gamma " + "holds many a word " * 30 + "until Delta ends."
+    text = f"Dr. Alpha meets Bravo. Then\nAlpha goes!\n\n{long} 本文は長い。終わり。"
+    units = [("r", "b0001", n, "u", "v", f"x#{n}", "p", "page", t) for n, t in ((1, text), (2, None), (3, " "), (4, "no name"))]
+    req = S.requests(spark.createDataFrame(units, "run_id string, batch_id string, unit_no long, source_uri string, source_version_uri string, anchor_uri string, source_path string, kind string, text string"))
+    monkeypatch.setattr(S, "CHUNK", 10)
+    c = S.assign_ids(S.parse_answers(S.call_provider(req, S.OfflineProvider()))).orderBy("ordinal").collect()
+    of = lambda kind: [r for r in c if r.candidate_type == kind]
+    assert [r.name for r in of("concept")] == ["Alpha", "Bravo", "Then", "Gamma", "Delta"] and {r.description for r in of("concept")} == {text}
+    assert [r.statement for r in of("claim")] == ["Dr. Alpha meets Bravo.", "Then\nAlpha goes!", long, "本文は長い。", "終わり。", "no name"]
+    assert [r.evidence_anchors for r in of("claim")] == [["x#1"]] * 5 + [["x#4"]] and len(of("relation")) == 4
+    known = spark.createDataFrame([("r", f"x#{n}") for n in (1, 2, 3, 4)], "run_id string, anchor string")
+    assert S.evidence_violations(spark.createDataFrame(c), known).count() == 0
+    assert {(r.candidate_type, r.n) for r in S.candidate_counts(spark.createDataFrame(c)).collect()} == {("summary", 1), ("concept", 5), ("claim", 6), ("relation", 4)}
