@@ -293,3 +293,19 @@ def test_offline_answers_are_whole(spark, monkeypatch):
     known = spark.createDataFrame([("r", f"x#{n}") for n in (1, 2, 3, 4)], "run_id string, anchor string")
     assert S.evidence_violations(spark.createDataFrame(c), known).count() == 0
     assert {(r.candidate_type, r.n) for r in S.candidate_counts(spark.createDataFrame(c)).collect()} == {("summary", 1), ("concept", 5), ("claim", 6), ("relation", 4)}
+
+
+def test_stream_keeps_late_units(spark, tmp_path):
+    from kstate.streaming import incremental as I
+
+    def arrive(n, *rows):
+        df = spark.createDataFrame(raw(*((u, "a", "p", t, k) for u, t, k, _ in rows)), RAW)
+        at = F.create_map(*[F.lit(x) for u, _, _, day in rows for x in (u, day)])
+        df.withColumn("acquired_at", at[F.col("unit_id")].cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / "in" / f"f={n}"))
+        stream = I.unit_stream(spark, str(tmp_path / "in" / "*"), RAW + ", acquired_at timestamp")
+        I.append_to(I.normalize_stream(stream), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+        return sorted(r.text for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert arrive(1, ("u000001", "one", 1, "2024-06-01"), ("u000002", "two", 2, "2024-06-30")) == ["one", "two"]
+    assert arrive(2, ("u000003", "three", 3, "2024-07-30"), ("u000001", "one", 1, "2024-06-01")) == ["one", "three", "two"]
+    assert arrive(3, ("u000004", "late", 4, "2023-01-01"), ("u000002", "two", 2, "2024-06-30"), ("u000005", "undated", 5, None)) == ["late", "one", "three", "two", "undated"]
