@@ -175,8 +175,10 @@ def leaked_items(
 ) -> DataFrame:
     """(doc_id, item_id, windows, exact_windows, similarity) for each document and item it leaks.
 
-    windows counts the document's windows similar to one of the item's, exact_windows those equal token
-    by token, similarity is the best one. Null or empty texts, items shorter than the window and rows
+    exact_windows counts the document's windows equal token by token to one of the item's; these are all
+    found. windows counts them and, of the windows of at least min_similarity that differ in some token,
+    those whose fingerprints differ by at most radius bits: it misses others, and similarity, the best one
+    of these windows, can then be too low. Null or empty texts, items shorter than the window and rows
     with null ids give nothing; repeated rows count once; further columns are ignored; documents of any
     length are searched whole. Items are taken in blocks of bounded size, each against all documents.
     """
