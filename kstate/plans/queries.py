@@ -431,13 +431,25 @@ def _resolutions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _decisions(spark: SparkSession, d: str) -> DataFrame:
-    """A ledger made from the data: placeholders are ignored, claims that open with 'No' contradict the claim stated as their rest."""
+    """A ledger made from the data: placeholders are ignored, claims that open with 'No' contradict a known claim.
+
+    That is the one stated as their rest, the smallest id if several are; where none is, one made up, spread evenly over
+    all known claims.
+    """
     c = candidates(spark, d)
     none = F.array().cast("array<string>")
     blank = c.filter("candidate_type = 'concept' and lower(trim(name)) in ('tbd', '(untitled)', 'unknown', '???', '-')")
     ignore = blank.select(F.col("candidate_no").cast("string").alias("candidate_id"), F.lit("ignore").alias("action"), none.alias("target_internal_ids"), F.lit(None).cast("string").alias("survivor_internal_id"), F.lit("placeholder").alias("reason"))
-    first = known_claims(spark, d).agg(F.min("internal_id").alias("t"))
-    no = c.filter("candidate_type = 'claim' and statement like 'No %'").join(F.broadcast(first))
+    known = known_claims(spark, d).select("internal_id", "statement")
+    said = known.groupBy(label(F.col("statement")).alias("rest")).agg(F.min("internal_id").alias("stated"))
+    no = c.filter("candidate_type = 'claim' and statement like 'No %'").select("candidate_no", label(F.expr("substring(statement, 4)")).alias("rest")).join(said, "rest", "left")
+    # ids are numbered in stretches with offsets, so no task sees all of them
+    stretch = known.select("internal_id", F.pmod(F.xxhash64("internal_id"), F.lit(1024)).alias("stretch"))
+    n = stretch.groupBy("stretch").agg(F.count("*").alias("n"))
+    off = n.withColumn("off", F.sum("n").over(Window.orderBy("stretch")) - F.col("n")).drop("n")
+    rank = F.row_number().over(Window.partitionBy("stretch").orderBy("internal_id")) - 1
+    spread = stretch.withColumn("r", rank).join(off, "stretch").select((F.col("off") + F.col("r")).alias("at"), F.col("internal_id").alias("made_up"))
+    no = no.join(F.broadcast(known.agg(F.count("*").alias("all")))).withColumn("at", F.expr("pmod(candidate_no, all)")).join(spread, "at").select("candidate_no", F.coalesce("stated", "made_up").alias("t"))
     against = no.select(F.col("candidate_no").cast("string").alias("candidate_id"), F.lit("contradict").alias("action"), F.array("t").alias("target_internal_ids"), F.lit(None).cast("string").alias("survivor_internal_id"), F.lit("denies").alias("reason"))
     return ignore.unionByName(against)
 

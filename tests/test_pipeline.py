@@ -309,3 +309,17 @@ def test_stream_keeps_late_units(spark, tmp_path):
     assert arrive(1, ("u000001", "one", 1, "2024-06-01"), ("u000002", "two", 2, "2024-06-30")) == ["one", "two"]
     assert arrive(2, ("u000003", "three", 3, "2024-07-30"), ("u000001", "one", 1, "2024-06-01")) == ["one", "three", "two"]
     assert arrive(3, ("u000004", "late", 4, "2023-01-01"), ("u000002", "two", 2, "2024-06-30"), ("u000005", "undated", 5, None)) == ["late", "one", "three", "two", "undated"]
+
+
+def test_denials_have_their_own_targets(spark, tmp_path):
+    from kstate.plans.queries import _decisions
+
+    claims = [(f"k{n}", "merged" if n == 9 else "active", None, f"Claim {n} holds", []) for n in range(10)] + [("ka", "active", None, "claim 4  HOLDS", [])]
+    spark.createDataFrame(claims, "internal_id string, status string, merged_into string, statement string, evidence_anchors array<string>").withColumn("recorded_at", F.lit("2024-01-01").cast("timestamp")).write.parquet(str(tmp_path / "claim.parquet"))
+    cand = [(n, "claim", None, f"No rest {n}") for n in range(20)] + [(20, "claim", None, "No claim 7 holds"), (21, "claim", None, "No Claim 4 holds"), (22, "claim", None, "Yes"), (23, "concept", "tbd", None)]
+    spark.createDataFrame(cand, "candidate_no long, candidate_type string, name string, statement string").write.parquet(str(tmp_path / "candidate.parquet"))
+    got = {int(r.candidate_id): (r.action, list(r.target_internal_ids)) for r in _decisions(spark, str(tmp_path)).collect()}
+    assert got.pop(23) == ("ignore", []) and got.pop(20) == ("contradict", ["k7"]) and got.pop(21) == ("contradict", ["k4"])
+    assert sorted(got) == list(range(20)) and {t for _, ts in got.values() for t in ts} == {f"k{n}" for n in range(9)} | {"ka"}
+    per = [sum(ts == [t] for _, ts in got.values()) for t in ("k0", "k8", "ka")]
+    assert per == [2, 2, 2]
