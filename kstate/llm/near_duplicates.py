@@ -2,14 +2,17 @@
 
 Two permutations of the 32-bit universe generate every signature coordinate: the first scatters the
 hashed words, the second is applied after a circular shift by k and gives coordinate k as the minimum
-over the record's words. Coordinates are banded; records that agree in a band become candidates if a
-128-bit sketch (a bit of each of 128 coordinates) allows the threshold, and the exact Jaccard similarity of
-their word sets decides.
-
-With the default 96 bands of 5 coordinates a pair at similarity 0.6 meets in a band with probability
-0.9996, at 0.65 with 0.99999; a pair at 0.1 with 0.001. The sketch keeps a pair at the threshold with
-0.99997. A band key of no more bits than the number of classes needs, the sketch and the representative's
-key are shuffled, 96 times a class of equal word sets.
+over the record's words. Coordinates are banded; records that agree in a band become candidates if the
+sizes and parity sketches of their word sets allow the threshold, and the exact Jaccard similarity of the
+word sets decides.
+
+The parity sketch has 112 bits; a word flips one of them. Two sketches differ in at most as many bits as
+the sets differ in words, so the sketch never drops a pair at or above the threshold. What a band row
+carries is a key, the representative's key and 16 bytes of sketch and size; texts are shuffled once.
+
+With the default 4 coordinates a band, 57 bands let a pair at similarity 0.6 meet with probability 0.9996,
+at 0.65 with 0.99998 (``bands_for``). More coordinates a band need more rows, but let fewer unlike pairs
+meet: 5 pay from some millions of classes on, 6 from a hundred times as many.
 """
 
 from __future__ import annotations
@@ -25,7 +28,10 @@ from pyspark.sql import functions as F
 from kstate.llm.components import connected_components
 from kstate.runtime import cut
 
-SKETCH = 128
+#: Bits of the parity sketch, and the largest set size a band row states (larger sets pass unchecked).
+SKETCH, MOST = 112, (1 << 16) - 1
+#: Bits of a band's hash; unlike classes meet by chance once in 2^KEY_BITS pairs a band.
+KEY_BITS = 32
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -43,6 +49,11 @@ def shingles(text: Column, n: int) -> Column:
     return F.when(F.size(w) > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
+def bands_for(threshold: float, rows: int, recall: float = 0.9996) -> int:
+    """How many bands of ``rows`` coordinates let a pair at the threshold meet with probability ``recall``."""
+    return max(1, math.ceil(round(math.log1p(-recall) / math.log1p(-(threshold**rows)), 1)))
+
+
 def _mix(x: np.ndarray, c1: int, c2: int) -> np.ndarray:
     """A bijection of 32-bit integers."""
     x = x ^ (x >> np.uint32(16))
@@ -64,36 +75,52 @@ def circulant_minhash(hashes: np.ndarray, starts: np.ndarray, coordinates: int)
     return out.T
 
 
-def _bands(bands: int, rows: int, bits: int):
+def parity_sketch(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit words a record: 64 parities; 48 parities above the size of its set."""
+    bit = (hashes.view(np.uint64) >> np.uint64(24)) % np.uint64(SKETCH)
+    low = bit < 64
+    one = np.uint64(1)
+    first = np.where(low, one << (bit & np.uint64(63)), np.uint64(0))
+    second = np.where(low, np.uint64(0), one << ((bit - np.uint64(48)) & np.uint64(63)))
+    second = np.bitwise_xor.reduceat(second, starts) | np.minimum(sizes, MOST).astype(np.uint64)
+    return np.bitwise_xor.reduceat(first, starts).view(np.int64), second.view(np.int64)
+
+
+def _bands(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
                 lists = b.column(1)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = np.array(lists.value_lengths().to_pylist(), dtype=np.int64)
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                sig = circulant_minhash(flat, starts, max(bands * rows, SKETCH))
+                sig = circulant_minhash(flat, starts, bands * rows)
                 # the kind is part of every key, so kinds never meet
                 key = np.repeat(b.column(2).to_numpy().astype(np.int64).view(np.uint64)[:, None], bands, axis=1)
                 for r in range(rows):
-                    key ^= sig[:, r : bands * rows : rows].astype(np.uint64)
+                    key ^= sig[:, r::rows].astype(np.uint64)
                     key *= np.uint64(0xFF51AFD7ED558CCD)
                     key ^= key >> np.uint64(29)
-                key = (key >> np.uint64(64 - bits)) | (np.arange(bands, dtype=np.uint64) << np.uint64(bits))
-                signs = np.ascontiguousarray((sig[:, :SKETCH] >> np.uint32(7)).astype(np.uint8) & 1)
-                sketch = np.packbits(signs, axis=1).copy().view(np.int64)
+                key = (key >> np.uint64(64 - KEY_BITS)) | (np.arange(bands, dtype=np.uint64) << np.uint64(KEY_BITS))
+                first, second = parity_sketch(flat, starts, sizes)
                 each = lambda x: pa.array(np.repeat(x, bands))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.reshape(-1).view(np.int64)), each(b.column(0).to_numpy()), each(sketch[:, 0]), each(sketch[:, 1])], names=["band", "rep", "s1", "s2"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), each(b.column(0).to_numpy()), each(first), each(second)], names=["band", "rep", "s1", "s2"])
 
     return run
 
 
+def _may_be_similar(threshold: float) -> Column:
+    """Whether the sizes and sketches of two band rows allow the threshold: sets that reach it differ in few words."""
+    na, nb = (F.col(c).bitwiseAND(F.lit(MOST)) for c in ("a2", "b2"))
+    apart = (na + nb) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
+    bits = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.shiftrightunsigned(F.col("a2").bitwiseXOR(F.col("b2")), 16))
+    return (na == MOST) | (nb == MOST) | ((bits <= apart) & (F.abs(na - nb) <= apart))
+
+
 def near_duplicates(
     records: DataFrame, key: str = "key", kind: str = "kind", text: str = "text",
-    threshold: float = 0.6, shingle_words: int = 1, bands: int = 96, rows: int = 5,
+    threshold: float = 0.6, shingle_words: int = 1, bands: int | None = None, rows: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
     """Classes of equal word sets and the similar pairs between them.
 
@@ -101,31 +128,28 @@ def near_duplicates(
     representative is its smallest key; pairs (kind, rep_a, rep_b, similarity) has each pair of
     classes of one kind with Jaccard >= threshold once, rep_a < rep_b. Copies never meet pairwise.
     Rows with null key, kind or text, and texts without any word, take no part; a row delivered
-    twice counts once; other columns are ignored; texts are used whole.
+    twice counts once, and of several texts of one key and kind the smallest counts; other columns are
+    ignored; texts are used whole. ``key`` is an integer. ``bands`` is by default what ``rows`` needs.
     """
-    said = records.select(F.col(kind).alias("kind"), F.col(key).alias("key"), F.col(text).alias("text"))
-    said = said.filter("kind is not null and key is not null and text is not null")
+    bands = bands or bands_for(threshold, rows)
+    said = records.select(F.col(kind).alias("kind"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    said = said.filter("kind is not null and key is not null and text is not null").filter(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    # the only shuffle of texts: by key, where they stay for the bands and for the verification
+    texts = said.repartition("key").groupBy("key", "kind").agg(F.min("text").alias("text"))
     w = shingles(F.col("text"), shingle_words)
-    said = said.filter(F.col("text").rlike(r"[\p{L}\p{N}]"))
-    same = F.unhex(F.md5(F.array_join(F.sort_array(w), "\u0001")))
-    members = said.select("kind", "key", same.alias("same")).distinct()
-    classes = members.groupBy("kind", "same").agg(F.min("key").alias("rep"))
-    members = cut(members.join(classes, ["kind", "same"]).select("kind", "rep", "key"))
-    # one text a class
-    own = members.filter("rep = key").select("rep").distinct()
-    texts = said.withColumnRenamed("key", "rep").join(own, "rep", "left_semi").groupBy("rep").agg(F.min("kind").alias("kind"), F.min("text").alias("text"))
-    flat = texts.select("rep", F.transform(w, lambda x: F.xxhash64(x)).alias("h"), F.xxhash64("kind").alias("k"))
-    # bits of a band's hash grow with the number of classes: chance meetings stay at 1/256 a class and band
-    bits = min(56, max(24, math.ceil(math.log2(own.count() + 1)) + 8))
-    banded = flat.mapInArrow(_bands(bands, rows, bits), "band long, rep long, s1 long, s2 long")
+    same = texts.select("kind", "key", F.unhex(F.md5(F.array_join(F.sort_array(w), "\u0001"))).alias("same"))
+    classes = same.groupBy("kind", "same").agg(F.min("key").alias("rep"))
+    members = cut(same.join(classes.hint("merge"), ["kind", "same"]).select("kind", "rep", "key"))
+    # kinds compared by range: as a further join key they would have all texts shuffled once more
+    reps = members.filter("rep = key").select(F.col("key").alias("rep"), F.col("kind").alias("of"))
+    own = texts.join(reps.hint("merge"), (F.col("key") == F.col("rep")) & F.col("kind").between(F.col("of"), F.col("of")), "left_semi")
+    flat = own.select(F.col("key").alias("rep"), F.transform(w, lambda x: F.xxhash64(x)).alias("h"), F.xxhash64("kind").alias("k"))
+    banded = flat.mapInArrow(_bands(bands, rows), "band long, rep long, s1 long, s2 long")
     a, b = banded.toDF("band", "rep_a", "a1", "a2"), banded.toDF("band", "rep_b", "b1", "b2")
-    # bits of a pair at the threshold differ with probability (1 - t) / 2; 4.1 standard deviations more pass
-    p = (1 - threshold) / 2
-    far = int(SKETCH * p + 4.1 * (SKETCH * p * (1 - p)) ** 0.5 + 1)
-    apart = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
-    maybe = a.join(b, (a["band"] == b["band"]) & (F.col("rep_a") < F.col("rep_b")) & (apart <= far)).select("rep_a", "rep_b").distinct()
-    # texts travel, not their word lists: they are a third as long
-    maybe = maybe.join(texts.toDF("rep_a", "kind", "ta"), "rep_a").join(texts.toDF("rep_b", "kind_b", "tb"), "rep_b").filter("kind = kind_b")
+    meet = (a["band"] == b["band"]) & (F.col("rep_a") < F.col("rep_b"))
+    maybe = a.join(b.hint("merge"), meet & _may_be_similar(threshold)).select("rep_a", "rep_b").distinct()
+    maybe = maybe.join(own.toDF("rep_a", "kind", "ta").hint("merge"), "rep_a").join(own.toDF("rep_b", "kind_b", "tb").hint("merge"), "rep_b")
+    maybe = maybe.filter(F.col("kind").between(F.col("kind_b"), F.col("kind_b")))
     # inline keeps each word set from being worked out again for every use of it
     sets = F.array(F.struct(shingles(F.col("ta"), shingle_words).alias("a"), shingles(F.col("tb"), shingle_words).alias("b")))
     counts = F.transform(sets, lambda x: F.struct(F.size(F.array_intersect(x["a"], x["b"])).alias("both"), (F.size(x["a"]) + F.size(x["b"])).alias("sizes")))
@@ -137,11 +161,11 @@ def near_duplicates(
 
 def expand_pairs(members: DataFrame, pairs: DataFrame, key: str = "key") -> DataFrame:
     """(<key>_a, <key>_b), a < b: every pair of records whose classes are equal or linked."""
-    m = members
+    m = members.select("kind", "rep", key)
     many = m.groupBy("kind", "rep").agg(F.count("*").alias("n")).filter("n > 1").select("kind", "rep")
     own = many.select("kind", F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b"))
     links = pairs.select("kind", "rep_a", "rep_b").unionByName(own)
-    out = links.join(m.toDF("kind", "rep_a", "x"), ["kind", "rep_a"]).join(m.toDF("kind", "rep_b", "y"), ["kind", "rep_b"])
+    out = links.join(m.toDF("kind", "rep_a", "x").hint("merge"), ["kind", "rep_a"]).join(m.toDF("kind", "rep_b", "y").hint("merge"), ["kind", "rep_b"])
     out = out.filter("rep_a <> rep_b or x < y")
     return out.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
 
@@ -157,5 +181,5 @@ def near_duplicate_groups(members: DataFrame, pairs: DataFrame, key: str = "key"
     comp = connected_components(pairs.select(end("rep_a").alias("src"), end("rep_b").alias("dst")))
     comp = comp.select("node.kind", "node.rep", F.col("component.rep").alias("g"))
     links = pairs.select("kind", F.col("rep_a").alias("rep")).union(pairs.select("kind", "rep_b")).groupBy("kind", "rep").agg(F.count("*").alias("links"))
-    out = members.join(comp, ["kind", "rep"], "left").join(links, ["kind", "rep"], "left")
+    out = members.join(comp.hint("merge"), ["kind", "rep"], "left").join(links.hint("merge"), ["kind", "rep"], "left")
     return out.select("kind", key, F.col("rep").alias("class_id"), F.coalesce("g", "rep").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))
