@@ -82,11 +82,12 @@ def p5_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of each run, beside the number no packing can go below."""
-    b = _packed(spark, sf_dir).groupBy(F.col("run").alias("run_id")).agg(F.countDistinct("container").alias("batches"), F.sum("size").alias("chars"), F.countDistinct("item").alias("units"))
+    """Batches of each run, and how many of them least squares gave, beside the number no packing can go below."""
+    own = _packed(spark, sf_dir).groupBy("run", "container", "solved").agg(F.sum("size").alias("chars"), F.count_if(F.col("piece") == 0).alias("units"))
+    b = own.groupBy(F.col("run").alias("run_id")).agg(F.count("*").alias("batches"), F.count_if("solved").alias("solved_batches"), F.sum("chars").alias("chars"), F.sum("units").alias("units"))
     m = table(spark, sf_dir, "synthesis_manifest").select("run_id", "max_input_chars", "max_batch_units").distinct()
     least = F.greatest(F.ceil(F.col("chars") / F.col("max_input_chars")), F.ceil(F.col("units") / F.col("max_batch_units")))
-    return b.join(m, "run_id").select("run_id", "units", "chars", "batches", least.alias("least_batches"))
+    return b.join(m, "run_id").select("run_id", "units", "chars", "batches", "solved_batches", least.alias("least_batches"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

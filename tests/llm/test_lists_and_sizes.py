@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kstate.llm.canonical_match import NameIndex, distance, map_to_canonical, tokens
 from kstate.llm.mixture import min_cost_flow, mix, route, shares
-from kstate.llm.packing import lower_bound, nnls, pack, plan
+from kstate.llm.packing import best_fit, fill_in_turn, greedy, lower_bound, nnls, pack, place, plan, spread, total
 
 ENTRIES = [("1", "Cobalt Quarantine Protocol", ["Taexgriaquaet", "CQPL96"], []), ("2", "Cobalt Protocol", [], ["Fiageinuth Vault"]), ("3", "Falcon Ledger", [], []), ("4", "Birch Monitor", [], []), ("5", "Copper Vault", None, None)]
 NAMES = {
@@ -64,7 +64,8 @@ def test_plan_keeps_the_limits(seed):
     capacity, limit = rng.choice([(50, 4), (1024, 10), (1600, 50), (10, 1)])
     h = Counter(min(capacity, int(rng.expovariate(4 / capacity))) for _ in range(rng.choice([1, 30, 3000])))
     sizes, counts = np.array(list(h)), np.array(list(h.values()))
-    rows, bins = plan(sizes, counts, capacity, limit)
+    rows, bins, solved = plan(sizes, counts, capacity, limit)
+    assert solved <= bins <= total(greedy(h, capacity, limit))
     load, number, seen = Counter(), Counter(), Counter()
     for size, lo, hi, first, wide in rows:
         for k in range(lo, hi):
@@ -76,6 +77,39 @@ def test_plan_keeps_the_limits(seed):
     assert set(number) == set(range(bins)) and lower_bound(list(h), list(h.values()), capacity, limit) <= bins
 
 
+@pytest.mark.parametrize("way", [best_fit, lambda h, c, n: fill_in_turn(h, c, n, 0), lambda h, c, n: fill_in_turn(h, c, n, 7.5), lambda h, c, n: spread(h, c, n, 700)])
+def test_greedy_ways_keep_the_limits(way):
+    rng = random.Random(9)
+    h = Counter(rng.choice([0, 100, 33, rng.randrange(101)]) for _ in range(900))
+    got, seen = way(h, 100, 6), Counter()
+    for own, n in got:
+        assert n > 0 and sum(s * k for s, k in own.items()) <= 100 and sum(own.values()) <= 6
+        for s, k in own.items():
+            seen[s] += k * n
+    assert seen == h
+
+
+@pytest.mark.parametrize("n", [3000, 30_000, 300_000])
+def test_least_squares_packs_most_at_every_size(n):
+    rng = random.Random(4)
+    h = Counter(min(8000, int(rng.lognormvariate(0, 1) * 1000)) for _ in range(n))
+    _, bins, solved = plan(np.array(list(h)), np.array(list(h.values())), 8000, 16)
+    least = lower_bound(list(h), list(h.values()), 8000, 16)
+    assert 2 * solved > bins and bins <= 1.01 * least and bins <= total(greedy(h, 8000, 16))
+
+
+def test_three_lengths_in_many_containers():
+    h = {7000: 40_000, 6500: 300, 3000: 200_000}
+    rows, bins, solved = plan(np.array(list(h)), np.array(list(h.values())), 20_000, 50)
+    assert len(rows) < 50 and solved > 0 and bins <= 46_767
+
+
+def test_one_length_in_many_plan_rows(spark):
+    how = spark.range(100_000).selectExpr("'r' AS run", "5L AS size", "id AS lo", "id + 1 AS hi", "id * 3 AS first", "1L AS wide")
+    got = place(spark.range(100_000).selectExpr("'r' AS run", "5L AS size", "id AS rank"), how)
+    assert got.count() == 100_000 and got.filter("container <> 3 * rank").count() == 0
+
+
 def test_pack(spark):
     items = [("x", n, s) for n, s in enumerate([10, 90, 95, 5, 250, None, 0, 100])] + [("x", 1, 90), ("y", 1, 3), (None, 9, 1), ("x", None, 1)]
     runs = [("r1", "x", 100, 3), ("r2", "x", 60, 2), ("r3", "z", 10, 1), ("r4", "y", None, 1), ("r5", "y", 0, 1), ("r1", "x", 100, 3)]
