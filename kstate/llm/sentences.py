@@ -1,16 +1,19 @@
 """Sentence units of documents in many languages and scripts.
 
 A paragraph (text between blank lines) becomes a lattice whose nodes are the gaps where a sentence may
-end: after terminators of spaced scripts, after full stops or blanks of spaceless ones, after a quotation or
-bracket that ends in a terminator. Quotations and brackets are matched first and hold no gaps inside.
-Each gap gets a score from what stands before it (abbreviation, initial, number, final particle) and after
-it (case, opening word, particle); a path through the lattice takes the gaps of positive score, as long as
-every sentence holds a letter or digit. Words beside gaps of spaceless scripts come from the cheapest
-path through a lattice of dictionary words and script runs.
+end: after terminators of spaced scripts, after full stops or blanks of spaceless ones, between the words of
+spaceless ones where a final particle meets an opening word, and after a quotation or bracket that ends in a
+terminator. Quotations and brackets are matched first and hold no gaps inside. Each gap gets a score from
+what stands before it (abbreviation, initial, number, final particle) and after it (case, opening word,
+particle); a path through the lattice takes the gaps of positive score, as long as every sentence holds a letter
+or digit. Words beside gaps of spaceless scripts come from the cheapest path through a lattice of dictionary
+words and script runs. The dictionary is a parameter: the words of these scripts in the vocabulary of a public
+tokenizer, or a file of one word a line.
 """
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,15 +38,24 @@ FINAL = frozenset("etc usw inc ltd co corp al ff jr a.m p.m κ.λπ κ.ά т.д
 #: German words before an ordinal number, and months after one
 ORDINAL_BEFORE = frozenset("der die das dem den des am vom zum zur im bis ab seit nach vor jeder jede jedes ein eine einem einen einer und beim dieser diesem diesen".split())
 MONTHS_DE = frozenset("januar februar märz april mai juni juli august september oktober november dezember".split())
-# Particles, final particles and opening words of scripts without spaces.
+# Particles, final particles and forms, and opening words of scripts without spaces.
 PARTICLES_JA = frozenset("と という といった として とか とも は が を に で の も へ や から まで って だ です など より ば な なら なので".split())
-FINAL_JA = frozenset("か ね よ わ ぞ さ な です ます た だ る".split())
-OPENING_JA = frozenset("しかし そして また ただし なお さらに つまり では それで だから ところが この その あの これ それ".split())
+#: close a sentence by themselves
+FINAL_JA = frozenset("です ます でした ました ません でしょう だろう ましょう ください ですか ますか でしたか ましたか ませんか でしょうか だろうか ですね ますね ですよ ますよ でしたね ましたね".split())
+#: close a sentence only where more speaks for it
+WEAK_JA = frozenset("か ね よ わ ぞ な た だ る ない".split())
+OPENING_JA = frozenset("しかし そして また ただし なお さらに つまり では それで だから ところが この その あの これ それ あれ ここ そこ 私 私たち 彼 彼女 次に まず 最後に 一方 もし そう はい いいえ".split())
+#: words that end or begin like a particle or an opening word
+WORDS_JA = frozenset("何か 誰か いつか どこか どれか なぜか どうか 確か 静か 僅か 豊か たか かた また または そのまま このまま これら それら それぞれ それほど これほど この度 その他 その後 ではなく では".split())
 PARTICLES_ZH = frozenset("的 地 得 等 之 和 与 及 或".split())
-FINAL_ZH = frozenset("了 吗 呢 吧 啊 的".split())
-OPENING_ZH = frozenset("但是 然后 因此 所以 而且 不过 于是 另外 此外 这 那 它 他 她 我 我们 他们".split())
+FINAL_ZH = frozenset("吗 呢 吧 啊 嘛 呀 嗎".split())
+WEAK_ZH = frozenset("了 着 过".split())
+OPENING_ZH = frozenset("但是 然后 因此 所以 而且 不过 于是 另外 此外 这 那 它 他 她 我 你 我们 你们 他们 她们 它们 这个 那个 这些 那些 今天 明天 昨天 现在 首先 最后 如果 因为 虽然 請 请 好 是 不".split())
+WORDS_ZH = frozenset("酒吧 网吧 吧台 吧间 呢喃 呢绒 啊呀 哎呀 来着 着火 着急 过去 过程 了解 为了 除了 好像 好处 是否 不同 不久 他人 其他 吉他 我国 自我".split())
 FINAL_TH = frozenset("ครับ ค่ะ คะ นะ จ้ะ แล้ว".split())
 OPENING_TH = frozenset("แต่ ดังนั้น จากนั้น เพราะ นอกจากนี้ อย่างไรก็ตาม".split())
+#: Public vocabulary whose words of spaceless scripts join the dictionary; a parameter.
+DICTIONARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 BLANK_LINE = regex.compile(r"(?:\r\n|\r|\n)(?:[^\S\r\n]*(?:\r\n|\r|\n))+")
 OPEN = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "【": "】", "〔": "〕", "《": "》", "〈": "〉", "「": "」", "『": "』", "«": "»", "„": "“”", "‚": "‘’", "“": "”", "‘": "’", '"': '"', "'": "'", "»": "«", "｢": "｣", "‹": "›"}
@@ -53,6 +65,8 @@ SIGN = regex.compile(r"[()\[\]{}（）［］【】〔〕《》〈〉「」『』
 WORD_CHAR = regex.compile(r"[\p{L}\p{N}]")
 TOKEN_BEFORE = regex.compile(r"[\p{L}\p{M}\p{N}'’\-]+(?:\.[\p{L}\p{M}\p{N}'’\-]+)*$")
 NEXT_SKIP = " \t\r\n   　*_#>~`"
+ENDING = regex.compile(rf"[{regex.escape(MARKS)}]+$")
+LETTERS = regex.compile(r"\p{L}+")
 THAI = regex.compile(r"[฀-๿]")
 GREEK = regex.compile(r"\p{Greek}")
 CAMEL = regex.compile(r"\p{Ll}+\p{Lu}")
@@ -61,8 +75,18 @@ CAMEL = regex.compile(r"\p{Ll}+\p{Lu}")
 class WordLattice:
     """Cheapest path through dictionary words and unknown runs; gives the words beside a gap."""
 
-    def __init__(self, words: frozenset[str]) -> None:
-        self.words, self.longest = words, max(map(len, words))
+    #: Signs beside a gap that the lattice spans.
+    REACH = 16
+
+    def __init__(self, words: frozenset[str], final: frozenset[str], weak: frozenset[str], opening: frozenset[str]) -> None:
+        self.final, self.weak, self.opening = final, weak, opening
+        # a word of the dictionary that holds an opening word or a final form at its end would hide the gap
+        hides = lambda w: any(w != o and w.startswith(o) for o in opening if len(o) > 1) or any(w != f and w.endswith(f) for f in final if len(f) > 1)
+        self.words = frozenset(w for w in words if not hides(w)) | final | weak | opening
+        self.longest = max(map(len, self.words))
+        #: gaps without a blank: before them a word that closes a sentence, after them one that opens one
+        either = lambda w: "|".join(sorted(map(regex.escape, w), key=lambda x: (-len(x), x)))
+        self.meet = regex.compile(rf"(?:{either(final)})(?=({either(opening)}))")
 
     def path(self, s: str) -> list[str]:
         best: list[tuple[float, int]] = [(0.0, 0)] + [(1e9, 0)] * len(s)
@@ -70,7 +94,7 @@ class WordLattice:
             at = best[i][0]
             for n in range(1, min(self.longest, len(s) - i) + 1):
                 w = s[i : i + n]
-                cost = at + (1.0 if w in self.words else 3.0 if n == 1 else 1.5 + 0.4 * n if self.run(w) else 1e9)
+                cost = at + (1.0 if w in self.words else self.unknown(w))
                 if cost < best[i + n][0]:
                     best[i + n] = (cost, i)
         out, j = [], len(s)
@@ -80,19 +104,83 @@ class WordLattice:
         return out[::-1]
 
     @staticmethod
-    def run(w: str) -> bool:
-        return all("゠" <= c <= "ヿ" for c in w) or all("一" <= c <= "鿿" for c in w)
+    def unknown(w: str) -> float:
+        """Cost of a run outside the dictionary: katakana spells names, Han signs hold words one should know."""
+        if all("゠" <= c <= "ヿ" for c in w):
+            return 1.5 + 0.4 * len(w)
+        if all("一" <= c <= "鿿" for c in w):
+            return 1.0 + 1.1 * len(w)
+        return 3.0 if len(w) == 1 else 1e9
 
     def after(self, s: str) -> str:
         return next(iter(self.path(s[:12])), "")
 
-    def before(self, s: str) -> str:
-        return next(iter(self.path(s[-12:])[::-1]), "")
+    def gap(self, p: str, a: int, b: int) -> float:
+        """Score of a gap without a full stop: text before a, text from b on, a blank between them if b > a."""
+        left, right = SIDE_BEFORE.search(p[max(0, a - self.REACH) : a]), SIDE_AFTER.match(p[b : b + self.REACH])
+        if not left or not right:
+            return -9
+        left, right = left[0], right[0]
+        if a < b:
+            before, after = self.path(left), self.path(right)
+        else:
+            # one lattice over both sides: a word across the gap speaks against it
+            before, after, n = [], self.path(left + right), 0
+            while after and n < len(left):
+                n += len(after[0])
+                before.append(after.pop(0))
+            if n != len(left) or not after:
+                return -9
+        # a final form of several signs may be cut elsewhere by the dictionary; a particle of one sign has to be a word
+        strong = before[-1] in self.final or any(len(f) > 1 and left.endswith(f) for f in self.final)
+        closes = 2.5 if strong else 0.5 if before[-1] in self.weak else 0.0
+        return -3 + closes + (1.5 if a < b else 0.0) + (2.5 if after[0] in self.opening else 0.0)
+
+
+SIDE_BEFORE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]+$")
+SIDE_AFTER = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]+")
+SPACELESS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
+KANA = regex.compile(r"[\p{Hiragana}\p{Katakana}]")
+#: a blank between two signs of such a script; a line break alone is none
+SPACELESS_BLANK = regex.compile(r"(?<=[\p{Han}\p{Hiragana}\p{Katakana}ー])[^\S\r\n]+(?=[\p{Han}\p{Hiragana}\p{Katakana}])")
+
+
+def spaceless_words(path: str) -> frozenset[str]:
+    """The words of two signs or more in scripts without spaces, from a vocabulary of token ranks or a list of words."""
+    out = set()
+    with open(path, "rb") as f:
+        for line in f:
+            token = line.split()
+            try:
+                w = (base64.b64decode(token[0]) if len(token) == 2 and token[1].isdigit() else line).decode().strip()
+            except (UnicodeDecodeError, ValueError, IndexError):
+                continue
+            if len(w) > 1 and SPACELESS_WORD.fullmatch(w):
+                out.add(w)
+    return frozenset(out)
+
+
+SPACELESS_WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]+|[\u0e00-\u0e7f]+")
 
 
-JA = WordLattice(PARTICLES_JA | FINAL_JA | OPENING_JA)
-ZH = WordLattice(PARTICLES_ZH | FINAL_ZH | OPENING_ZH)
-TH = WordLattice(FINAL_TH | OPENING_TH)
+class Lattices:
+    """The lattices of Japanese, Chinese and Thai over one dictionary."""
+
+    def __init__(self, words: frozenset[str] = frozenset()) -> None:
+        kana = frozenset(w for w in words if KANA.search(w))
+        han = frozenset(w for w in words if not KANA.search(w) and SPACELESS.search(w))
+        self.ja = WordLattice(PARTICLES_JA | WORDS_JA | kana | han, FINAL_JA, WEAK_JA, OPENING_JA)
+        self.zh = WordLattice(PARTICLES_ZH | WORDS_ZH | han, FINAL_ZH, WEAK_ZH, OPENING_ZH)
+        self.th = WordLattice(frozenset(w for w in words if THAI.search(w)), FINAL_TH, frozenset(), OPENING_TH)
+
+    def gaps(self, p: str) -> list[tuple[int, int, float]]:
+        """(end before, start after, score) of the gaps without a full stop in Japanese and Chinese text."""
+        if not SPACELESS.search(p):
+            return []
+        lattice = self.ja if KANA.search(p) else self.zh
+        out = [(m.start(), m.end(), lattice.gap(p, m.start(), m.end())) for m in SPACELESS_BLANK.finditer(p)]
+        out += [(m.end(), m.end(), lattice.gap(p, m.end(), m.end())) for m in lattice.meet.finditer(p)]
+        return out
 
 
 def _spans(p: str, signs: list) -> list[tuple[int, int]]:
@@ -211,13 +299,13 @@ def _dot(p: str, at: int, e: int, start: int, inside: bool) -> float:
         word = TOKEN_BEFORE.search(head)
         if not head or not WORD_CHAR.search(head):
             return -4
-        after = regex.compile(r"\p{L}+").match(p, k)
+        after = LETTERS.match(p, k)
         german = word and word[0].lower() in ORDINAL_BEFORE or after and after[0].lower() in MONTHS_DE
         return -4 if german and len(w) <= 4 else 3
     return 3
 
 
-def _gap(p: str, a: int, e: int, start: int, inside: bool, marks: str) -> float:
+def _gap(p: str, a: int, e: int, start: int, inside: bool, marks: str, words: Lattices) -> float:
     """Score of a gap after the terminators ``marks`` at a; positive ends a sentence at e."""
     c, k, blank = _follows(p, e)
     if marks[-1] in "。！？｡":
@@ -228,9 +316,9 @@ def _gap(p: str, a: int, e: int, start: int, inside: bool, marks: str) -> float:
         if inside:
             rest = p[k : k + 12]
             if "぀" <= c <= "ゟ":
-                w = JA.after(rest)
+                w = words.ja.after(rest)
                 return 2 if w in OPENING_JA else -4 if w in PARTICLES_JA else 2
-            if ZH.after(rest) in PARTICLES_ZH:
+            if words.zh.after(rest) in PARTICLES_ZH:
                 return -4
         return 4
     if marks[-1] in "।॥":
@@ -247,34 +335,39 @@ def _gap(p: str, a: int, e: int, start: int, inside: bool, marks: str) -> float:
     return 3
 
 
-def _paragraph(p: str) -> list[int]:
+def _paragraph(p: str, words: Lattices) -> list[int]:
     """Ends of the sentences of one paragraph."""
     signs = list(SIGN.finditer(p))
     spans = _spans(p, signs)
+    marks_at = [(m.start(), m.end(), m[0], None) for m in signs]
+    if between := words.gaps(p):
+        marks_at = sorted([*marks_at, *((a, b, "", score) for a, b, score in between)], key=lambda x: x[:2])
     nodes: list[tuple[int, float]] = []
     s, start = 0, 0
     closes = {b: a for a, b in spans}
-    for m in signs:
-        at = m.start()
+    for at, stop, c, known in marks_at:
         while s < len(spans) and spans[s][1] < at:
             s += 1
-        c = m[0]
-        if s < len(spans) and spans[s][0] <= at <= spans[s][1]:
+        if known is not None:
+            if s < len(spans) and spans[s][0] < at:
+                continue
+            e, score = at, known
+        elif s < len(spans) and spans[s][0] <= at <= spans[s][1]:
             if at != spans[s][1]:
                 continue
             inner = p[closes[at] + 1 : at].rstrip()
-            marks = regex.compile(rf"[{regex.escape(MARKS)}]+$").search(inner)
+            marks = ENDING.search(inner)
             e = at + 1
             if not marks or marks[0][-1] == ";" or p[e : e + 1] and p[e] in MARKS:
                 continue
             if marks[0] == "." and p[closes[at]] in "([{" and _before_dot(inner, marks.start(), 0)[1].lower() in LEADING:
                 continue
-            score = _gap(p, closes[at] + 1 + marks.start(), e, closes[at] + 1, True, marks[0])
+            score = _gap(p, closes[at] + 1 + marks.start(), e, closes[at] + 1, True, marks[0], words)
         elif c.isspace():
-            nxt = p[m.end() : m.end() + 1]
+            nxt = p[stop : stop + 1]
             blank = any(x not in "\r\n" for x in c)
             good = blank and nxt and (THAI.match(nxt) or nxt.isupper() or nxt in OPEN or nxt in "¿¡")
-            if good and TH.after(p[m.end() : m.end() + 12]) in FINAL_TH:
+            if good and words.th.after(p[stop : stop + 12]) in FINAL_TH:
                 good = False
             if not good:
                 continue
@@ -288,7 +381,7 @@ def _paragraph(p: str) -> list[int]:
             e = at + len(c)
             while e < len(p) and p[e] in CLOSERS and not any(a == e for a, _ in spans[s : s + 1]):
                 e += 1
-            score = _gap(p, at, e, start, False, c)
+            score = _gap(p, at, e, start, False, c, words)
         else:
             continue
         nodes.append((e, score))
@@ -331,8 +424,13 @@ def _best_path(p: str, nodes: list[tuple[int, float]]) -> list[int]:
     return ends or [len(p)]
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
+#: lattices of the particles, final and opening words alone
+PLAIN = Lattices()
+
+
+def sentences(text: str, words: Lattices | None = None) -> list[tuple[int, int]]:
     """(start, end) of each sentence, in code points."""
+    words = words or PLAIN
     out = []
     at = 0
     for m in [*BLANK_LINE.finditer(text), None]:
@@ -342,7 +440,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
         if body:
             base = at + len(p) - len(p.lstrip())
             k = 0
-            for e in _paragraph(body):
+            for e in _paragraph(body, words):
                 while k < e and body[k].isspace():
                     k += 1
                 end = e
@@ -355,22 +453,26 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def sentence_units(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sentence_units(documents: DataFrame, key: str = "doc_id", text: str = "text", dictionary: str | None = DICTIONARY) -> DataFrame:
     """(key, sent_start, sent_end) for each sentence of each document, the whole text long.
 
-    Null, empty and blank texts give no rows, a row delivered twice counts once, other columns are
-    ignored. Every paragraph ends a sentence, so no text is lost; blanks around sentences are left out.
+    Null, empty and blank texts give no rows, a row delivered twice counts once (the sentences are made distinct, not
+    the texts, which are longer), other columns are ignored. Every paragraph ends a sentence, so no text is lost; blanks
+    around sentences are left out. ``dictionary`` is read on the driver; without one the particles, final and opening words
+    make up the lattices.
     """
+    known = spaceless_words(dictionary) if dictionary else frozenset()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Lattices(known)
         for b in batches:
             keys, starts, ends = [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for s, e in sentences(t):
+                for s, e in sentences(t, words):
                     keys.append(k)
                     starts.append(s)
                     ends.append(e)
             yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=[key, "sent_start", "sent_end"])
 
     d = documents.select(F.col(key), F.col(text)).filter(F.col(text).isNotNull() & (F.length(text) > 0))
-    return d.mapInArrow(run, f"`{key}` {d.schema[0].dataType.simpleString()}, sent_start long, sent_end long")
+    return d.mapInArrow(run, f"`{key}` {d.schema[0].dataType.simpleString()}, sent_start long, sent_end long").distinct()

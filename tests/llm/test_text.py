@@ -1,3 +1,5 @@
+import os
+import random
 import unicodedata
 
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kstate.llm.leakage import leaked_items
 from kstate.llm.lookalikes import Rewriter, canonical_text, look_alike_classes, look_alike_pairs
-from kstate.llm.sentences import sentence_units, sentences
+from kstate.llm.sentences import DICTIONARY, PLAIN, Lattices, sentence_units, sentences, spaceless_words
 
 
 def cut(text):
@@ -38,11 +40,50 @@ def test_sentences(text, want):
     assert cut(text) == want
 
 
+# Sentences of scripts without spaces, joined without any full stop: what opens, goes on and closes one.
+SPACELESS_PARTS = {
+    "ja": (["この", "その", "しかし", "それで", "次に", "私は"], ["倉庫が部品を", "何か静かな箱を", "使ったあの鍵を", "記録係の確かな印を"], ["読みました", "閉じます", "待たせるでしょう", "数えますか", "測定しましたね"]),
+    "zh": (["我们", "但是", "今天", "这个", "他们", "如果"], ["在酒吧清点了页面", "了解这座仓库", "打开了我的窗口", "合并吉他的清单"], ["吗", "呢", "吧", "啊"]),
+}
+
+
+@pytest.mark.parametrize("words", [PLAIN, "dictionary"])
+@pytest.mark.parametrize("between", ["", " ", "\u3000"])
+@pytest.mark.parametrize("script", SPACELESS_PARTS)
+def test_spaceless_text_without_full_stops(script, between, words):
+    if words == "dictionary":
+        if not os.path.exists(DICTIONARY):
+            pytest.skip("no vocabulary here")
+        words = Lattices(spaceless_words(DICTIONARY))
+    rng, right, found, true = random.Random(6), 0, 0, 0
+    for _ in range(60):
+        own = ["".join(map(rng.choice, SPACELESS_PARTS[script])) for _ in range(rng.randrange(1, 9))]
+        text, want, at = between.join(own), set(), 0
+        for x in own:
+            want.add((at, at + len(x)))
+            at += len(x) + len(between)
+        got = set(sentences(text, words))
+        right, found, true = right + len(got & want), found + len(got), true + len(want)
+    assert right >= 0.995 * found and right >= 0.995 * true
+
+
+@pytest.mark.parametrize("text", ["何かこの機械が動きます", "使ったこの機械は古い", "我们去酒吧我请客", "Spark 引擎 数据", "他来了吗\n我们走吧", "「これはです この」と書く。"])
+def test_spaceless_text_that_goes_on(text):
+    assert cut(text) == [text]
+
+
+def test_thai_gaps():
+    own = ["ดัชนีปิดกุญแจ", "แต่สะพานเปิดหน้า", "ผู้เฝ้านับกล่องครับ", "จากนั้นบัญชีแบ่งแถว"]
+    assert cut(" ".join(own)) == own and cut("".join(own)) == ["".join(own)]
+
+
 def test_sentence_units_of_odd_rows(spark):
     long = "A b c. " * 20_000
-    rows = [(1, None), (2, ""), (3, "Hi. You"), (4, long), (5, "(" * 3000 + "a. B")]
+    rows = [(1, None), (2, ""), (3, "Hi. You"), (4, long), (5, "(" * 3000 + "a. B"), (3, "Hi. You")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("sent_start", F.lit(0))
     got = sentence_units(df).collect()
+    assert sum(r.doc_id == 3 for r in got) == 2 and sentence_units(df, dictionary=None).count() == len(got)
+    assert sentence_units(df.limit(0)).count() == 0
     assert {(r.sent_start, r.sent_end) for r in got if r.doc_id == 3} == {(0, 3), (4, 7)}
     assert sum(r.doc_id == 4 for r in got) == 20_000 and not any(r.doc_id in (1, 2) for r in got)
 
