@@ -30,8 +30,9 @@ from kstate.runtime import cut
 
 #: Bits of the parity sketch, and the largest set size a band row states (larger sets pass unchecked).
 SKETCH, MOST = 112, (1 << 16) - 1
-#: Bits of a band's hash; unlike classes meet by chance once in 2^KEY_BITS pairs a band.
-KEY_BITS = 32
+#: Bits of a band's hash: with the number of the band 4 bytes. Unlike classes meet by chance once in 2^KEY_BITS pairs a band, at
+#: a hundred million classes about once a class and band; beyond that, more bits cost less than these meetings.
+KEY_BITS = 26
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -128,21 +129,22 @@ def near_duplicates(
     representative is its smallest key; pairs (kind, rep_a, rep_b, similarity) has each pair of
     classes of one kind with Jaccard >= threshold once, rep_a < rep_b. Copies never meet pairwise.
     Rows with null key, kind or text, and texts without any word, take no part; a row delivered
-    twice counts once, and of several texts of one key and kind the smallest counts; other columns are
-    ignored; texts are used whole. ``key`` is an integer. ``bands`` is by default what ``rows`` needs.
+    twice counts once, and of several texts of one key and kind one counts (that of the least hash of its words); other
+    columns are ignored; texts are used whole. ``key`` is an integer. ``bands`` is by default what ``rows`` needs.
     """
     bands = bands or bands_for(threshold, rows)
     said = records.select(F.col(kind).alias("kind"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     said = said.filter("kind is not null and key is not null and text is not null").filter(F.col("text").rlike(r"[\p{L}\p{N}]"))
-    # the only shuffle of texts: by key, where they stay for the bands and for the verification
-    texts = said.repartition("key").groupBy("key", "kind").agg(F.min("text").alias("text"))
     w = shingles(F.col("text"), shingle_words)
-    same = texts.select("kind", "key", F.unhex(F.md5(F.array_join(F.sort_array(w), "\u0001"))).alias("same"))
-    classes = same.groupBy("kind", "same").agg(F.min("key").alias("rep"))
-    members = cut(same.join(classes.hint("merge"), ["kind", "same"]).select("kind", "rep", "key"))
-    # kinds compared by range: as a further join key they would have all texts shuffled once more
-    reps = members.filter("rep = key").select(F.col("key").alias("rep"), F.col("kind").alias("of"))
-    own = texts.join(reps.hint("merge"), (F.col("key") == F.col("rep")) & F.col("kind").between(F.col("of"), F.col("of")), "left_semi")
+    said = said.withColumn("same", F.unhex(F.md5(F.array_join(F.sort_array(w), "\u0001"))))
+    one = said.groupBy("kind", "key").agg(F.min("same").alias("same"))
+    classes = one.groupBy("kind", "same").agg(F.min("key").alias("rep"))
+    members = cut(one.join(classes.hint("merge"), ["kind", "same"]).select("kind", "rep", "key", "same"))
+    # the only shuffle of texts: by key, where they stay for the bands and for the verification. Kind and word set are compared by
+    # range: as further join keys they would have all texts shuffled once more
+    reps = members.filter("rep = key").select("rep", F.col("kind").alias("of"), F.col("same").alias("set"))
+    found = (F.col("key") == F.col("rep")) & F.col("kind").between(F.col("of"), F.col("of")) & F.col("same").between(F.col("set"), F.col("set"))
+    own = said.repartition("key").join(reps.hint("merge"), found, "left_semi").groupBy("key", "kind").agg(F.min("text").alias("text"))
     flat = own.select(F.col("key").alias("rep"), F.transform(w, lambda x: F.xxhash64(x)).alias("h"), F.xxhash64("kind").alias("k"))
     banded = flat.mapInArrow(_bands(bands, rows), "band long, rep long, s1 long, s2 long")
     a, b = banded.toDF("band", "rep_a", "a1", "a2"), banded.toDF("band", "rep_b", "b1", "b2")
@@ -156,7 +158,7 @@ def near_duplicates(
     pairs = maybe.select("kind", "rep_a", "rep_b", F.inline(counts)).withColumn("all", F.col("sizes") - F.col("both"))
     pairs = pairs.filter(F.col("both") >= threshold * F.col("all") - 1e-9)
     pairs = pairs.select("kind", "rep_a", "rep_b", (F.col("both") / F.col("all")).alias("similarity"))
-    return members.withColumnRenamed("key", key), pairs
+    return members.select("kind", "rep", F.col("key").alias(key)), pairs
 
 
 def expand_pairs(members: DataFrame, pairs: DataFrame, key: str = "key") -> DataFrame:
