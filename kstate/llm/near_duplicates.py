@@ -6,9 +6,9 @@ over the record's words. Coordinates are banded; records that agree in a band be
 sizes and parity sketches of their word sets allow the threshold, and the exact Jaccard similarity of the
 word sets decides.
 
-The parity sketch has 112 bits; a word flips one of them. Two sketches differ in at most as many bits as
+The parity sketch has 80 bits; a word flips one of them. Two sketches differ in at most as many bits as
 the sets differ in words, so the sketch never drops a pair at or above the threshold. What a band row
-carries is a key, the representative's key and 16 bytes of sketch and size; texts are shuffled once.
+carries is a key, the representative's key and 12 bytes of sketch and size; texts are shuffled once.
 
 With the default 4 coordinates a band, 57 bands let a pair at similarity 0.6 meet with probability 0.9996,
 at 0.65 with 0.99998 (``bands_for``). More coordinates a band need more rows, but let fewer unlike pairs
@@ -29,7 +29,7 @@ from kstate.llm.components import connected_components
 from kstate.runtime import cut
 
 #: Bits of the parity sketch, and the largest set size a band row states (larger sets pass unchecked).
-SKETCH, MOST = 112, (1 << 16) - 1
+SKETCH, MOST = 80, (1 << 16) - 1
 #: Bits of a band's hash: with the number of the band 4 bytes. Unlike classes meet by chance once in 2^KEY_BITS pairs a band, at
 #: a hundred million classes about once a class and band; beyond that, more bits cost less than these meetings.
 KEY_BITS = 26
@@ -77,14 +77,13 @@ def circulant_minhash(hashes: np.ndarray, starts: np.ndarray, coordinates: int)
 
 
 def parity_sketch(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit words a record: 64 parities; 48 parities above the size of its set."""
+    """64 parities a record; 16 parities above the size of its set."""
     bit = (hashes.view(np.uint64) >> np.uint64(24)) % np.uint64(SKETCH)
     low = bit < 64
-    one = np.uint64(1)
-    first = np.where(low, one << (bit & np.uint64(63)), np.uint64(0))
-    second = np.where(low, np.uint64(0), one << ((bit - np.uint64(48)) & np.uint64(63)))
-    second = np.bitwise_xor.reduceat(second, starts) | np.minimum(sizes, MOST).astype(np.uint64)
-    return np.bitwise_xor.reduceat(first, starts).view(np.int64), second.view(np.int64)
+    first = np.where(low, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
+    second = np.where(low, 0, np.uint64(1) << (bit & np.uint64(31))).astype(np.uint32) << np.uint32(16)
+    second = np.bitwise_xor.reduceat(second, starts) | np.minimum(sizes, MOST).astype(np.uint32)
+    return np.bitwise_xor.reduceat(first, starts).view(np.int64), second.view(np.int32)
 
 
 def _bands(bands: int, rows: int):
@@ -146,7 +145,7 @@ def near_duplicates(
     found = (F.col("key") == F.col("rep")) & F.col("kind").between(F.col("of"), F.col("of")) & F.col("same").between(F.col("set"), F.col("set"))
     own = said.repartition("key").join(reps.hint("merge"), found, "left_semi").groupBy("key", "kind").agg(F.min("text").alias("text"))
     flat = own.select(F.col("key").alias("rep"), F.transform(w, lambda x: F.xxhash64(x)).alias("h"), F.xxhash64("kind").alias("k"))
-    banded = flat.mapInArrow(_bands(bands, rows), "band long, rep long, s1 long, s2 long")
+    banded = flat.mapInArrow(_bands(bands, rows), "band long, rep long, s1 long, s2 int")
     a, b = banded.toDF("band", "rep_a", "a1", "a2"), banded.toDF("band", "rep_b", "b1", "b2")
     meet = (a["band"] == b["band"]) & (F.col("rep_a") < F.col("rep_b"))
     maybe = a.join(b.hint("merge"), meet & _may_be_similar(threshold)).select("rep_a", "rep_b").distinct()
