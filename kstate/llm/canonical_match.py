@@ -2,15 +2,17 @@
 
 The reference list is small and broadcast in blocks of bounded size: its words and its whole keys stand
 in symmetric-delete dictionaries (every deletion of up to two letters of a prefix points to the word), so a
-typed word finds all words within the bound by looking up its own deletions. Finds are verified and
-ranked by a weighted Damerau-Levenshtein distance; equal distances go to the entry named most often
-in the data. Names that mean no entry are reported as unmatched.
+typed word finds all words within the bound by looking up its own deletions, and the words it may be cut
+short from in the sorted list. Finds are verified and ranked by a weighted Damerau-Levenshtein distance; a name that is
+a key of the list means that key, whatever else is near; equal distances go to the entry named most often in the data.
+Names that mean no entry are reported as unmatched.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +23,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Words that say nothing about which entry is meant.
+from kstate.runtime import cut
+
+#: Words that say nothing about which entry is meant: articles and remarks; a parameter.
 FILLERS = frozenset("a an the our my this that new draft see note notes service copy final wip todo tbd n na untitled unknown unnamed none null misc test".split())
 UNMATCHED = "unmatched"
 TOKEN = regex.compile(r"([\p{L}\p{N}]+)(\.?)")
@@ -119,7 +123,8 @@ def tokens(name: str) -> list[tuple[str, bool]]:
 class NameIndex:
     """A bounded block of reference entries: (id, title, aliases, former titles)."""
 
-    def __init__(self, entries: list[tuple[str, str | None, list, list]], vocabulary: set[str]) -> None:
+    def __init__(self, entries: list[tuple[str, str | None, list, list]], vocabulary: set[str], fillers: frozenset[str] = FILLERS) -> None:
+        self.fillers = fillers
         #: key -> ids; keys are the words of a title, alias or former title, the last of least rank
         self.keys: dict[tuple[str, ...], dict[str, float]] = defaultdict(dict)
         for ident, title, aliases, former in entries:
@@ -141,17 +146,14 @@ class NameIndex:
         self.whole = SymmetricDelete({j for j in self.joined if not any(c.isdigit() for c in j)})
         self.options = lru_cache(200_000)(self._options)
 
-    @staticmethod
-    def filler(word: str, cut: bool) -> float | None:
-        """Cost of leaving a word out, None if it says something."""
-        if word in FILLERS or word == "s":
-            return 0.0
-        if word.endswith("s") and word[:-1] in FILLERS:
+    def filler(self, word: str, cut: bool) -> float | None:
+        """Cost of leaving a word out, None if it says something; only the listed words, their plurals and, before a dot, their beginnings."""
+        if word in self.fillers or word == "s":
+            return 0.02
+        if word.endswith("s") and word[:-1] in self.fillers:
             return 0.05
-        if cut and len(word) >= 3 and any(f.startswith(word) for f in FILLERS):
+        if cut and len(word) >= 3 and any(f.startswith(word) for f in self.fillers):
             return 0.1
-        if len(word) >= 5 and any(len(f) >= 5 and distance(word, f, 1) for f in FILLERS):
-            return 0.3
         return None
 
     @staticmethod
@@ -179,16 +181,24 @@ class NameIndex:
             for w, d in self.words.near(base, edits_allowed(len(base))):
                 offer(w, d + extra)
         if cut and len(word) >= 2 or len(word) >= 4:
-            for w in self.sorted:
+            for w in self.starting(word):
                 if len(w) > len(word):
-                    if w.startswith(word):
-                        offer(w, 0.3 if cut else 0.5)
-                    elif cut and len(word) >= 4 and w[0] == word[0]:
-                        for n in (len(word) - 1, len(word), len(word) + 1):
-                            if d := distance(word, w[:n], 1):
-                                offer(w, 0.3 + d[1])
+                    offer(w, 0.3 if cut else 0.5)
+        if cut and len(word) >= 4:
+            for w in self.starting(word[0]):
+                if len(w) > len(word) and not w.startswith(word):
+                    for n in (len(word) - 1, len(word), len(word) + 1):
+                        if d := distance(word, w[:n], 1):
+                            offer(w, 0.3 + d[1])
         return tuple(sorted(best.items(), key=lambda x: (x[1], x[0])))
 
+    def starting(self, beginning: str) -> Iterator[str]:
+        """Words of the list with this beginning."""
+        k = bisect_left(self.sorted, beginning)
+        while k < len(self.sorted) and self.sorted[k].startswith(beginning):
+            yield self.sorted[k]
+            k += 1
+
     def match(self, name: str | None) -> tuple[list[str], float]:
         """Ids of the entries meant, all of equal cost, and that cost; none if the name means no entry."""
         found = self.match_words(tokens(name or ""))
@@ -197,6 +207,9 @@ class NameIndex:
         return found
 
     def match_words(self, typed: list[tuple[str, bool]]) -> tuple[list[str], float]:
+        key = tuple(w for w, _ in typed)
+        if key in self.keys:
+            return self.best({key: 0.0})
         skip = [self.filler(w, c) for w, c in typed]
         if all(x is not None for x in skip):
             joined = "".join(w for w, _ in typed)
@@ -207,7 +220,7 @@ class NameIndex:
             cost = self.assign(k, typed, options, skip)
             if cost is not None:
                 found[k] = cost
-        if not found or min(found.values()) > 0.05:
+        if not found or min(found.values()) > 0.1:
             kept = [w for (w, _), s in zip(typed, skip) if s is None]
             for words in (kept, [w for w, _ in typed]):
                 self.blanks_moved(words, found)
@@ -261,7 +274,7 @@ class NameIndex:
             for k in self.joined[joined]:
                 found[k] = min(found.get(k, 9.0), 0.01)
             return
-        for f in FILLERS:
+        for f in self.fillers:
             if len(f) > 2 and len(joined) > len(f) + 3:
                 if joined.endswith(f):
                     offer(joined[: -len(f)], 0.02)
@@ -286,12 +299,12 @@ class NameIndex:
         return sorted(i for i, c in ids.items() if c <= least + 1e-9), least
 
 
-def map_to_canonical(names: DataFrame, reference: DataFrame, key: str = "candidate_no", name: str = "candidate_name") -> DataFrame:
+def map_to_canonical(names: DataFrame, reference: DataFrame, key: str = "candidate_no", name: str = "candidate_name", fillers: frozenset[str] = FILLERS) -> DataFrame:
     """(key, name, internal_id, cost): one row for each key; internal_id is the entry meant or 'unmatched'.
 
     ``reference`` has internal_id, title, aliases, title_history. A name is matched by whole words, each
-    exact, in the plural, cut short or within one slip (two from eight letters on), in any order, filler words
-    aside, or with its blanks left out or put in. Null, blank and filler names and names with a further word
+    exact, in the plural, cut short or within one slip (two from eight letters on), in any order, the words of ``fillers``
+    aside, or with its blanks left out or put in; a name that is a key of the list means that key. Null, blank and filler names and names with a further word
     are unmatched (cost null). Of several entries at the same cost the one most often named exactly in these rows
     wins, then the smallest id. Keys delivered twice count once, null keys are left out, further columns
     are ignored; an empty reference list leaves every name unmatched.
@@ -302,10 +315,14 @@ def map_to_canonical(names: DataFrame, reference: DataFrame, key: str = "candida
     blocks = max(1, math.ceil(ref.count() / ENTRY_BLOCK))
     parts = [[tuple(r) for r in ref.filter(F.pmod(F.xxhash64("internal_id"), F.lit(blocks)) == b).collect()] for b in range(blocks)]
     vocabulary = {w for part in parts for _, t, a, h in part for f in (t, *(a or []), *(h or [])) if f for w, _ in tokens(f)}
+    # a name takes a millisecond, so few bytes are much work: as many parts as there are for a shuffle, not coalesced
+    typed = typed.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
     out = None
     for part in parts:
-        found = typed.mapInArrow(_matcher(sorted(part, key=lambda r: r[0]), vocabulary), "name string, n long, ids array<string>, cost double")
+        found = typed.mapInArrow(_matcher(sorted(part, key=lambda r: r[0]), vocabulary, fillers), "name string, n long, ids array<string>, cost double")
         out = found if out is None else out.unionByName(found)
+    # cut, or the names would be matched once for their entries and once for the ranks of these
+    out = cut(out)
     # blocks meet: the least cost of a name, with all its entries
     one = out.select("name", "n", "cost", F.explode("ids").alias("internal_id"))
     if blocks > 1:
@@ -317,11 +334,11 @@ def map_to_canonical(names: DataFrame, reference: DataFrame, key: str = "candida
     return rows.join(best, "name", "left").select(F.col("key").alias(key), F.col("name").alias(name), F.coalesce("internal_id", F.lit(UNMATCHED)).alias("internal_id"), "cost")
 
 
-def _matcher(entries: list, vocabulary: set[str]):
+def _matcher(entries: list, vocabulary: set[str], fillers: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = None
         for b in batches:
-            index = index or NameIndex(entries, vocabulary)
+            index = index or NameIndex(entries, vocabulary, fillers)
             got = [index.match(x) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([g[0] for g in got], pa.list_(pa.string())), pa.array([g[1] for g in got], pa.float64())], names=["name", "n", "ids", "cost"]

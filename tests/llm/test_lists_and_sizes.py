@@ -23,6 +23,14 @@ def test_names(name, want):
     assert got == ([want] if want else [])
 
 
+def test_a_whole_key_wins_over_fillers():
+    entries = [("A", "Payment", [], []), ("B", "Payment Service", [], []), ("C", "Policy", None, None)]
+    voc = {w for _, t, _, _ in entries for w, _ in tokens(t)}
+    for name, want in {"Payment Service": ["B"], "payment service (draft)": ["B"], "the Payment": ["A"], "Payment": ["A"], "Policy Craft": [], "Policy drafts": ["C"], "Policy remark": []}.items():
+        assert NameIndex(entries, voc).match(name)[0] == want, name
+    assert NameIndex(entries, voc, frozenset(["remark"])).match("Policy remark")[0] == ["C"]
+
+
 def brute_distance(a, b):
     d = np.zeros((len(a) + 1, len(b) + 1), int)
     d[:, 0], d[0, :] = range(len(a) + 1), range(len(b) + 1)
