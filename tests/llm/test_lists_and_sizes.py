@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kstate.llm.canonical_match import NameIndex, distance, map_to_canonical, tokens
-from kstate.llm.mixture import min_cost_flow, mix, route, shares
+from kstate.llm.mixture import count_tokens, min_cost_flow, mix, route, shares
 from kstate.llm.packing import best_fit, fill_in_turn, greedy, lower_bound, nnls, pack, place, plan, spread, total
 
 ENTRIES = [("1", "Cobalt Quarantine Protocol", ["Taexgriaquaet", "CQPL96"], []), ("2", "Cobalt Protocol", [], ["Fiageinuth Vault"]), ("3", "Falcon Ledger", [], []), ("4", "Birch Monitor", [], []), ("5", "Copper Vault", None, None)]
@@ -153,3 +153,19 @@ def test_mix(spark):
     assert s["c"].tokens == pytest.approx(s["a"].tokens / 5, rel=0.15)
     assert sorted(m.collect()) == sorted(mix(docs.repartition(3), targets).collect())
     assert mix(docs.limit(0), targets).count() == 0
+    with pytest.raises(ValueError):
+        mix(docs, targets.union(spark.createDataFrame([("a", 0.6, 1)], targets.schema)))
+
+
+def test_mix_reaches_its_quotas(spark):
+    """Of disjoint sources each gives the smaller of its quota and all its tokens times max_repeat, to within a document a pattern."""
+    rng = random.Random(8)
+    rows = [(n, rng.choice("aaaabbc"), f"{n} " + " ".join(rng.choice(["one", "two", "three"]) for _ in range(rng.randrange(1, 30)))) for n in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("a", 0.2, 1), ("b", 0.4, 2), ("c", 0.4, 2)], "source string, target_share double, max_repeat int")
+    own = {r.source: r.t for r in count_tokens(docs, "text", ["source"]).groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
+    total, got = sum(own.values()), {r.source: r for r in shares(mix(docs, targets), targets).collect()}
+    for source, share, repeat in (("a", 0.2, 1), ("b", 0.4, 2), ("c", 0.4, 2)):
+        want = min(int(share * total), own[source] * repeat)
+        assert abs(got[source].tokens - want) <= 60 and got[source].most_uses <= repeat
+    assert sum(r.share for r in got.values()) == pytest.approx(1) and got["c"].gap < -0.05
