@@ -7,6 +7,7 @@ on members and bytes are enforced while reading.
 from __future__ import annotations
 
 import bz2
+import functools
 import gzip
 import hashlib
 import io
@@ -14,9 +15,11 @@ import lzma
 import posixpath
 import tarfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from pathlib import PurePosixPath
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -26,7 +29,8 @@ from pyspark.sql import functions as F
 from kstate.functions.canon import KStateError, canonical_json
 
 TEXT_ROUTES = ("text", "markdown", "markup", "structured-text", "text-source")
-UNIT_SCHEMA = "path string, unit_index int, kind string, text string, data string, native_locator string, diagnostics array<string>"
+UNIT_SCHEMA = "path string, unit_index int, kind string, text string, data string, native_locator string, metadata string, diagnostics array<string>"
+COLUMNS = [f.split()[0] for f in UNIT_SCHEMA.split(", ")]
 
 
 @dataclass(frozen=True)
@@ -44,8 +48,8 @@ class Limits:
 
 
 LIMITS = Limits()
-#: kind, text, data, locator, diagnostics
-Unit = tuple[str, str | None, dict, dict, list[str]]
+#: kind, text, data, locator, diagnostics, metadata; kind None marks a diagnostic of the file, which is no unit
+Unit = tuple[str | None, str | None, dict, dict, list[str], dict]
 
 
 class Budget:
@@ -61,18 +65,29 @@ class Budget:
             raise KStateError("container exceeds the extraction limits")
 
 
+def decoded(data: bytes, hint: str | None = None) -> tuple[str, str] | None:
+    """Text of bytes and the encoding that reads it: the mark's, the hint's, UTF-8; None if none does."""
+    tries = [hint] if hint and hint != "empty" else []
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        tries.insert(0, "utf-16")
+    elif data[:3] == b"\xef\xbb\xbf":
+        tries.append("utf-8-sig")
+    for encoding in dict.fromkeys([*tries, "utf-8"]):
+        try:
+            return data.decode(encoding), encoding
+        except UnicodeDecodeError:
+            continue
+    return None
+
+
 def maybe_text(data: bytes) -> str | None:
-    """The text of bytes that are UTF-8 (or marked UTF-16) with few control characters, else None."""
-    try:
-        if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
-            text = data.decode("utf-16")
-        else:
-            text = data.decode("utf-8-sig")
-    except UnicodeDecodeError:
+    """The text of bytes that decode and hold few control characters, else None."""
+    got = decoded(data)
+    if got is None:
         return None
-    head = text[:65_536]
+    head = got[0][:65_536]
     odd = sum(c < " " and c not in "\t\n\r\f\b" for c in head)
-    return None if "\0" in head or odd > max(1, len(head) // 100) else text
+    return None if odd > max(1, len(head) // 100) else got[0]
 
 
 def xml_root(data: bytes) -> ElementTree.Element:
@@ -88,248 +103,265 @@ def local(tag: str) -> str:
 
 
 def runs(node: ElementTree.Element) -> str:
-    """Text of office markup; tabs and breaks become their characters, tab stops of paragraph settings do not."""
-    out = []
+    """Text of office markup; tab and break elements become their characters."""
+    signs = {"tab": "\t", "br": "\n"}
+    return "".join(n.text or "" if local(n.tag) == "t" else signs.get(local(n.tag), "") for n in node.iter())
 
-    def walk(n: ElementTree.Element) -> None:
-        name = local(n.tag)
-        if name == "t":
-            out.append(n.text or "")
-        elif name == "tab":
-            out.append("\t")
-        elif name == "br":
-            out.append("\n")
-        if name not in ("pPr", "t"):
-            for c in n:
-                walk(c)
 
-    walk(node)
-    return "".join(out)
+def plain(node: ElementTree.Element) -> str:
+    """Text elements alone, as shared and inline strings have them."""
+    return "".join(n.text or "" for n in node.iter() if local(n.tag) == "t")
+
+
+def inside(folder: str, target: str) -> str:
+    """A part named from a folder of a package; one that leaves the package is refused."""
+    full = posixpath.normpath(target.lstrip("/") if target.startswith("/") else posixpath.join(folder, target))
+    if full == ".." or full.startswith(("../", "/")):
+        raise KStateError(f"{target} leaves the package")
+    return full
 
 
 def relations(z: zipfile.ZipFile, part: str) -> dict[str, str]:
-    """Parts a part refers to inside the package; external ones are left out, escaping ones refused."""
+    """Parts a part refers to inside the package; external ones are left out, escaping ones and a missing list refused."""
     folder, name = posixpath.split(part)
-    where = posixpath.join(folder, "_rels", name + ".rels")
     found = {}
-    if where in z.namelist():
-        for r in xml_root(z.read(where)):
-            if r.get("TargetMode") == "External":
-                continue
-            target = r.get("Target", "")
-            full = posixpath.normpath(target.lstrip("/") if target.startswith("/") else posixpath.join(folder, target))
-            if full.startswith("../") or full == "..":
-                raise KStateError("relation leaves the package")
-            found[r.get("Id", "")] = full
+    for r in xml_root(z.read(posixpath.join(folder, "_rels", name + ".rels"))).iter():
+        if local(r.tag) == "Relationship" and r.get("Id") and r.get("Target") and r.get("TargetMode") != "External":
+            found[r.get("Id")] = inside(folder, unquote(r.get("Target")))
     return found
 
 
-def reference(node: ElementTree.Element) -> str:
-    return next((v for k, v in node.attrib.items() if k.endswith("}id")), "")
+def referred(z: zipfile.ZipFile, part: str, element: str) -> list[tuple[ElementTree.Element, str]]:
+    """Elements of a part, in order, with the package part each refers to; those without one are left out, none at all is an error."""
+    parts = relations(z, part)
+    found = []
+    for n in xml_root(z.read(part)).iter():
+        if local(n.tag) == element:
+            ident = next((v for k, v in n.attrib.items() if k.endswith("}id")), None)
+            if ident in parts:
+                found.append((n, parts[ident]))
+    if not found:
+        raise KStateError(f"{part} refers to no part")
+    return found
 
 
-def docx(z: zipfile.ZipFile, path: str) -> Iterator[Unit]:
-    body = xml_root(z.read("word/document.xml")).find("./{*}body")
+def docx(z: zipfile.ZipFile) -> Iterator[Unit]:
+    """Every paragraph of the body, empty ones too, and every row of its tables."""
+    root = xml_root(z.read("word/document.xml"))
     paragraph = table = 0
-    for child in body if body is not None else ():
+    for child in next((n for n in root.iter() if local(n.tag) == "body"), root):
         if local(child.tag) == "p":
             paragraph += 1
-            if text := runs(child):
-                yield "paragraph", text, {}, {"path": path, "paragraph": paragraph}, []
+            yield "paragraph", runs(child), {}, {"paragraph": paragraph}, [], {"format": "docx"}
         elif local(child.tag) == "tbl":
             table += 1
             for n, row in enumerate(child.findall("./{*}tr"), 1):
-                cells = ["\n".join(runs(p) for p in cell.findall("./{*}p")) for cell in row.findall("./{*}tc")]
-                yield "table-row", "\t".join(cells), {"cells": cells}, {"path": path, "table": table, "row": n}, []
-
-
-def pptx(z: zipfile.ZipFile, path: str) -> Iterator[Unit]:
-    parts = relations(z, "ppt/presentation.xml")
-    slides = xml_root(z.read("ppt/presentation.xml")).findall(".//{*}sldId")
-    for n, s in enumerate(slides, 1):
-        for k, p in enumerate(xml_root(z.read(parts[reference(s)])).iter("{http://schemas.openxmlformats.org/drawingml/2006/main}p"), 1):
-            if text := runs(p):
-                yield "slide-paragraph", text, {}, {"path": path, "slide": n, "paragraph": k}, []
-
-
-def xlsx(z: zipfile.ZipFile, path: str) -> Iterator[Unit]:
-    shared = [runs(s) for s in xml_root(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
-    parts = relations(z, "xl/workbook.xml")
-    for n, sheet in enumerate(xml_root(z.read("xl/workbook.xml")).findall(".//{*}sheet"), 1):
-        for row in xml_root(z.read(parts[reference(sheet)])).iter("{http://schemas.openxmlformats.org/spreadsheetml/2006/main}row"):
-            cells = []
-            for c in row.findall("./{*}c"):
-                raw, formula = c.find("./{*}v"), c.find("./{*}f")
-                value = raw.text if raw is not None else None
-                if c.get("t") == "s" and value is not None:
-                    value = shared[int(value)]
-                elif c.get("t") == "inlineStr":
-                    value = runs(c)
-                cells.append({"reference": c.get("r"), "type": c.get("t"), "value": value, "formula": None if formula is None else formula.text})
-            number = int(row.get("r")) if row.get("r") else None
-            yield "worksheet-row", "\t".join(c["value"] or "" for c in cells), {"cells": cells}, {"path": path, "sheet": n, "sheet_name": sheet.get("name"), "row": number}, []
-
-
-def odf(z: zipfile.ZipFile, path: str) -> Iterator[Unit]:
-    def text_of(n: ElementTree.Element) -> str:
-        out = [n.text or ""]
-        for c in n:
-            name = local(c.tag)
-            out.append("\t" if name == "tab" else "\n" if name == "line-break" else " " * int(next((v for k, v in c.attrib.items() if k.endswith("}c")), 1)) if name == "s" else text_of(c))
-            out.append(c.tail or "")
-        return "".join(out)
-
-    for k, n in enumerate(xml_root(z.read("content.xml")).iter(), 1):
-        where = {"path": path, "element": k}
-        if local(n.tag) == "table-row":
-            cells = ["\n".join(text_of(p) for p in cell.iter() if local(p.tag) == "p") for cell in n if local(cell.tag) == "table-cell"]
-            yield "table-row", "\t".join(cells), {"cells": cells}, where, []
-        elif local(n.tag) in ("p", "h") and (text := text_of(n)):
-            yield "paragraph", text, {}, where, []
+                cells = [runs(c) for c in row.findall("./{*}tc")]
+                yield "table-row", "\t".join(cells), {"cells": cells}, {"table": table, "row": n}, [], {"format": "docx"}
+
+
+def pptx(z: zipfile.ZipFile) -> Iterator[Unit]:
+    """Paragraphs of each slide that hold anything, counted within the slide."""
+    for slide, (_, part) in enumerate(referred(z, "ppt/presentation.xml", "sldId"), 1):
+        held = (n for n in xml_root(z.read(part)).iter() if local(n.tag) == "p" and (len(n) or runs(n)))
+        for k, p in enumerate(held, 1):
+            yield "slide-paragraph", runs(p), {}, {"slide": slide, "paragraph": k}, [], {"format": "pptx"}
+
+
+def xlsx(z: zipfile.ZipFile) -> Iterator[Unit]:
+    """Rows of each sheet: values (shared and inline strings looked up) beside formulas."""
+    shared = [plain(s) for s in xml_root(z.read("xl/sharedStrings.xml")) if local(s.tag) == "si"] if "xl/sharedStrings.xml" in z.namelist() else []
+
+    def cell(c: ElementTree.Element) -> dict:
+        part = {local(n.tag): n for n in reversed(list(c))}
+        kind = c.get("t")
+        value = part["v"].text if "v" in part else None
+        if kind == "inlineStr" and "is" in part:
+            value = plain(part["is"])
+        elif kind == "s" and value is not None and value.isdigit() and int(value) < len(shared):
+            value = shared[int(value)]
+        return {"coordinate": c.get("r"), "type": kind, "value": value, "formula": part["f"].text if "f" in part else None}
+
+    for n, (sheet, part) in enumerate(referred(z, "xl/workbook.xml", "sheet"), 1):
+        for row in (r for r in xml_root(z.read(part)).iter() if local(r.tag) == "row"):
+            cells = [cell(c) for c in row if local(c.tag) == "c"]
+            number = row.get("r") or ""
+            where = {"sheet": n, "sheet_name": sheet.get("name") or f"Sheet{n}", "row": int(number) if number.isdigit() else None}
+            yield "worksheet-row", "\t".join(c["value"] or "" for c in cells), {"cells": cells}, where, [], {"format": "xlsx"}
+
+
+def odf(z: zipfile.ZipFile, fmt: str) -> Iterator[Unit]:
+    """Headings, paragraphs and table rows in document order, each counted."""
+    k = 0
+    for n in xml_root(z.read("content.xml")).iter():
+        if local(n.tag) in ("h", "p"):
+            k += 1
+            yield "paragraph", "".join(n.itertext()), {}, {"element": k}, [], {"format": fmt}
+        elif local(n.tag) == "table-row":
+            k += 1
+            cells = ["".join(c.itertext()) for c in n if local(c.tag) == "table-cell"]
+            yield "table-row", "\t".join(cells), {"cells": cells}, {"element": k}, [], {"format": fmt}
 
 
 class _PlainText(HTMLParser):
-    BLOCKS = frozenset("address article aside blockquote br dd div dl dt figure footer h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tr ul".split())
+    # The tags that break lines.
+    BLOCKS = frozenset("article br div h1 h2 h3 h4 h5 h6 li p section tr".split())
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:  # noqa: ARG002
-        if tag in self.BLOCKS:
-            self.out.append("\n")
+        self.out.append("\n" * (tag in self.BLOCKS))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in self.BLOCKS:
-            self.out.append("\n")
+        self.out.append("\n" * (tag in self.BLOCKS))
 
     def handle_data(self, data: str) -> None:
         self.out.append(data)
 
 
 def html_text(html: str) -> str:
-    """Text of a page: block tags break lines, runs of blank lines shrink to one break."""
+    """Text of a page, blanks kept; the start and the end of a block are line breaks."""
     p = _PlainText()
     p.feed(html)
     p.close()
-    return "\n".join(x for line in "".join(p.out).split("\n") if (x := " ".join(line.split())))
+    return "".join(p.out)
 
 
-def epub(z: zipfile.ZipFile, path: str) -> Iterator[Unit]:
-    names = set(z.namelist())
+def epub(z: zipfile.ZipFile) -> Iterator[Unit]:
+    """Chapters in the order of the spine; what the spine names and the book lacks is a diagnostic of the file."""
     package = next(r.get("full-path", "") for r in xml_root(z.read("META-INF/container.xml")).iter() if local(r.tag) == "rootfile")
-    root = xml_root(z.read(package))
-    manifest = {i.get("id"): i.get("href") for i in root.iter() if local(i.tag) == "item"}
+    root, names = xml_root(z.read(package)), set(z.namelist())
+    manifest = {i.get("id"): i.get("href") for i in root.iter() if local(i.tag) == "item" and i.get("id") and i.get("href")}
     for n, item in enumerate((i for i in root.iter() if local(i.tag) == "itemref"), 1):
         href = manifest.get(item.get("idref"))
-        where = {"path": path, "spine": n}
         if href is None:
-            yield "epub-spine-item", None, {}, where, ["spine-item-not-in-manifest"]
+            yield None, None, {}, {}, [f"epub-spine-missing-manifest-item:{item.get('idref')}"], {}
             continue
-        member = posixpath.normpath(posixpath.join(posixpath.dirname(package), href))
-        if member not in names:
-            yield "epub-spine-item", None, {}, where | {"member": member}, ["spine-member-missing"]
+        part = inside(posixpath.dirname(package), unquote(href))
+        if part not in names:
+            yield None, None, {}, {}, [f"epub-spine-member-missing:{part}"], {}
             continue
-        yield "epub-spine-item", html_text(z.read(member).decode("utf-8-sig")), {}, where | {"member": member}, []
+        yield "epub-spine-item", html_text(z.read(part).decode("utf-8", "replace")), {}, {"spine": n, "member": part}, [], {"format": "epub"}
 
 
-def member(name: str, data: bytes, path: str) -> Unit:
+def member(name: str, data: bytes) -> Unit:
     text = maybe_text(data)
-    return "archive-member", text, {"sha256": hashlib.sha256(data).hexdigest(), "size": len(data)}, {"path": path, "member": name}, [] if text is not None else ["binary-member-not-decoded"]
+    return "archive-member", text, {"sha256": hashlib.sha256(data).hexdigest(), "size": len(data)}, {"member": name}, [] if text is not None else ["archive-member-binary-not-decoded"], {}
 
 
-def zip_members(z: zipfile.ZipFile, path: str, limits: Limits) -> Iterator[Unit]:
-    budget = Budget(limits)
+def zip_members(z: zipfile.ZipFile, limits: Limits) -> Iterator[Unit]:
+    guard((i.file_size for i in z.infolist()), limits)
     for info in z.infolist():
-        budget.take(info.file_size)
         if info.is_dir():
-            yield "archive-directory", None, {}, {"path": path, "member": info.filename}, []
+            yield "archive-directory", None, {}, {"member": info.filename}, [], {}
         else:
-            yield member(info.filename, z.read(info), path)
+            yield member(info.filename, z.read(info))
 
 
-def tar_members(data: bytes, path: str, limits: Limits) -> Iterator[Unit]:
-    budget = Budget(limits)
-    with tarfile.open(fileobj=io.BytesIO(data), mode="r:") as t:
-        for info in t:
-            budget.take(info.size)
-            if info.isdir():
-                yield "archive-directory", None, {}, {"path": path, "member": info.name}, []
-            elif info.isfile():
-                yield member(info.name, t.extractfile(info).read(), path)
+def tar_members(data: bytes, limits: Limits) -> Iterator[Unit]:
+    """Files of a tape archive; folders, links and devices are entries without content."""
+    with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as t:
+        every = t.getmembers()
+        guard((i.size if i.isfile() else 0 for i in every), limits)
+        for info in every:
+            if info.isfile():
+                yield member(info.name, t.extractfile(info).read())
             else:
-                yield "archive-entry", None, {"tar_type": info.type.decode("latin-1"), "link": info.linkname}, {"path": path, "member": info.name}, ["archive-entry-not-followed"]
+                yield "archive-entry", None, {}, {"member": info.name}, [], {"tar_type": info.type.decode("latin-1")}
+
+
+def guard(sizes: Iterable[int], limits: Limits) -> None:
+    budget = Budget(limits)
+    for n in sizes:
+        budget.take(n)
 
 
 def single(data: bytes, path: str, opener: Callable, limits: Limits) -> Iterator[Unit]:
     with opener(io.BytesIO(data)) as f:
         body = f.read(limits.member_bytes + 1)
-    Budget(limits).take(len(body))
-    yield member(posixpath.splitext(posixpath.basename(path))[0], body, path)
+    guard([len(body)], limits)
+    yield member(PurePosixPath(path).stem, body)
 
 
 def pdf(data: bytes, path: str, limits: Limits) -> Iterator[Unit]:
     try:
         from pypdf import PdfReader
     except ImportError:
-        yield "unsupported", None, {}, {"path": path}, ["pdf-reader-not-installed"]
+        yield "unsupported", None, {}, {"path": path}, ["pdf-reader-not-installed"], {"format": "pdf"}
         return
     reader = PdfReader(io.BytesIO(data), strict=False)
-    if len(data) > limits.pdf_bytes or reader.is_encrypted or len(reader.pages) > limits.pages:
+    if len(data) > limits.pdf_bytes or reader.is_encrypted and not reader.decrypt("") or len(reader.pages) > limits.pages:
         raise KStateError("PDF is encrypted or exceeds the limits")
     chars = 0
     for n, page in enumerate(reader.pages, 1):
-        text = page.extract_text() or ""
+        try:
+            text = page.extract_text() or ""
+        except Exception as e:  # noqa: BLE001 - a page that cannot be read is a diagnostic, the others count
+            text = ""
+            yield None, None, {}, {}, [f"pdf-page-extraction-failed:{n}:{type(e).__name__}"], {}
         chars += len(text)
         if chars > limits.page_chars:
             raise KStateError("PDF text exceeds the limits")
-        yield "page", text, {}, {"path": path, "page": n}, [] if text.strip() else ["empty-page-text"]
+        yield "page", text, {}, {"page": n}, [] if text.strip() else ["pdf-page-has-no-embedded-text"], {"format": "pdf", "media_type": "application/pdf"}
+
+
+PACKAGES = {"docx": docx, "pptx": pptx, "xlsx": xlsx, "epub": epub, **{f: functools.partial(odf, fmt=f) for f in ("odt", "ods", "odp")}}
+STREAMS = {"gzip": lambda f: gzip.GzipFile(fileobj=f), "bzip2": bz2.BZ2File, "xz": lzma.LZMAFile}
+UNREADABLE = (zipfile.BadZipFile, tarfile.TarError, OSError, EOFError, lzma.LZMAError, ElementTree.ParseError, UnicodeDecodeError, KeyError, StopIteration, RuntimeError)
 
 
-def units_of(data: bytes, path: str, route: str, fmt: str, limits: Limits = LIMITS) -> Iterator[Unit]:
+def units_of(data: bytes, path: str, route: str, fmt: str, limits: Limits = LIMITS, media_type: str | None = None, hint: str | None = None) -> Iterator[Unit]:
     """Units of one file by its route and format."""
     try:
         if route in TEXT_ROUTES:
-            if len(data) > limits.text_bytes:
-                raise KStateError("text file exceeds the limits")
-            yield "text-document", data.decode("utf-16" if data[:2] in (b"\xff\xfe", b"\xfe\xff") else "utf-8-sig"), {}, {"path": path}, []
+            got = decoded(data, hint)
+            if len(data) > limits.text_bytes or got is None:
+                raise KStateError(f"{path} exceeds the limits or cannot be decoded as text")
+            yield "text-document", got[0], {}, {"path": path}, [], {"format": fmt, "media_type": media_type, "encoding": got[1]}
         elif fmt == "pdf":
             yield from pdf(data, path, limits)
-        elif fmt in ("docx", "pptx", "xlsx", "odt", "ods", "odp", "epub", "zip"):
+        elif fmt in PACKAGES or fmt == "zip":
             with zipfile.ZipFile(io.BytesIO(data)) as z:
-                if fmt == "zip":
-                    yield from zip_members(z, path, limits)
-                else:
-                    budget = Budget(limits)
-                    for info in z.infolist():
-                        budget.take(info.file_size)
-                    yield from {"docx": docx, "pptx": pptx, "xlsx": xlsx, "epub": epub}.get(fmt, odf)(z, path)
+                guard((i.file_size for i in z.infolist()), limits)
+                yield from PACKAGES[fmt](z) if fmt in PACKAGES else zip_members(z, limits)
         elif fmt == "tar":
-            yield from tar_members(data, path, limits)
-        elif fmt in ("gzip", "bzip2", "xz"):
-            yield from single(data, path, {"gzip": lambda f: gzip.GzipFile(fileobj=f), "bzip2": bz2.BZ2File, "xz": lzma.LZMAFile}[fmt], limits)
+            yield from tar_members(data, limits)
+        elif fmt in STREAMS:
+            yield from single(data, path, STREAMS[fmt], limits)
         else:
-            yield "unsupported", None, {}, {"path": path}, [f"no-extractor:{route}:{fmt}"]
-    except (zipfile.BadZipFile, tarfile.TarError, OSError, EOFError, lzma.LZMAError, ElementTree.ParseError, UnicodeDecodeError, KeyError, StopIteration) as e:
+            note = f"archive-format-not-supported:{fmt}" if route == "archive" else f"no-stage-04-extractor:{route}:{fmt}"
+            yield "unsupported", None, {}, {"path": path}, [note], {"route": route, "format": fmt} | ({} if route == "archive" else {"media_type": media_type})
+            yield None, None, {}, {}, [note], {}
+    except UNREADABLE as e:
         raise KStateError(f"{path} cannot be read as {fmt}: {e}") from e
 
 
-def extract(files: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Units of classified files (path, content, route, format), numbered within each file.
+def extract_all(files: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Units of classified files, and the diagnostics of whole files as rows without kind.
 
-    An unreadable file or one beyond the limits fails the run; formats without an extractor give one
-    ``unsupported`` unit with a diagnostic; null content is empty.
+    ``files`` has path, content, route, format and may have media_type, encoding_hint. An unreadable file or one beyond
+    the limits fails the run; formats without an extractor give one ``unsupported`` unit with a diagnostic; null content is empty.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for path, content, route, fmt in zip(b["path"], b["content"], b["route"], b["format"]):
-                for k, (kind, text, data, where, notes) in enumerate(units_of(bytes(content or b""), path, route, fmt, limits)):
-                    rows.append((path, k, kind, text, canonical_json(data), canonical_json(where), notes))
-            yield pd.DataFrame(rows, columns=["path", "unit_index", "kind", "text", "data", "native_locator", "diagnostics"])
+            for path, content, route, fmt, media, hint in b.itertuples(index=False):
+                k = 0
+                for kind, text, data, where, notes, meta in units_of(bytes(content or b""), path, route, fmt, limits, media, hint):
+                    rows.append((path, k if kind else None, kind, text, canonical_json(data), canonical_json(where), canonical_json(meta), notes))
+                    k += kind is not None
+            yield pd.DataFrame(rows, columns=COLUMNS).astype({"unit_index": "Int32"})
+
+    extra = [F.col(c) if c in files.columns else F.lit(None).cast("string").alias(c) for c in ("media_type", "encoding_hint")]
+    return files.select("path", "content", "route", "format", *extra).mapInPandas(run, UNIT_SCHEMA)
 
-    return files.select("path", "content", "route", "format").mapInPandas(run, UNIT_SCHEMA)
+
+def extract(files: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Units of classified files alone, numbered within each file (see extract_all)."""
+    return extract_all(files, limits).filter("kind is not null")
 
 
 def tree_units(entries: DataFrame) -> DataFrame:
@@ -338,7 +370,7 @@ def tree_units(entries: DataFrame) -> DataFrame:
     where = F.concat(F.lit('{"path":'), F.to_json(F.struct(F.col("path").alias("p"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("path").alias("p")))) - 6), F.lit("}"))
     data = F.when(link, F.to_json(F.struct("target"))).otherwise(F.lit("{}"))
     return entries.filter(F.col("kind") != "file").select(
-        "path", F.lit(0).alias("unit_index"), "kind", F.lit(None).cast("string").alias("text"), data.alias("data"), where.alias("native_locator"),
+        "path", F.lit(0).alias("unit_index"), "kind", F.lit(None).cast("string").alias("text"), data.alias("data"), where.alias("native_locator"), F.lit("{}").alias("metadata"),
         F.when(link, F.array(F.lit("symlink-not-dereferenced"))).otherwise(F.array().cast("array<string>")).alias("diagnostics"),
     )
 
@@ -387,12 +419,12 @@ def git_units(spark, repo: str, commit: str, limits: Limits = LIMITS) -> DataFra
             for r in b.itertuples(index=False):
                 where = canonical_json({"commit": commit, "path": r.path})
                 if r.kind != "blob":
-                    rows.append((r.path, int(r.n), "git-reference", None, canonical_json({"mode": r.mode, "oid": r.oid}), where, ["git-object-not-followed"]))
+                    rows.append((".", int(r.n), "git-reference", None, canonical_json({"mode": r.mode, "object_type": r.kind, "oid": r.oid}), where, "{}", []))
                     continue
                 body = data.get(r.oid)
                 text = None if body is None else maybe_text(body)
                 d = {"mode": r.mode, "oid": r.oid, "size": int(r.size)} | ({} if body is None else {"sha256": hashlib.sha256(body).hexdigest()})
-                rows.append((r.path, int(r.n), "git-blob", text, canonical_json(d), where, [] if text is not None else ["blob-too-large" if body is None else "binary-blob-not-decoded"]))
-            yield pd.DataFrame(rows, columns=["path", "unit_index", "kind", "text", "data", "native_locator", "diagnostics"])
+                rows.append((".", int(r.n), "git-blob", text, canonical_json(d), where, "{}", [] if text is not None else ["git-blob-size-limit-not-read" if body is None else "git-binary-blob-not-decoded"]))
+            yield pd.DataFrame(rows, columns=COLUMNS)
 
     return listed.mapInPandas(read, UNIT_SCHEMA)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kstate.functions.canon import KStateError, canonical_json
-from kstate.llm.sentences import sentences
 from kstate.runtime import cut
 
 KINDS = {"summary": "s", "concept": "c", "claim": "q", "relation": "r"}
@@ -73,11 +72,15 @@ class Provider(Protocol):
     def generate(self, request: dict) -> str: ...
 
 
+#: a sentence of the offline provider: up to terminators before a blank, a full-width terminator, a blank line or the end
+_SENTENCE = re.compile(r"\S(?:.*?(?:[.!?\u2026]+(?=\s|$)|[\u3002\uff01\uff1f]+)|.*?(?=\n\s*\n)|.*$)", re.S)
+
+
 class OfflineProvider:
     """Deterministic answers from the text alone: names become concepts, sentences claims, neighbours relations.
 
     Each distinct name of a unit (a word of four or more signs that opens with A to Z) is a concept that has the unit's whole
-    text as its description; each sentence, in any of the scripts ``sentences`` knows, is a claim.
+    text as its description; each sentence, told by its terminators alone, is a claim.
     """
 
     def generate(self, request: dict) -> str:
@@ -89,8 +92,8 @@ class OfflineProvider:
                 continue
             for name in dict.fromkeys(re.findall(r"\b[A-Z]\w{3,}\b", text)):
                 out["concepts"].append({"name": name, "description": text, "evidence_anchors": [u["anchor_uri"]]})
-            for start, end in sentences(text):
-                out["claims"].append({"statement": text[start:end], "evidence_anchors": [u["anchor_uri"]]})
+            for m in _SENTENCE.finditer(text):
+                out["claims"].append({"statement": m[0].rstrip(), "evidence_anchors": [u["anchor_uri"]]})
         for k in range(1, len(out["concepts"])):
             e = sorted({*out["concepts"][k - 1]["evidence_anchors"], *out["concepts"][k]["evidence_anchors"]})
             out["relations"].append({"subject_index": k - 1, "predicate": "appears with", "object_index": k, "evidence_anchors": e})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kstate.plans import extraction
 from kstate.sources.formats import format_rows, extension_rows
 
 # label, token and path rules as macros written out, since each statement stands alone
@@ -143,10 +144,6 @@ SELECT doc_id, c AS controls, CASE WHEN t = '' THEN 'empty' WHEN c <= greatest(1
 WITH d AS (SELECT doc_id || '.zip' AS path, text FROM documents WHERE text IS NOT NULL)
 SELECT path, 'a.txt' AS member, 'archive-member' AS kind, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size FROM d
 UNION ALL SELECT path, 'b.txt', 'archive-member', sha256(array_to_string(list_reverse(regexp_extract_all(text, '(?s).')), '')), CAST(strlen(text) AS BIGINT) FROM d"""
-    q["docx_rows"] = """
-WITH l AS (SELECT doc_id || '.docx' AS path, unnest(string_split(regexp_replace(text, '[\\x00-\\x08\\x0B-\\x1F]', '', 'g'), chr(10))) AS line FROM documents WHERE text IS NOT NULL)
-SELECT path, 'paragraph' AS kind, count(*) AS units, CAST(sum(length(line)) AS BIGINT) AS chars FROM l WHERE line <> '' GROUP BY path
-UNION ALL SELECT DISTINCT path, 'table-row', 1, 3 FROM l"""
     q["text_units"] = "SELECT concat_ws('/', source_path, CAST(doc_id AS VARCHAR)) AS path, 'text-document' AS kind, sha256(text) AS sha256, length(text) AS chars FROM documents WHERE text IS NOT NULL"
     q["unit_numbers"] = f"SELECT unit_no, 'u' || lpad(CAST(row_number() OVER (PARTITION BY source_id, snapshot_id ORDER BY unit_no) AS VARCHAR), 6, '0') AS unit_id FROM ({RAW})"
     q["kind_counts"] = f"SELECT source_id, snapshot_id, kind, count(*) AS n FROM ({RAW}) GROUP BY ALL"
@@ -251,4 +248,4 @@ WITH RECURSIVE c AS ({_latest('concept')}), l AS (SELECT internal_id, merged_int
 w AS (SELECT internal_id, merged_into AS cur FROM l UNION ALL SELECT w.internal_id, l.merged_into FROM w JOIN l ON l.internal_id = w.cur)
 SELECT internal_id, max(cur) AS survivor FROM w GROUP BY internal_id"""
     q["token_sets"] = f"SELECT candidate_no, len(t) AS tokens, md5(array_to_string(list_sort(t), ' ')) AS tokens_md5 FROM (SELECT candidate_no, {tok('description')} AS t FROM ({CAND}) WHERE candidate_type = 'concept' AND description IS NOT NULL)"
-    return q
+    return q | extraction.oracle_sql()

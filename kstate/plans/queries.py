@@ -19,6 +19,7 @@ from kstate.operators import normalize as N
 from kstate.operators import plan as P
 from kstate.operators import resolve as R
 from kstate.operators import synthesize as S
+from kstate.plans import extraction
 from kstate.runtime import cut, table
 from kstate.sources import files
 
@@ -165,27 +166,12 @@ def _zip(**parts: str) -> bytes:
     return out.getvalue()
 
 
-def _escaped(t: str) -> str:
-    return "".join(c for c in t if c >= " " or c in "\t\n").replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-
-
-def _docx(text: str) -> bytes:
-    lines = "".join(f"<w:p><w:r><w:t>{_escaped(x)}</w:t></w:r></w:p>" for x in text.split("\n"))
-    return _zip(word__document_dot_xml=f'<w:document xmlns:w="urn:w"><w:body>{lines}<w:tbl><w:tr><w:tc><w:p><w:r><w:t>A</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>B</w:t></w:r></w:p></w:tc></w:tr></w:tbl></w:body></w:document>')
-
-
 @query
 def zip_members(spark: SparkSession, d: str) -> DataFrame:
     u = _containers(spark, d, lambda t: _zip(a_dot_txt=t, b_dot_txt=t[::-1]), "zip", "zip", "archive")
     return u.select("path", F.get_json_object("native_locator", "$.member").alias("member"), "kind", F.get_json_object("data", "$.sha256").alias("sha256"), F.get_json_object("data", "$.size").cast("long").alias("size"))
 
 
-@query
-def docx_rows(spark: SparkSession, d: str) -> DataFrame:
-    u = _containers(spark, d, _docx, "docx", "docx", "office")
-    return u.groupBy("path", "kind").agg(F.count("*").alias("units"), F.sum(F.length("text")).alias("chars"))
-
-
 @query
 def text_units(spark: SparkSession, d: str) -> DataFrame:
     f = documents(spark, d).filter("text is not null").select(F.concat_ws("/", "source_path", F.col("doc_id").cast("string")).alias("path"), F.encode("text", "UTF-8").alias("content"), F.lit("text").alias("route"), F.lit("text").alias("format"))
@@ -675,6 +661,6 @@ def token_sets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(REGISTRY)
+    return REGISTRY | extraction.REGISTRY
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kstate.functions.canon import KStateError
 from kstate.operators.classify import classify_files
-from kstate.operators.extract import Limits, extract, git_units, html_text, over_limit, tree_units, units_of
+from kstate.operators.extract import Limits, extract, extract_all, git_units, html_text, over_limit, tree_units, units_of
 from kstate.sources import files
 
 
@@ -53,15 +53,36 @@ def test_containers():
             info = tarfile.TarInfo(name)
             info.size = len(data)
             t.addfile(info, io.BytesIO(data))
-    assert [(u[1], u[4]) for u in units_of(out.getvalue(), "x.tar", "archive", "tar")] == [("hello", []), (None, ["binary-member-not-decoded"])]
-    assert html_text("<h1>T</h1><p>a &amp; b<br>c</p>") == "T\na & b\nc"
+    assert [(u[1], u[4]) for u in units_of(out.getvalue(), "x.tar", "archive", "tar")] == [("hello", []), (None, ["archive-member-binary-not-decoded"])]
+    assert html_text("<h1>T</h1><p>a &amp;  b<br>c</p>") == "\nT\n\na &  b\nc\n"
     with pytest.raises(KStateError):
         list(units_of(zipped(a="xx", b="y"), "x.zip", "archive", "zip", Limits(members=1)))
     with pytest.raises(KStateError):
         list(units_of(b"PK\x03\x04junk", "x.zip", "archive", "zip"))
     with pytest.raises(KStateError):
         list(units_of(zipped(content_dot_xml='<!DOCTYPE x [<!ENTITY a "b">]><x/>'), "x.odt", "office", "odt"))
-    assert next(iter(units_of(b"", "x.7z", "archive", "7z")))[4] == ["no-extractor:archive:7z"]
+    assert next(iter(units_of(b"", "x.7z", "archive", "7z")))[4] == ["archive-format-not-supported:7z"]
+
+
+def test_container_edges():
+    """Empty paragraphs are units, what refers outside a package is refused, what a sheet cannot look up stays as it is written."""
+    docx = zipped(word__document_dot_xml='<w:document xmlns:w="urn:w"><w:body><w:p/><w:p><w:r><w:t>x</w:t></w:r></w:p></w:body></w:document>')
+    assert [(u[1], u[3]) for u in units_of(docx, "a.docx", "office", "docx")] == [("", {"paragraph": 1}), ("x", {"paragraph": 2})]
+    rels = '<R><Relationship Id="r1" Target="{}"/></R>'
+    deck = {"ppt__presentation_dot_xml": '<p xmlns:r="urn:r"><sldId r:id="r1"/></p>', "ppt__s_dot_xml": '<s xmlns:a="urn:a"><a:p/><a:p><a:r/></a:p><a:p><a:t>t</a:t></a:p></s>'}
+    got = units_of(zipped(**deck, ppt___rels__presentation_dot_xml_dot_rels=rels.format("s.xml")), "a.pptx", "office", "pptx")
+    assert [(u[1], u[3]["paragraph"]) for u in got] == [("", 1), ("t", 2)]
+    for bad in ("../../x.xml", "/../x.xml", "gone.xml"):
+        with pytest.raises(KStateError):
+            list(units_of(zipped(**deck, ppt___rels__presentation_dot_xml_dot_rels=rels.format(bad)), "a.pptx", "office", "pptx"))
+    with pytest.raises(KStateError):
+        list(units_of(zipped(**deck), "a.pptx", "office", "pptx"))
+    book = {"META-INF__container_dot_xml": '<c><rootfile full-path="b.opf"/></c>', "b_dot_opf": '<p><item id="a" href="../x"/><itemref idref="a"/></p>'}
+    with pytest.raises(KStateError):
+        list(units_of(zipped(**book), "a.epub", "archive-document", "epub"))
+    assert [u[1] for u in units_of("é".encode("latin-1"), "a.txt", "text", "text", hint="latin-1")] == ["é"]
+    with pytest.raises(KStateError):
+        list(units_of(b"\xff\x00\xff", "a.txt", "text", "text"))
 
 
 def test_tree_and_publish(spark, tmp_path):
@@ -114,8 +135,8 @@ def test_git(spark, tmp_path):
     run("commit", "-qm", "m")
     files.acquire("repo", f"git+file://{work}", tmp_path / "out")
     lock = files.git_lock(tmp_path / "out/repo/artifact")
-    got = {r.path: (r.text, r.diagnostics) for r in git_units(spark, str(tmp_path / "out/repo/artifact"), lock["commit"]).collect()}
-    assert got == {"a.txt": ("hello", []), "b.bin": (None, ["binary-blob-not-decoded"])}
+    got = {json.loads(r.native_locator)["path"]: (r.path, r.text, r.diagnostics) for r in git_units(spark, str(tmp_path / "out/repo/artifact"), lock["commit"]).collect()}
+    assert got == {"a.txt": (".", "hello", []), "b.bin": (".", None, ["git-binary-blob-not-decoded"])}
     assert files.snapshot_id(lock, None) == files.snapshot_id(lock | {"ref": "other"}, None)
 
 
@@ -123,5 +144,8 @@ def test_extract_and_guard(spark):
     df = spark.createDataFrame([("a.txt", bytearray(b"\xef\xbb\xbfx\r\n"), "text", "text"), ("b.zip", bytearray(zipped(a="1", b="2")), "archive", "zip")], "path string, content binary, route string, format string")
     got = sorted((r.path, r.unit_index, r.text) for r in extract(df).collect())
     assert got == [("a.txt", 0, "x\r\n"), ("b.zip", 0, "1"), ("b.zip", 1, "2")]
+    odd = spark.createDataFrame([("c.7z", None, "archive", "7z")], df.schema)
+    assert [(r.kind, r.diagnostics) for r in extract_all(odd).collect()] == [("unsupported", ["archive-format-not-supported:7z"]), (None, ["archive-format-not-supported:7z"])]
+    assert extract(odd).count() == 1 and extract(df.limit(0)).count() == 0
     sizes = spark.createDataFrame([("s", n, 10) for n in range(5)], "s string, n long, size long")
     assert [r.n for r in over_limit(sizes, ["s"], ["n"], "size", Limits(total_bytes=35)).orderBy("n").collect()] == [3, 4]
