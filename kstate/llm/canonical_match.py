@@ -316,7 +316,8 @@ def map_to_canonical(names: DataFrame, reference: DataFrame, key: str = "candida
     parts = [[tuple(r) for r in ref.filter(F.pmod(F.xxhash64("internal_id"), F.lit(blocks)) == b).collect()] for b in range(blocks)]
     vocabulary = {w for part in parts for _, t, a, h in part for f in (t, *(a or []), *(h or [])) if f for w, _ in tokens(f)}
     # a name takes a millisecond, so few bytes are much work: as many parts as there are for a shuffle, not coalesced
-    typed = typed.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
+    # (by a hash of the name: a repartition by the name itself would fold into that of the aggregation)
+    typed = typed.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("name"))
     out = None
     for part in parts:
         found = typed.mapInArrow(_matcher(sorted(part, key=lambda r: r[0]), vocabulary, fillers), "name string, n long, ids array<string>, cost double")
