@@ -63,7 +63,8 @@ CLOSERS = frozenset(")]}）］】〕》〉」』»“”’\"'｣›«")
 MARKS = ".!?…。！？｡।॥؟۔;;"
 SIGN = regex.compile(r"[()\[\]{}（）［］【】〔〕《》〈〉「」『』«»„‚“”‘’\"'｢｣‹›]|[.!?…。！？｡।॥؟۔;;]+|(?<=[฀-๿])\s+")
 WORD_CHAR = regex.compile(r"[\p{L}\p{N}]")
-TOKEN_BEFORE = regex.compile(r"[\p{L}\p{M}\p{N}'’\-]+(?:\.[\p{L}\p{M}\p{N}'’\-]+)*$")
+#: searched backwards from the dot
+TOKEN_BEFORE = regex.compile(r"(?r)[\p{L}\p{M}\p{N}'’\-]+(?:\.[\p{L}\p{M}\p{N}'’\-]+)*$")
 NEXT_SKIP = " \t\r\n   　*_#>~`"
 ENDING = regex.compile(rf"[{regex.escape(MARKS)}]+$")
 LETTERS = regex.compile(r"\p{L}+")
@@ -398,7 +399,7 @@ def _best_path(p: str, nodes: list[tuple[int, float]]) -> list[int]:
         nodes = [*nodes, (len(p), 1e-3)]
     count, at, seen = [0], 0, 0
     for e, _ in nodes:
-        seen += len(WORD_CHAR.findall(p, at, e)) if e > at else 0
+        seen += e > at and WORD_CHAR.search(p, at, e) is not None
         at = max(at, e)
         count.append(seen)
     best, back = [0.0], [-1]
