@@ -1,8 +1,9 @@
 """Concept candidates resolved against a catalog: exact tiers first, then a lexical shortlist.
 
 The tiers are equi-joins on a key table. The shortlist takes the catalog as a stated set of entries in
-blocks: each worker holds one block and scores only pairs whose upper bound (letters in common, tokens in
-common) can reach the threshold, so the result is that of scoring every pair.
+blocks: each worker holds one block and takes a name's entries by their upper bound (letters in common, tokens in
+common) until the rest can no longer be among the best, so the result is that of scoring every pair. Names and
+texts typed more than once are scored once.
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from __future__ import annotations
 import difflib
 import math
 import re
+from bisect import insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,6 +28,8 @@ from kstate.runtime import cut
 
 THRESHOLD, LIMIT, MOST = 0.40, 5, 50
 BLOCK = 20_000
+#: Keys of a block whose matchers are kept at a time.
+MATCHERS = 20_000
 TIERS = ("source-anchor+name", "resource-uri+name", "alias-history-exact", "title-path-exact")
 #: signals in the order they are reported
 SIGNALS = ("source-anchor-overlap", "resource-uri-overlap", "alias-history-exact", "title-exact", "path-title-exact")
@@ -155,7 +160,7 @@ class ShortlistBlock:
     def __init__(self, rows: list[tuple[str, list[str], set[str]]]) -> None:
         self.rows = rows
         self.keys = [(i, k) for i, (_, keys, _) in enumerate(rows) for k in keys]
-        self.of = np.array([i for i, _ in self.keys], dtype=np.int64)
+        self.first = np.unique(np.array([i for i, _ in self.keys], dtype=np.int64), return_index=True)[1]
         self.length = np.array([len(k) for _, k in self.keys], dtype=np.float64)
         self.letters = np.zeros((len(self.keys), 64), dtype=np.int16)
         for n, (_, k) in enumerate(self.keys):
@@ -167,8 +172,10 @@ class ShortlistBlock:
             for t in tokens:
                 self.holds[t].append(i)
         self.where = {r[0]: i for i, r in enumerate(rows)}
+        self.matcher = lru_cache(MATCHERS)(lambda k: difflib.SequenceMatcher(None, "", k))
 
-    def scores(self, name: str, text: str, must: list[str], threshold: float) -> list[tuple[str, float]]:
+    def scores(self, name: str, text: str, must: list[str], threshold: float, limit: int) -> list[tuple[str, float]]:
+        """The best ``limit`` entries at or above the threshold or named in ``must``."""
         own = {t for t in _TOKEN.findall(fold(text)) if len(t) > 1}
         shared = np.zeros(len(self.rows))
         for t in own:
@@ -178,19 +185,32 @@ class ShortlistBlock:
         mine = np.zeros(64, dtype=np.int16)
         for c, m in Counter(name).items():
             mine[ord(c) % 64] += m
-        bound = np.zeros(len(self.rows))
         both = self.length + len(name)
-        np.maximum.at(bound, self.of, np.divide(2.0 * np.minimum(self.letters, mine).sum(axis=1), both, out=np.ones_like(both), where=both > 0))
-        ok = 0.55 * bound + 0.45 * overlap >= threshold - 1e-6
-        ok[[self.where[m] for m in must if m in self.where]] = True
-        out = []
-        for i in np.flatnonzero(ok):
-            ident, keys, _ = self.rows[i]
-            ratio = max((difflib.SequenceMatcher(None, name, k).ratio() for k in keys), default=0.0)
-            s = round(0.55 * ratio + 0.45 * float(overlap[i]), 6)
-            if s >= threshold or ident in must:
-                out.append((ident, s))
-        return out
+        shares = np.divide(2.0 * np.minimum(self.letters, mine).sum(axis=1, dtype=np.int32), both, out=np.ones_like(both), where=both > 0)
+        # the keys of an entry stand together, and each has one at least
+        bound = np.maximum.reduceat(shares, self.first)
+        # the best first by what they can reach at most; once ``limit`` are surely better than the rest, the rest need no ratio
+        most = 0.55 * bound + 0.45 * overlap
+        named = {self.where[m] for m in must if m in self.where}
+        found: list[tuple[float, str]] = []
+        at = np.flatnonzero(most >= threshold - 1e-6)
+        for i in [*named, *(k for k in at[np.argsort(-most[at], kind="stable")].tolist() if k not in named)]:
+            if i not in named and len(found) >= limit and most[i] < -found[limit - 1][0] - 2e-6:
+                break
+            s = round(0.55 * self.ratio(name, i) + 0.45 * float(overlap[i]), 6)
+            if s >= threshold or i in named:
+                insort(found, (-s, self.rows[i][0]))
+        return [(ident, -s) for s, ident in found[:limit]]
+
+    def ratio(self, name: str, i: int) -> float:
+        """Best ratio of the name with a key of entry i; keys keep what the matcher works out about them."""
+        best = 0.0
+        for k in self.rows[i][1]:
+            m = self.matcher(k)
+            m.set_seq1(name)
+            if m.real_quick_ratio() > best and m.quick_ratio() > best:
+                best = max(best, m.ratio())
+        return best
 
 
 def shortlist(candidates: DataFrame, catalog: DataFrame, threshold: float = THRESHOLD, limit: int = LIMIT) -> DataFrame:
@@ -199,7 +219,12 @@ def shortlist(candidates: DataFrame, catalog: DataFrame, threshold: float = THRE
         raise KStateError("threshold must lie in [0, 1] and the limit in [1, 50]")
     sig = signals(candidates, catalog)
     must = sig.groupBy("candidate_no").agg(F.collect_set("internal_id").alias("must"))
-    c = candidates.join(must, "candidate_no", "left").select("candidate_no", label(F.coalesce("name", F.lit(""))).alias("name"), F.concat(F.coalesce("name", F.lit("")), F.lit(" "), F.coalesce("description", F.lit(""))).alias("text"), "must")
+    c = candidates.join(must, "candidate_no", "left").select("candidate_no", label(F.coalesce("name", F.lit(""))).alias("name"), F.concat(F.coalesce("name", F.lit("")), F.lit(" "), F.coalesce("description", F.lit(""))).alias("text"), F.sort_array(F.coalesce("must", F.array().cast("array<string>"))).alias("must"))
+    # equal rows are scored once, spread evenly: a few bytes are much work (see _scorer)
+    said = F.xxhash64("name", "text", "must")
+    c = cut(c.withColumn("said", F.md5(F.to_json(F.struct("name", "text", "must")))))
+    one = c.groupBy("said").agg(F.first("name").alias("name"), F.first("text").alias("text"), F.first("must").alias("must"))
+    one = one.repartition(int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")), said)
     keys = key_table(catalog).groupBy("internal_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     text = F.concat_ws(" ", "title", "description", F.array_join("aliases", " "), F.array_join("title_history", " "))
     entries = catalog.join(keys, "internal_id").select("internal_id", "keys", text.alias("text"))
@@ -208,19 +233,20 @@ def shortlist(candidates: DataFrame, catalog: DataFrame, threshold: float = THRE
     for k in range(blocks):
         rows = entries.filter(F.pmod(F.xxhash64("internal_id"), F.lit(blocks)) == k).collect()
         data = sorted((r.internal_id, list(r["keys"]), {t for t in _TOKEN.findall(fold(r.text)) if len(t) > 1}) for r in rows)
-        part = c.mapInPandas(_scorer(data, threshold), "candidate_no long, internal_id string, similarity double")
+        part = one.mapInPandas(_scorer(data, threshold, limit), "said string, internal_id string, similarity double")
         out = part if out is None else out.unionByName(part)
+    out = c.select("candidate_no", "said").join(out, "said").drop("said")
     out = out.join(sig, ["candidate_no", "internal_id"], "left").withColumn("signals", F.coalesce("signals", F.array().cast("array<string>")))
     w = Window.partitionBy("candidate_no").orderBy(F.desc("similarity"), "internal_id")
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
 
-def _scorer(data: list, threshold: float):
+def _scorer(data: list, threshold: float, limit: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = ShortlistBlock(data)
         for b in batches:
-            rows = [(n, i, s) for n, name, text, must in zip(b["candidate_no"], b["name"], b["text"], b["must"]) for i, s in block.scores(name, text, [] if must is None else list(must), threshold)]
-            yield pd.DataFrame(rows, columns=["candidate_no", "internal_id", "similarity"])
+            rows = [(n, i, s) for n, name, text, must in zip(b["said"], b["name"], b["text"], b["must"]) for i, s in block.scores(name, text, list(must), threshold, limit)]
+            yield pd.DataFrame(rows, columns=["said", "internal_id", "similarity"])
 
     return run
 

@@ -72,15 +72,17 @@ class Provider(Protocol):
     def generate(self, request: dict) -> str: ...
 
 
+#: short forms and initials whose dot ends no sentence of the offline provider
+_SHORT = r"(?<!\b[A-Z])(?<!\bDr)(?<!\bMr)(?<!\bMs)(?<!\bSt)(?<!\bNo)(?<!\bvs)(?<!\bMrs)(?<!\bFig)(?<!\bProf)"
 #: a sentence of the offline provider: up to terminators before a blank, a full-width terminator, a blank line or the end
-_SENTENCE = re.compile(r"\S(?:.*?(?:[.!?\u2026]+(?=\s|$)|[\u3002\uff01\uff1f]+)|.*?(?=\n\s*\n)|.*$)", re.S)
+_SENTENCE = re.compile(rf"\S(?:.*?(?:{_SHORT}[.!?\u2026]+(?=\s|$)|[\u3002\uff01\uff1f]+)|.*?(?=\n\s*\n)|.*$)", re.S)
 
 
 class OfflineProvider:
     """Deterministic answers from the text alone: names become concepts, sentences claims, neighbours relations.
 
     Each distinct name of a unit (a word of four or more signs that opens with A to Z) is a concept that has the unit's whole
-    text as its description; each sentence, told by its terminators alone, is a claim.
+    text as its description; each sentence, told by its terminators, is a claim.
     """
 
     def generate(self, request: dict) -> str:
