@@ -320,8 +320,8 @@ def events(operations: DataFrame, results: DataFrame, plan_run_id: str) -> DataF
     return s.mapInPandas(run, "event_id string, plan_run_id string, operation_id string, number long, operation_snapshot string, result_ids array<string>")
 
 
-def table_hash(df: DataFrame, order: list[str], parts: int = 256) -> str:
-    """Hash of a table's rows in order: rows are hashed where they are, then parts, then the whole."""
+def table_hash(df: DataFrame, order: list[str], parts: int = 1 << 16) -> str:
+    """Hash of a table's rows in order: rows are hashed where they are, then parts, then the whole on the driver (at most ``parts`` hashes)."""
     h = df.select(*[F.col(c).alias(c) for c in order], F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256).alias("h"))
     h = h.withColumn("part", F.pmod(F.xxhash64(*order), F.lit(parts)))
     p = h.groupBy("part").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "h"))), lambda x: x["h"]), ""), 256).alias("h")).collect()

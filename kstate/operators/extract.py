@@ -10,6 +10,7 @@ import bz2
 import functools
 import gzip
 import hashlib
+import importlib.metadata
 import io
 import lzma
 import posixpath
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kstate.functions.canon import KStateError, canonical_json
+from kstate.runtime import cut
 
 TEXT_ROUTES = ("text", "markdown", "markup", "structured-text", "text-source")
 UNIT_SCHEMA = "path string, unit_index int, kind string, text string, data string, native_locator string, metadata string, diagnostics array<string>"
@@ -364,6 +366,25 @@ def extract(files: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     return extract_all(files, limits).filter("kind is not null")
 
 
+def tools(formats: set[str]) -> dict[str, str]:
+    """Versions of what reads files of these formats."""
+    import pyexpat
+
+    found = {}
+    if formats & set(PACKAGES):
+        found["expat"] = pyexpat.EXPAT_VERSION
+    if "pdf" in formats:
+        try:
+            found["pypdf"] = importlib.metadata.version("pypdf")
+        except importlib.metadata.PackageNotFoundError:
+            found["pypdf"] = "unavailable"
+    if "git" in formats:
+        from kstate.sources.files import git
+
+        found["git"] = git("--version").decode().strip().removeprefix("git version ")
+    return found
+
+
 def tree_units(entries: DataFrame) -> DataFrame:
     """Units of folders and links, which hold no content of their own."""
     link = F.col("kind") == "symlink"
@@ -375,16 +396,32 @@ def tree_units(entries: DataFrame) -> DataFrame:
     )
 
 
+def running(df: DataFrame, by: list[str], order: list, size: str | None = None) -> DataFrame:
+    """Adds number, and running (the sum of ``size``), within ``by`` in the given order.
+
+    Rows are placed by ranges of by and order, counted within their range, and set off by what earlier ranges hold, so the
+    largest source is spread over all tasks.
+    """
+    d = cut(df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
+    value = F.col(size) if size else F.lit(0)
+    own = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = d.groupBy(*by, "_part").agg(F.count("*").alias("_n"), F.sum(value).alias("_s"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    off = parts.select(*(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"), F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s"))
+    same = functools.reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)), F.col("_part") == F.col("_p"))
+    d = d.withColumn("number", F.count("*").over(own)).withColumn("running", F.sum(value).over(own)).join(off, same)
+    d = d.withColumn("number", F.col("number") + F.col("_n")).withColumn("running", F.col("running") + F.col("_s"))
+    return d.drop("_part", "_p", "_n", "_s", *(f"_by{i}" for i in range(len(by))), *([] if size else ["running"]))
+
+
 def number_units(units: DataFrame, by: list[str], order: list) -> DataFrame:
     """Adds unit_id u000001, u000002, ... in the given order within a source."""
-    return units.withColumn("unit_id", F.format_string("u%06d", F.row_number().over(Window.partitionBy(*by).orderBy(*order))))
+    return running(units, by, order).withColumn("unit_id", F.format_string("u%06d", "number")).drop("number")
 
 
 def over_limit(sizes: DataFrame, by: list[str], order: list, size: str, limits: Limits = LIMITS) -> DataFrame:
     """Rows at which a source's members exceed the limits on number, single or running size."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = sizes.withColumn("running", F.sum(size).over(w)).withColumn("number", F.count("*").over(w))
-    return d.filter((F.col("number") > limits.members) | (F.col(size) > limits.member_bytes) | (F.col("running") > limits.total_bytes))
+    return running(sizes, by, order, size).filter((F.col("number") > limits.members) | (F.col(size) > limits.member_bytes) | (F.col("running") > limits.total_bytes))
 
 
 def git_units(spark, repo: str, commit: str, limits: Limits = LIMITS) -> DataFrame:  # noqa: ANN001

@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import json
+import os
 import re
-from collections.abc import Iterator
+import urllib.request
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kstate.functions.canon import KStateError, canonical_json
+from kstate.functions.canon import KStateError, canonical_json, json_object, json_string, json_string_list
+from kstate.operators.normalize import require
 from kstate.runtime import cut
 
 KINDS = {"summary": "s", "concept": "c", "claim": "q", "relation": "r"}
 LISTS = {"summary": "summaries", "concept": "concepts", "claim": "claims", "relation": "relations"}
+SHAPES: dict[str, dict[str, type]] = {
+    "summaries": {"text": str}, "concepts": {"name": str, "description": str}, "claims": {"statement": str},
+    "relations": {"subject_index": int, "predicate": str, "object_index": int},
+}
 INSTRUCTIONS = "List the summaries, concepts, claims and relations of these units. Cite the anchors of the units as evidence."
 BATCH_SCHEMA = "run_id string, unit_no long, batch_id string"
 ANSWER_SCHEMA = "run_id string, batch_id string, response string"
@@ -53,22 +60,58 @@ def ordered_batches(units: DataFrame, run: str = "run_id", order: str = "unit_no
     return d.repartition("run").sortWithinPartitions("run", "unit").mapInPandas(fold, BATCH_SCHEMA)
 
 
+def unit_json(units: DataFrame) -> Column:
+    """A unit as a provider reads it: canonical JSON of ten fields; fields the table lacks are null."""
+    has = lambda c: F.col(c) if c in units.columns else F.lit(None).cast("string")
+    body = {c: json_string(has(c)) for c in ("unit_id", "anchor_uri", "source_path", "kind", "text", "content_sha256")}
+    body |= {c: F.coalesce(has(c), F.lit("null")) for c in ("data", "native_locator", "metadata")}
+    return json_object(body | {"diagnostics": json_string_list(F.col("diagnostics")) if "diagnostics" in units.columns else F.lit("null")})
+
+
+def envelope(units: Column) -> Column:
+    """A batch as a provider reads it, around its units' JSON."""
+    return json_object({"source_uri": json_string(F.col("source_uri")), "source_version_uri": json_string(F.col("source_version_uri")), "units": F.concat(F.lit("["), units, F.lit("]"))})
+
+
+def rendered_batches(units: DataFrame) -> DataFrame:
+    """(run_id, unit_no, batch_id) like ordered_batches, by the length of what is sent; a unit too long for a batch of its own is an error."""
+    one = F.length(unit_json(units)) + 1
+    d = units.withColumn("size", one).withColumn("max_input_chars", F.col("max_input_chars") - F.length(envelope(F.lit(""))) + 1)
+    require(d.filter("size > max_input_chars").select("run_id", "unit_no", "size", "max_input_chars"), "a unit exceeds max_input_chars by itself")
+    return ordered_batches(d)
+
+
 def requests(units: DataFrame, model: str = "offline", max_output_tokens: int = 8000) -> DataFrame:
     """One request a batch: the batch's units as canonical JSON, in order. A batch is bounded by its limits.
 
-    ``units`` has run_id, batch_id, unit_no, source_uri, source_version_uri, anchor_uri, source_path, kind, text.
+    ``units`` has run_id, batch_id, unit_no, source_uri, source_version_uri and the fields of unit_json.
     """
-    fields = [F.when(F.col(c).isNull(), F.lit("null")).otherwise(F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")) for c in ("anchor_uri", "kind", "source_path", "text")]
-    one = F.format_string('{"anchor_uri":%s,"kind":%s,"source_path":%s,"text":%s}', *fields)
-    g = units.withColumn("u", one).groupBy("run_id", "batch_id", "source_uri", "source_version_uri")
+    g = units.withColumn("u", unit_json(units)).groupBy("run_id", "batch_id", "source_uri", "source_version_uri")
     g = g.agg(F.array_sort(F.collect_list(F.struct("unit_no", "u", "anchor_uri"))).alias("all"))
-    body = F.concat(F.lit('{"source_uri":"'), "source_uri", F.lit('","source_version_uri":"'), "source_version_uri", F.lit('","units":['), F.array_join(F.transform("all", lambda x: x["u"]), ","), F.lit("]}"))
-    return g.select("run_id", "batch_id", F.lit(model).alias("model"), F.lit(INSTRUCTIONS).alias("instructions"), body.alias("input"), F.lit(max_output_tokens).alias("max_output_tokens"), F.transform("all", lambda x: x["anchor_uri"]).alias("anchors"))
+    body = envelope(F.array_join(F.transform("all", lambda x: x["u"]), ","))
+    return g.select(
+        "run_id", "batch_id", F.lit(model).alias("model"), F.lit(INSTRUCTIONS).alias("instructions"), body.alias("input"), F.lit(max_output_tokens).alias("max_output_tokens"),
+        F.lit(canonical_json(answer_schema())).alias("schema"), F.transform("all", lambda x: x["anchor_uri"]).alias("anchors"),
+    )
+
+
+def answer_schema() -> dict:
+    """JSON schema of an answer: four lists of objects, each with its fields and evidence, nothing else."""
+    text, number = {"type": "string"}, {"type": "integer"}
+    types = {str: text, int: number}
+
+    def closed(fields: dict) -> dict:
+        return {"type": "object", "additionalProperties": False, "required": list(fields), "properties": fields}
+
+    item = lambda shape: closed({f: types[t] for f, t in shape.items()} | {"evidence_anchors": {"type": "array", "items": text}})
+    return closed({key: {"type": "array", "items": item(shape)} for key, shape in SHAPES.items()})
 
 
 class Provider(Protocol):
     """Answers a request with the JSON of four lists: summaries, concepts, claims, relations."""
 
+    name: str
+
     def generate(self, request: dict) -> str: ...
 
 
@@ -78,6 +121,40 @@ _SHORT = r"(?<!\b[A-Z])(?<!\bDr)(?<!\bMr)(?<!\bMs)(?<!\bSt)(?<!\bNo)(?<!\bvs)(?<
 _SENTENCE = re.compile(rf"\S(?:.*?(?:{_SHORT}[.!?\u2026]+(?=\s|$)|[\u3002\uff01\uff1f]+)|.*?(?=\n\s*\n)|.*$)", re.S)
 
 
+class ResponsesProvider:
+    """A model behind a public responses endpoint, asked for JSON of a strict schema; nothing is stored there and nothing tried twice.
+
+    ``opener`` takes (urllib request, timeout=seconds) and gives the response; by default urllib's.
+    """
+
+    name = "openai"
+
+    def __init__(self, api_key: str | None = None, endpoint: str = "https://api.openai.com/v1/responses", timeout: float = 120, opener: Callable | None = None) -> None:
+        self.api_key, self.endpoint, self.timeout, self.opener = api_key, endpoint, timeout, opener
+
+    def generate(self, request: dict) -> str:
+        key = self.api_key or os.environ.get("OPENAI_API_KEY")
+        if not key:
+            raise KStateError("the model needs an API key")
+        shape = {"type": "json_schema", "name": "candidates", "schema": json.loads(request["schema"]), "strict": True}
+        body = {k: request[k] for k in ("model", "instructions", "input")} | {"max_output_tokens": int(request["max_output_tokens"]), "store": False, "text": {"format": shape}}
+        ask = urllib.request.Request(self.endpoint, canonical_json(body).encode(), {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}, method="POST")
+        try:
+            with (self.opener or urllib.request.urlopen)(ask, timeout=self.timeout) as got:
+                answer = json.loads(got.read())
+        except (OSError, ValueError) as e:
+            raise KStateError(f"the model cannot be asked: {e}") from e
+        if not isinstance(answer, dict) or answer.get("status") != "completed":
+            raise KStateError(f"the answer is not complete: {answer.get('status') if isinstance(answer, dict) else answer}")
+        parts = [p for item in answer.get("output") or [] if isinstance(item, dict) for p in item.get("content") or [] if isinstance(p, dict)]
+        if refused := [p for p in parts if p.get("type") == "refusal"]:
+            raise KStateError(f"the model refused: {refused[0].get('refusal')}")
+        texts = [p["text"] for p in parts if p.get("type") == "output_text"]
+        if len(texts) != 1:
+            raise KStateError(f"the answer has {len(texts)} texts")
+        return texts[0]
+
+
 class OfflineProvider:
     """Deterministic answers from the text alone: names become concepts, sentences claims, neighbours relations.
 
@@ -85,6 +162,8 @@ class OfflineProvider:
     text as its description; each sentence, told by its terminators, is a claim.
     """
 
+    name = "offline"
+
     def generate(self, request: dict) -> str:
         units = json.loads(request["input"])["units"]
         out: dict[str, list] = {k: [] for k in LISTS.values()}
@@ -126,11 +205,6 @@ def call_provider(req: DataFrame, provider: Provider) -> DataFrame:
 
 def parse_answers(answers: DataFrame) -> DataFrame:
     """Candidates of the answers, one row each, in order; answers with other keys or types fail."""
-    shapes = {
-        "summaries": {"text": str}, "concepts": {"name": str, "description": str}, "claims": {"statement": str},
-        "relations": {"subject_index": int, "predicate": str, "object_index": int},
-    }
-
     def frame(rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=[f.split()[0] for f in CANDIDATE_SCHEMA.split(", ")])
         return out.astype({"subject_index": "Int32", "object_index": "Int32"})
@@ -147,11 +221,11 @@ def parse_answers(answers: DataFrame) -> DataFrame:
                     value = json.loads(answer)
                 except ValueError as e:
                     raise KStateError(f"{batch}: the answer is no JSON") from e
-                if not isinstance(value, dict) or set(value) != set(shapes):
+                if not isinstance(value, dict) or set(value) != set(SHAPES):
                     raise KStateError(f"{batch}: the answer has other fields")
                 for kind, key in LISTS.items():
                     for n, item in enumerate(value[key], 1):
-                        shape = shapes[key]
+                        shape = SHAPES[key]
                         if not isinstance(item, dict) or set(item) != {*shape, "evidence_anchors"}:
                             raise KStateError(f"{batch}: {kind} {n} has other fields")
                         for f, t in shape.items():

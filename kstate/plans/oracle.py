@@ -136,8 +136,9 @@ FROM (SELECT DISTINCT unnest([source, source_path, '-' || source]) AS source_id
 FROM (SELECT DISTINCT unnest([source_path, '/' || source_path, '../' || source_path, source_path || '/..']) AS path FROM documents)"""
     q["tree_fingerprint"] = """
 WITH e AS (SELECT source, source_path || '/' || doc_id AS path, CAST(strlen(coalesce(text, '')) AS VARCHAR) AS size, sha256(coalesce(text, '')) AS h FROM documents),
-l AS (SELECT source, path, sha256(coalesce(strlen(path) || ':' || path, '-') || ' 4:file ' || strlen(size) || ':' || size || ' 64:' || h || ' 5:false -') AS line FROM e)
-SELECT source, count(*) AS entries, sha256('kst-tree-v1' || chr(10) || string_agg(line, chr(10) ORDER BY string_split(path, '/'), line)) AS fingerprint FROM l GROUP BY source"""
+l AS (SELECT source, path, sha256(coalesce(strlen(path) || ':' || path, '-') || ' 4:file ' || strlen(size) || ':' || size || ' 64:' || h || ' 5:false -') AS line FROM e),
+p AS (SELECT source, sha256(path)[1:3] AS part, count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS h FROM l GROUP BY ALL)
+SELECT source, CAST(sum(n) AS BIGINT) AS entries, sha256('kst-tree-v2' || chr(10) || string_agg(h, chr(10) ORDER BY part)) AS fingerprint FROM p GROUP BY source"""
     q["tree_difference"] = """
 WITH a AS (SELECT unit_no, source_path FROM raw_unit), b AS (SELECT unit_no, source_path FROM normalized_unit)
 SELECT *, 'left' AS side FROM (FROM a EXCEPT ALL FROM b) UNION ALL SELECT *, 'right' FROM (FROM b EXCEPT ALL FROM a)"""

@@ -26,7 +26,7 @@ SOURCE_ID = r"^[A-Za-z0-9][A-Za-z0-9._-]*$"
 PROVIDERS = ("auto", "local", "http", "git")
 MAX_BYTES, CHUNK = 100 << 20, 1 << 20
 ENTRY_SCHEMA = "path string, kind string, size long, sha256 string, executable boolean, target string"
-TREE_HEADER = "kst-tree-v1\n"
+TREE_HEADER = "kst-tree-v2\n"
 
 
 def source_id_valid(source_id: Column) -> Column:
@@ -112,7 +112,7 @@ def git(*args: str, cwd: str | Path | None = None, timeout: float = 300) -> byte
     return done.stdout
 
 
-def acquire(source_id: str, locator: str, root: Path, provider: str = "auto", ref: str | None = None, replace: bool = False) -> dict:
+def acquire(source_id: str, locator: str, root: Path, provider: str = "auto", ref: str | None = None, replace: bool = False, max_bytes: int = MAX_BYTES) -> dict:
     """Brings a source under ``root/source_id`` with a receipt; an earlier one stays unless ``replace``, and on failure."""
     kind = validate_spec(source_id, locator, provider, ref)
     root = Path(root)
@@ -131,7 +131,7 @@ def acquire(source_id: str, locator: str, root: Path, provider: str = "auto", re
             if ref:
                 seen["commit"] = git("rev-parse", "--verify", "--quiet", "--end-of-options", f"{ref}^{{commit}}", cwd=artifact).decode().strip()
         elif kind == "http":
-            seen = fetch_http(locator, artifact)
+            seen = fetch_http(locator, artifact, max_bytes)
         else:
             src = local_path(locator)
             if src.is_dir() and not src.is_symlink():
@@ -216,13 +216,16 @@ def entry_line(path: Column, kind: Column, size: Column, sha256: Column, executa
 
 
 def tree_fingerprint(entries: DataFrame, by: list[str]) -> DataFrame:
-    """(by..., entries, fingerprint): SHA-256 over the ordered entries; times and owners do not count.
+    """(by..., entries, fingerprint): SHA-256 over the entries in a fixed order; times and owners do not count.
 
-    Lines are hashed first, so what is gathered for one tree is 64 bytes an entry and the walk's key.
+    Lines are hashed first, gathered in up to 4,096 parts a tree by the hash of their path, and the parts' hashes give
+    the tree's, so no task holds more than a part.
     """
     e = entries.withColumn("line", F.sha2(entry_line(*(F.col(c) for c in ("path", "kind", "size", "sha256", "executable", "target"))), 256))
-    g = e.groupBy(*by).agg(F.count("*").alias("entries"), F.array_sort(F.collect_list(F.struct(depth_first(F.col("path")).alias("k"), "line"))).alias("all"))
-    return g.select(*by, "entries", F.sha2(F.concat(F.lit(TREE_HEADER), F.array_join(F.transform("all", lambda x: x["line"]), "\n")), 256).alias("fingerprint"))
+    e = e.withColumn("part", F.sha2("path", 256).substr(1, 3))
+    p = e.groupBy(*by, "part").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n"), 256).alias("h"))
+    g = p.groupBy(*by).agg(F.sum("n").alias("entries"), F.array_sort(F.collect_list(F.struct("part", "h"))).alias("all"))
+    return g.select(*by, "entries", F.sha2(F.concat(F.lit(TREE_HEADER), F.array_join(F.transform("all", lambda x: x["h"]), "\n")), 256).alias("fingerprint"))
 
 
 def git_lock(repo: str | Path, ref: str | None = None) -> dict:
