@@ -1,10 +1,15 @@
 """Evaluation passages inside training documents.
 
-Every item is cut into windows of the size that counts as a leak (12 words; 20 letters and digits for
-Chinese and Japanese), every document likewise. Each window has a 64-bit SimHash of its tokens,
-weighted by how rare a token is among the items. Fingerprints are cut into radius + 1 blocks: two
-within the radius agree in a block, so a table a block finds all of them. Candidates within the radius
-are verified by the exact weighted similarity of their five-token shingles.
+Two searches over one kind of index. The exact one cuts every item into windows of the size that counts as a
+leak (12 words; 20 letters and digits for Chinese and Japanese) and finds the documents that hold one of them
+token by token. The near one takes windows of the items' own sizes and finds the documents that hold an item with
+small edits. In both, each window of items and documents has a 64-bit SimHash of its tokens; fingerprints are cut into
+radius + 1 blocks: two within the radius agree in a block, so a table a block finds all of them. Candidates within the
+radius are verified by the exact weighted similarity of their five-token shingles; a token weighs by how rare it is
+among all items.
+
+Items are indexed in blocks of bounded size, each a broadcast of its own; the documents are read, tokenised and
+fingerprinted once, whatever the number of items.
 """
 
 from __future__ import annotations
@@ -12,7 +17,9 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +35,8 @@ SHINGLE = 5
 #: Tokens hashed at a time, and items held by one index; larger inputs go in further blocks.
 CHUNK = 20_000
 ITEM_BLOCK = 5_000
+#: Blocks whose indexes a worker keeps; with more of them, indexes are built anew for each batch of documents.
+KEPT = 4
 
 
 def tokens(text: str, by_sign: bool) -> list[str]:
@@ -44,64 +53,24 @@ def is_spaceless(lang: str | None, text: str) -> bool:
     return 2 * len(SPACELESS.findall(text)) > len(signs)
 
 
-class ItemIndex:
-    """Windows of one mode (words or signs) of a bounded block of items."""
+class Blocks:
+    """Fingerprints with a table for each of radius + 1 blocks of their bits."""
 
-    def __init__(self, items: list[tuple[int, str]], by_sign: bool, window: int, radius: int) -> None:
-        self.by_sign, self.window, self.radius = by_sign, window, radius
-        self.items, self.windows = [], []
-        lists = [(i, t) for i, text in items if len(t := tokens(text, by_sign)) >= window]
-        df = Counter(w for _, t in lists for w in set(t))
-        self.top = math.log2(len(lists) + 1) + 1
-        self.weight = {w: max(1, round(4 * (math.log2((len(lists) + 1) / n) + 1))) for w, n in df.items()}
-        self.rows: dict[str, int] = {}
-        self.matrix = np.zeros((1024, 64), np.int16)
-        prints = []
-        for i, t in lists:
-            f = self.prints(t)
-            prints.append(f)
-            self.items += [i] * len(f)
-            self.windows += [tuple(t[k : k + window]) for k in range(len(f))]
-        self.print = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
+    def __init__(self, prints: np.ndarray, radius: int) -> None:
+        self.print, self.radius = prints, radius
         self.edges = np.linspace(0, 64, radius + 2).astype(int)
         self.tables = []
         for lo, hi in zip(self.edges, self.edges[1:]):
-            v = self.block(self.print, lo, hi)
+            v = self.block(prints, lo, hi)
             order = np.argsort(v, kind="stable")
             self.tables.append((order, np.searchsorted(v[order], np.arange((1 << (hi - lo)) + 1))))
-        self.plain = any(not SPACELESS.search("".join(w)) for w in self.windows)
 
     @staticmethod
     def block(f: np.ndarray, lo: int, hi: int) -> np.ndarray:
         return ((f >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)).astype(np.int64)
 
-    def signs(self, t: list[str]) -> np.ndarray:
-        """Per token 64 signs times its weight."""
-        if len(self.rows) > 200_000:
-            self.rows.clear()
-        ids = np.empty(len(t), np.int64)
-        for k, w in enumerate(t):
-            r = self.rows.get(w)
-            if r is None:
-                r = self.rows[w] = len(self.rows)
-                if r == len(self.matrix):
-                    self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-                bits = np.unpackbits(np.frombuffer(xxhash.xxh3_64_digest(w), np.uint8))
-                self.matrix[r] = (bits.astype(np.int16) * 2 - 1) * self.weight.get(w, round(4 * self.top))
-            ids[k] = r
-        return self.matrix[ids]
-
-    def prints(self, t: list[str]) -> np.ndarray:
-        """SimHash of every window of the tokens, sums kept running."""
-        if len(t) < self.window:
-            return np.zeros(0, np.uint64)
-        sums = np.zeros((len(t) + 1, 64), np.int32)
-        np.cumsum(self.signs(t), axis=0, dtype=np.int32, out=sums[1:])
-        bits = sums[self.window :] - sums[: -self.window] > 0
-        return np.packbits(bits, axis=1).view(np.uint64).reshape(-1)
-
     def near(self, f: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(document window, item window) of all pairs of fingerprints within the radius."""
+        """(index in f, index here) of all pairs of fingerprints within the radius."""
         seen: set[int] = set()
         total = len(self.print)
         for (order, starts), lo, hi in zip(self.tables, self.edges, self.edges[1:]):
@@ -120,54 +89,128 @@ class ItemIndex:
                     seen.add(k)
                     yield x, y
 
+
+class Weights:
+    """What tokens weigh, by their numbers among all items of a mode, and their 64 signs times a weight."""
+
+    def __init__(self, df: dict[str, int], items: int, flat: bool) -> None:
+        self.of = {w: max(1, round(4 * (math.log2((items + 1) / n) + 1))) for w, n in df.items()}
+        self.top, self.flat = round(4 * (math.log2(items + 1) + 1)), flat
+        self.rows: dict[str, int] = {}
+        self.matrix = np.zeros((1024, 64), np.int16)
+
+    def signs(self, t: list[str]) -> np.ndarray:
+        if len(self.rows) > 200_000:
+            self.rows.clear()
+        ids = np.empty(len(t), np.int64)
+        for k, w in enumerate(t):
+            r = self.rows.get(w)
+            if r is None:
+                r = self.rows[w] = len(self.rows)
+                if r == len(self.matrix):
+                    self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+                bits = np.unpackbits(np.frombuffer(xxhash.xxh3_64_digest(w), np.uint8))
+                self.matrix[r] = (bits.astype(np.int16) * 2 - 1) * (1 if self.flat else self.of.get(w, self.top))
+            ids[k] = r
+        return self.matrix[ids]
+
+    def sums(self, t: list[str]) -> np.ndarray:
+        out = np.zeros((len(t) + 1, 64), np.int32)
+        np.cumsum(self.signs(t), axis=0, dtype=np.int32, out=out[1:])
+        return out
+
     def similarity(self, a: tuple[str, ...], b: tuple[str, ...]) -> float:
         """Weighted Jaccard of the shingles; a shingle weighs what its tokens weigh."""
         if a == b:
             return 1.0
         x = Counter(a[i : i + SHINGLE] for i in range(len(a) - SHINGLE + 1))
         y = Counter(b[i : i + SHINGLE] for i in range(len(b) - SHINGLE + 1))
-        w = lambda s: sum(self.weight.get(t, round(4 * self.top)) for t in s)
+        w = lambda s: sum(self.of.get(t, self.top) for t in s)
         both = sum(w(s) * n for s, n in (x & y).items())
         return both / (sum(w(s) * n for s, n in x.items()) + sum(w(s) * n for s, n in y.items()) - both)
 
-    def search(self, docs: list[tuple[int, str]], least: float) -> dict[tuple[int, int], list]:
-        """Per document and item: verified windows, windows equal token by token, best similarity.
-
-        The documents' tokens form one stream, taken in chunks that overlap by a window less one token;
-        windows across two documents do not count.
-        """
-        found: dict[tuple[int, int], list] = defaultdict(lambda: [0, 0, 0.0])
-        if not self.items:
-            return found
-        stream: list[str] = []
-        owner: list[np.ndarray] = []
-        for n, (_, text) in enumerate(docs):
-            if self.by_sign and not self.plain and not SPACELESS.search(text):
-                continue
-            t = tokens(text, self.by_sign)
-            if len(t) >= self.window:
-                stream += t
-                owner.append(np.full(len(t), n))
-        of = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        for at in range(0, len(stream) - self.window + 1, CHUNK):
-            part = stream[at : at + CHUNK + self.window - 1]
-            whole = of[at : at + len(part) - self.window + 1] == of[at + self.window - 1 : at + len(part)]
-            place = np.flatnonzero(whole)
-            hits: dict[tuple[int, int], tuple[float, bool]] = {}
-            for x, y in self.near(self.prints(part)[place]):
-                x = int(place[x])
-                own = tuple(part[x : x + self.window])
-                s = self.similarity(own, self.windows[y])
-                if s >= least:
-                    k = (x, self.items[y])
-                    before = hits.get(k, (0.0, False))
-                    hits[k] = (max(before[0], s), before[1] or own == self.windows[y])
-            for (x, item), (s, same) in hits.items():
-                r = found[docs[of[at + x]][0], item]
-                r[0] += 1
-                r[1] += same
-                r[2] = max(r[2], s)
-        return found
+
+def prints(sums: np.ndarray, window: int) -> np.ndarray:
+    """SimHash of every window of the tokens, from their running sums."""
+    if len(sums) <= window:
+        return np.zeros(0, np.uint64)
+    return np.packbits(sums[window:] - sums[:-window] > 0, axis=1).view(np.uint64).reshape(-1)
+
+
+def sizes(least: int, most: int) -> list[int]:
+    """Window sizes from ``least`` on, each a seventh longer than the one before."""
+    out = [least]
+    while out[-1] < most:
+        out.append(max(out[-1] + 1, out[-1] * 8 // 7))
+    return out
+
+
+class ItemIndex:
+    """Windows of one mode (words or signs) of a bounded block of items, by size.
+
+    With ``sized``, an item has two windows, its first and its last tokens, as many as the largest size it reaches;
+    otherwise it has every window of the least size.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], by_sign: bool, window: int, radius: int, weights: Weights, sized: bool = False) -> None:
+        lists = [(i, t) for i, text in items if len(t := tokens(text, by_sign)) >= window]
+        grid = sizes(window, max((len(t) for _, t in lists), default=window)) if sized else [window]
+        held: dict[int, list[tuple[int, tuple[str, ...]]]] = defaultdict(list)
+        for i, t in lists:
+            n = max(g for g in grid if g <= len(t))
+            for k in sorted({0, len(t) - n}) if sized else range(len(t) - n + 1):
+                held[n].append((i, tuple(t[k : k + n])))
+        self.by_size = {n: (Blocks(np.concatenate([prints(weights.sums(list(w)), n) for _, w in own]), radius), own) for n, own in sorted(held.items())}
+
+
+def search(docs: list[tuple[int, str]], indexes: Iterable[ItemIndex], by_sign: bool, window: int, weights: Weights, least: float, plain: bool) -> dict[tuple[int, int], list]:
+    """Per document and item: verified windows, windows equal token by token, best similarity.
+
+    The documents' tokens form one stream, taken in chunks that overlap by the longest window less one token;
+    windows across two documents do not count.
+    """
+    found: dict[tuple[int, int], list] = defaultdict(lambda: [0, 0, 0.0])
+    stream: list[str] = []
+    owner: list[np.ndarray] = []
+    for n, (_, text) in enumerate(docs):
+        if by_sign and not plain and not SPACELESS.search(text):
+            continue
+        t = tokens(text, by_sign)
+        if len(t) >= window:
+            stream += t
+            owner.append(np.full(len(t), n))
+    of = np.concatenate(owner) if owner else np.zeros(0, np.int64)
+    summed: dict[int, np.ndarray] = {}
+    for index in indexes:
+        over = max(index.by_size, default=0)
+        for at in range(0, len(stream) - window + 1, CHUNK):
+            part = stream[at : at + CHUNK + over - 1]
+            # the running sums of a chunk serve every size and, while the chunks are as long, every block of items
+            own = summed.get(at)
+            if own is None or len(own) < len(part) + 1:
+                own = weights.sums(part)
+                if len(stream) <= 4 * CHUNK:
+                    summed[at] = own
+            for size, (blocks, windows) in index.by_size.items():
+                end = min(len(part), CHUNK + size - 1)
+                if end < size:
+                    continue
+                whole = of[at : at + end - size + 1] == of[at + size - 1 : at + end]
+                place = np.flatnonzero(whole)
+                hits: dict[tuple[int, int], tuple[float, bool]] = {}
+                for x, y in blocks.near(prints(own[: end + 1], size)[place]):
+                    x = int(place[x])
+                    mine, (item, theirs) = tuple(part[x : x + size]), windows[y]
+                    s = weights.similarity(mine, theirs)
+                    if s >= least:
+                        before = hits.get((x, item), (0.0, False))
+                        hits[x, item] = (max(before[0], s), before[1] or mine == theirs)
+                for (x, item), (s, same) in hits.items():
+                    r = found[docs[of[at + x]][0], item]
+                    r[0] += 1
+                    r[1] += same
+                    r[2] = max(r[2], s)
+    return found
 
 
 def leaked_items(
@@ -177,35 +220,64 @@ def leaked_items(
 
     exact_windows counts the document's windows equal token by token to one of the item's; these are all
     found. windows counts them and, of the windows of at least min_similarity that differ in some token,
-    those whose fingerprints differ by at most radius bits: it misses others, and similarity, the best one
-    of these windows, can then be too low. Null or empty texts, items shorter than the window and rows
-    with null ids give nothing; repeated rows count once; further columns are ignored; documents of any
-    length are searched whole. Items are taken in blocks of bounded size, each against all documents.
+    those whose fingerprints differ by at most radius bits: it misses others (near_items looks for edited items).
+    Null or empty texts, items shorter than the window and rows with null ids give nothing; repeated rows count once;
+    further columns are ignored; documents of any length are searched whole. Of an item_id with several texts all count.
     """
+    return _search_all(documents, items, (window, sign_window), radius, min_similarity, sized=False)
+
+
+def near_items(documents: DataFrame, items: DataFrame, window: int = 12, sign_window: int = 20, radius: int = 7, min_similarity: float = 0.8) -> DataFrame:
+    """(doc_id, item_id, windows, exact_windows, similarity) for documents that hold the first or last tokens of an item with small edits.
+
+    A window has as many tokens as the largest window size the item reaches (seven eighths of it at least); similarity is the
+    weighted one of five-token shingles. Fingerprints weigh all tokens alike, so that one rare word replaced does not
+    move them beyond the radius: in the tests at least 0.9 of what brute force finds is found. Odd rows count as in leaked_items.
+    """
+    return _search_all(documents, items, (window, sign_window), radius, min_similarity, sized=True)
+
+
+def _search_all(documents: DataFrame, items: DataFrame, windows: tuple[int, int], radius: int, least: float, sized: bool) -> DataFrame:
+    sc = documents.sparkSession.sparkContext
     it = items.select("item_id", "lang", "text").filter("item_id is not null and text is not null").distinct()
     docs = documents.select("doc_id", "text").filter("doc_id is not null and length(text) > 0")
     blocks = max(1, math.ceil(it.count() / ITEM_BLOCK))
-    out = None
+    held, df, number, plain = [], (Counter(), Counter()), [0, 0], False
     for k in range(blocks):
         rows = it.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
-        split: dict[bool, list] = {False: [], True: []}
-        for r in sorted(rows, key=lambda r: r.item_id):
+        split: tuple[list, list] = ([], [])
+        for r in sorted(rows, key=lambda r: (r.item_id, r.text)):
             split[is_spaceless(r.lang, r.text)].append((r.item_id, r.text))
-        indexes = [ItemIndex(split[m], m, sign_window if m else window, radius) for m in (False, True)]
-        part = docs.mapInArrow(_searcher(indexes, min_similarity), "doc_id long, item_id long, windows long, exact_windows long, similarity double")
-        out = part if out is None else out.unionByName(part)
+        for m in (0, 1):
+            for _, text in split[m]:
+                if len(t := tokens(text, bool(m))) >= windows[m]:
+                    df[m].update(set(t))
+                    number[m] += 1
+                    # an item counted by signs may hold a window without any sign of those scripts: then no text can be passed over
+                    plain |= m == 1 and any(sum(1 for _ in g) >= windows[1] for k, g in groupby(t, key=lambda c: SPACELESS.match(c) is None) if k)
+        # one broadcast a block of at most about ITEM_BLOCK items; the weights are those of all items
+        held.append(sc.broadcast(split))
+    run = _searcher(held, df, number, windows, radius, least, sized, plain)
+    out = docs.mapInArrow(run, "doc_id long, item_id long, windows long, exact_windows long, similarity double")
     return out.groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max("exact_windows").alias("exact_windows"), F.max("similarity").alias("similarity"))
 
 
-def _searcher(indexes: list[ItemIndex], least: float):
+def _searcher(held: list, df: tuple[Counter, Counter], number: list[int], windows: tuple[int, int], radius: int, least: float, sized: bool, plain: bool):
     names = ["doc_id", "item_id", "windows", "exact_windows", "similarity"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = [Weights(df[m], number[m], sized) for m in (0, 1)]
+        index = lru_cache(2 * KEPT)(lambda m, k: ItemIndex(held[k].value[m], bool(m), windows[m], radius, weights[m], sized))
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            step = 500 if len(held) <= KEPT else whole.num_rows
+            for at in range(0, whole.num_rows, step):
+                b = whole.slice(at, step)
                 docs = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-                rows = [(*k, *r) for index in indexes for k, r in index.search(docs, least).items()]
+                rows = []
+                for m in (0, 1):
+                    if number[m]:
+                        every = (index(m, k) for k in range(len(held)))
+                        rows += [(*k, *r) for k, r in search(docs, every, bool(m), windows[m], weights[m], least, plain).items()]
                 if rows:
                     cols = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if i == 4 else pa.int64()) for i, c in enumerate(cols)], names=names)

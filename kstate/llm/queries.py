@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kstate.llm.canonical_match import UNMATCHED, map_to_canonical
-from kstate.llm.leakage import leaked_items
+from kstate.llm.leakage import leaked_items, near_items
 from kstate.llm.lookalikes import look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
 from kstate.llm.mixture import mix, shares
@@ -103,6 +103,12 @@ def p6_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(n, "item_id", "left").na.fill(0)
 
 
+def p6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold most of an item, with or without small edits, and how alike."""
+    found = near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+    return found.select("doc_id", "item_id", "windows", F.round("similarity", 6).alias("similarity"), (F.col("exact_windows") > 0).alias("exact"))
+
+
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents chosen for each source, with the number of uses."""
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))
@@ -118,4 +124,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p6_near": p6_near, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}

@@ -1,11 +1,12 @@
 import os
 import random
 import unicodedata
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from kstate.llm.leakage import leaked_items
+from kstate.llm.leakage import Weights, leaked_items, near_items, sizes
 from kstate.llm.lookalikes import Rewriter, canonical_text, look_alike_classes, look_alike_pairs
 from kstate.llm.sentences import DICTIONARY, PLAIN, Lattices, sentence_units, sentences, spaceless_words
 
@@ -126,3 +127,45 @@ def test_leakage(spark):
     got = leaked_items(spark.createDataFrame(docs, "doc_id long, text string").withColumn("windows", F.lit(0)), items).filter("exact_windows > 0").collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 10), (5, 11), (7, 10)}
     assert leaked_items(spark.createDataFrame([], "doc_id long, text string"), items).count() == 0
+    both = leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), items.filter("item_id <> 10")).filter("exact_windows > 0")
+    assert {(r.doc_id, r.item_id) for r in both.collect()} == {(5, 11)}
+
+
+def test_near_items_recall_against_brute_force(spark):
+    """Documents with an item edited by substitution, insertion and deletion; truth is every pair of windows at or above the similarity."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(800)]
+    items = [(k, [rng.choice(vocabulary) for _ in range(rng.randrange(14, 120))]) for k in range(60)]
+    docs = []
+    for n in range(240):
+        k, body = items[n % 60]
+        t = list(body)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randrange(len(t))
+            t[at : at + rng.choice([0, 1])] = rng.choice([[], [rng.choice(vocabulary)]])
+        docs.append((n, [rng.choice(vocabulary) for _ in range(rng.randrange(30))] + t + [rng.choice(vocabulary) for _ in range(20)]))
+    numbers = Counter(w for _, t in items for w in set(t))
+    weights, truth = Weights(numbers, len(items), True), set()
+    grid = sizes(12, 120)
+    for d, t in docs:
+        k, body = items[d % 60]
+        n = max(g for g in grid if g <= len(body))
+        for theirs in (tuple(body[:n]), tuple(body[-n:])):
+            if any(weights.similarity(tuple(t[i : i + n]), theirs) >= 0.8 for i in range(len(t) - n + 1)):
+                truth.add((d, k))
+    i = spark.createDataFrame([(k, "s", "en", " ".join(t)) for k, t in items], "item_id long, suite string, lang string, text string")
+    got = {(r.doc_id, r.item_id) for r in near_items(spark.createDataFrame([(n, " ".join(t)) for n, t in docs], "doc_id long, text string"), i).collect()}
+    edited = {(d, k) for d, k in truth if " ".join(items[k][1]) not in " ".join(docs[d][1])}
+    assert len(edited) > 60 and len(got & edited) >= 0.9 * len(edited) and len(got & truth) >= 0.9 * len(truth) and got <= {(d, d % 60) for d, _ in docs}
+    assert near_items(i.select(F.col("item_id").alias("doc_id"), "text").limit(0), i).count() == 0
+
+
+@pytest.mark.parametrize("block", [2, 5000])
+def test_items_in_blocks_give_the_same(spark, monkeypatch, block):
+    from kstate.llm import leakage
+
+    monkeypatch.setattr(leakage, "ITEM_BLOCK", block)
+    items = spark.createDataFrame([(k, "s", "en", " ".join(f"a{k}b{i}" for i in range(30))) for k in range(9)], "item_id long, suite string, lang string, text string")
+    docs = items.selectExpr("item_id + 100 AS doc_id", "concat('x y ', text, ' z') AS text")
+    for find in (leaked_items, near_items):
+        assert {(r.doc_id - 100, r.item_id) for r in find(docs, items).filter("exact_windows > 0").collect()} == {(k, k) for k in range(9)}
