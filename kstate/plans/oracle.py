@@ -116,10 +116,12 @@ qo AS (SELECT q1.*, q2.first,
 r0 AS (SELECT candidate_no AS o, lag(candidate_no) OVER (PARTITION BY run_id, batch_id ORDER BY candidate_no) AS s FROM cand WHERE candidate_type = 'concept'),
 en AS (SELECT o, CASE WHEN operation = 'ignore' THEN NULL WHEN status = 'matched' THEN rid ELSE CAST(first AS VARCHAR) END AS id FROM co),
 r1 AS (SELECT r0.o, r0.s, a.id AS sid, b.id AS oid, a.o IS NOT NULL AS ha, b.o IS NOT NULL AS hb FROM r0 LEFT JOIN en a ON a.o = r0.s LEFT JOIN en b ON b.o = r0.o WHERE r0.s IS NOT NULL),
-r2 AS (SELECT sid, oid, min(o) AS first FROM r1 WHERE sid IS NOT NULL AND oid IS NOT NULL GROUP BY ALL),
-ro AS (SELECT r1.*, r2.first, CASE WHEN r1.sid IS NULL OR r1.oid IS NULL THEN 'ignore' WHEN o = first THEN 'create' ELSE 'merge' END AS operation,
-        CASE WHEN r1.sid IS NULL OR r1.oid IS NULL THEN 'relation-endpoint-unresolved' WHEN o = first THEN 'new-relation' ELSE 'exact-new-relation-duplicate' END AS reason
-      FROM r1 LEFT JOIN r2 ON r1.sid = r2.sid AND r1.oid = r2.oid)
+kr AS (SELECT DISTINCT a.resolved_internal_id AS sid, b.resolved_internal_id AS oid FROM r0 JOIN res a ON a.candidate_no = r0.s JOIN res b ON b.candidate_no = r0.o
+  WHERE a.status = 'matched' AND b.status = 'matched' AND right(a.resolved_internal_id, 1) < '8'),
+r2 AS (SELECT sid, oid, min(o) AS first FROM r1 WHERE sid IS NOT NULL AND oid IS NOT NULL AND (sid, oid) NOT IN (SELECT (sid, oid) FROM kr) GROUP BY ALL),
+ro AS (SELECT r1.*, r2.first, CASE WHEN r1.sid IS NULL OR r1.oid IS NULL THEN 'ignore' WHEN kr.sid IS NOT NULL THEN 'update' WHEN o = first THEN 'create' ELSE 'merge' END AS operation,
+        CASE WHEN r1.sid IS NULL OR r1.oid IS NULL THEN 'relation-endpoint-unresolved' WHEN kr.sid IS NOT NULL THEN 'exact-existing-relation' WHEN o = first THEN 'new-relation' ELSE 'exact-new-relation-duplicate' END AS reason
+      FROM r1 LEFT JOIN r2 ON r1.sid = r2.sid AND r1.oid = r2.oid LEFT JOIN kr ON r1.sid = kr.sid AND r1.oid = kr.oid)
 """
 
 
@@ -272,7 +274,7 @@ SELECT object_type, operation, count(*) AS n, CASE operation WHEN 'update' THEN
 SELECT object_type, status, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT 'concept' AS object_type, status, count(*) AS n FROM g GROUP BY ALL UNION ALL SELECT 'concept', 'active', count(*) FROM co WHERE operation = 'create'
   UNION ALL SELECT 'summary', 'active', count(*) FROM so WHERE o = first UNION ALL SELECT 'claim', status, count(*) FROM kc GROUP BY ALL UNION ALL SELECT 'claim', 'active', count(*) FROM qo WHERE operation IN ('create', 'contradict')
-  UNION ALL SELECT 'relation', 'active', count(*) FROM ro WHERE operation = 'create') GROUP BY ALL HAVING sum(n) > 0"""
+  UNION ALL SELECT 'relation', 'active', count(*) FROM ro WHERE operation = 'create' UNION ALL SELECT 'relation', 'active', count(*) FROM kr) GROUP BY ALL HAVING sum(n) > 0"""
     q["compile_titles"] = f"""WITH {PLAN}, g AS ({CATALOG}), u AS (SELECT rid, max_by(co.name, o) AS t FROM co WHERE operation = 'update' GROUP BY rid),
 e AS (SELECT rid AS id, unnest(cand.evidence_anchors) AS a FROM co JOIN cand ON cand.candidate_no = co.o WHERE operation = 'update' UNION SELECT internal_id, unnest(source_anchors) FROM g),
 n AS (SELECT id, count(DISTINCT a) AS anchors FROM e GROUP BY id)
@@ -292,7 +294,7 @@ UNION ALL SELECT object_type, internal_id, 'merged into unknown' FROM a WHERE me
 UNION ALL SELECT DISTINCT 'claim', internal_id, 'link to unknown' FROM l WHERE x NOT IN (SELECT internal_id FROM k)
 UNION ALL SELECT 'concept', internal_id, 'shared path' FROM p WHERE p IN (SELECT p FROM p GROUP BY p HAVING count(DISTINCT internal_id) > 1)"""
     q["catalog_projection"] = f"SELECT internal_id, title, canonical_path, status FROM ({_latest('concept')}) WHERE status <> 'merged'"
-    q["planning_projection"] = f"SELECT internal_id, statement, status FROM ({_latest('claim')}) WHERE status <> 'merged'"
+    q["planning_projection"] = f"WITH {PLAN} SELECT internal_id, statement, status FROM kc UNION ALL SELECT 'urn:kst:relation:' || md5(sid || '|' || oid), sid || ' appears with ' || oid, 'active' FROM kr"
     q["identity_registry"] = f"""SELECT 'concept' AS object_type, internal_id, status, merged_into, canonical_path FROM ({_latest('concept')})
 UNION ALL SELECT 'claim', internal_id, status, merged_into, NULL FROM ({_latest('claim')})"""
     q["link_faults"] = f"""WITH c AS ({_latest('claim')}), x AS (SELECT DISTINCT internal_id, unnest(contradicts || contradicted_by || supersedes || superseded_by || CASE WHEN length(statement) % 11 = 0 THEN ['urn:kst:claim:none'] ELSE [] END) AS target FROM c)

@@ -475,13 +475,19 @@ def claim_operations(spark: SparkSession, d: str) -> DataFrame:
     return P.plan_claims(c, known_claims(spark, d), _decisions(spark, d))
 
 
-def _no_relations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], A.SCHEMAS["relation"])
+def known_relations(spark: SparkSession, d: str) -> DataFrame:
+    """Relations made from the data: about half the neighbours that were both matched are known to appear together."""
+    r = _resolutions(spark, d).filter("status = 'matched'").select("candidate_id", "resolved_internal_id")
+    c = relation_candidates(spark, d).select("subject_candidate_id", "object_candidate_id")
+    c = c.join(r.toDF("subject_candidate_id", "subject_internal_id"), "subject_candidate_id").join(r.toDF("object_candidate_id", "object_internal_id"), "object_candidate_id")
+    c = c.filter(F.substring("subject_internal_id", -1, 1) < "8").select("subject_internal_id", "object_internal_id").distinct()
+    ident = F.concat(F.lit("urn:kst:relation:"), F.md5(F.concat_ws("|", "subject_internal_id", "object_internal_id")))
+    return c.select(ident.alias("internal_id"), "subject_internal_id", F.lit("appears with").alias("predicate"), "object_internal_id", F.array().cast("array<string>").alias("evidence_anchors"), F.lit("active").alias("status"), F.lit(None).cast("string").alias("merged_into"))
 
 
 def relation_operations(spark: SparkSession, d: str, concepts: DataFrame | None = None) -> DataFrame:
     concepts = cut(concept_operations(spark, d)) if concepts is None else concepts
-    return P.plan_relations(relation_candidates(spark, d), concepts, _no_relations(spark), _decisions(spark, d))
+    return P.plan_relations(relation_candidates(spark, d), concepts, known_relations(spark, d), _decisions(spark, d))
 
 
 def operation_log(spark: SparkSession, d: str) -> DataFrame:
@@ -536,7 +542,7 @@ def operation_faults(spark: SparkSession, d: str) -> DataFrame:
 def decision_faults(spark: SparkSession, d: str) -> DataFrame:
     c = candidates(spark, d).select(F.col("candidate_no").cast("string").alias("candidate_id"), "candidate_type")
     bad = _decisions(spark, d).withColumn("reason", F.when(F.col("action") == "ignore", " ").otherwise(F.col("reason")))
-    return P.decision_faults(bad, c, _resolutions(spark, d), known_claims(spark, d), _no_relations(spark))
+    return P.decision_faults(bad, c, _resolutions(spark, d), known_claims(spark, d), known_relations(spark, d))
 
 
 @query
@@ -560,7 +566,7 @@ def path_proposals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _state(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return A.bootstrap(catalog(spark, d), known_claims(spark, d), _no_relations(spark))
+    return A.bootstrap(catalog(spark, d), known_claims(spark, d), known_relations(spark, d))
 
 
 def compiled(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
@@ -632,8 +638,8 @@ def catalog_projection(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def planning_projection(spark: SparkSession, d: str) -> DataFrame:
-    claims, _ = A.planning_projection(latest(spark, d, "claim"), _no_relations(spark))
-    return claims.select("internal_id", "statement", "status")
+    claims, relations = A.planning_projection(latest(spark, d, "claim"), known_relations(spark, d))
+    return claims.select("internal_id", "statement", "status").unionByName(relations.select("internal_id", F.concat_ws(" ", "subject_internal_id", "predicate", "object_internal_id").alias("statement"), "status"))
 
 
 @query
