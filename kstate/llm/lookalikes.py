@@ -79,8 +79,9 @@ def variant_links() -> tuple[tuple[str, str], ...]:
 def look_alike_classes(frequency: dict[str, int]) -> dict[str, str]:
     """Every string that is not its class's representative, with that representative.
 
-    A class with a member of several code points is represented by the longest such member (the
-    spelled-out ligature), any other by its most frequent code point, ties by the smaller one.
+    A class is represented by its most frequent code point, ties by the smaller one. Only one with a member of several code
+    points is represented by the longest such member (the spelled-out ligature), whatever the frequencies: were the
+    ligature the form, the same letters could be left in two ways (ff + i, f + fi).
     The Unicode form is decomposed: a letter with an accent stands for its base and its marks.
     """
     uf = UnionFind()
@@ -186,20 +187,38 @@ def canonical_text(df: DataFrame, column: str = "text", out: str = "canonical",
     return df.mapInArrow(rewrite, f"{schema}, `{out}` {'binary' if digest_only else 'string'}")
 
 
-def look_alike_pairs(units: DataFrame, group: str = "table_name", key: str = "unit_no", column: str = "text") -> DataFrame:
-    """(group, <key>_a, <key>_b): pairs a < b within a group whose texts differ but share one form.
-
-    Rows with null text or key take no part, a row delivered twice counts once, other columns are
-    ignored. Only digests are shuffled; forms with a single spelling drop out before the pairing, and the
-    pairs are formed between spellings, so copies of one spelling never meet each other.
-    """
+def _shared_forms(units: DataFrame, group: str, key: str, column: str) -> DataFrame:
+    """(g, form, spelling, k), each once, of the rows whose form has several spellings. Only digests are shuffled."""
     t = units.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(column).alias("text")).filter("text is not null and k is not null")
     frequency = code_point_counts(t)
     t = t.withColumn("spelling", F.unhex(F.md5("text")))
     t = canonical_text(t, "text", "form", frequency, digest_only=True).select("g", "k", "spelling", "form")
     many = t.groupBy("g", "form").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).filter("lo <> hi").select("g", "form")
-    t = t.join(many, ["g", "form"], "left_semi").distinct()
+    return t.join(many, ["g", "form"], "left_semi").distinct()
+
+
+def look_alike_pairs(units: DataFrame, group: str = "table_name", key: str = "unit_no", column: str = "text") -> DataFrame:
+    """(group, <key>_a, <key>_b): pairs a < b within a group whose texts differ but share one form.
+
+    Rows with null text or key take no part, a row delivered twice counts once, other columns are
+    ignored. Forms with a single spelling drop out before the pairing, and the pairs are formed between
+    spellings, so copies of one spelling never meet each other.
+    """
+    t = _shared_forms(units, group, key, column)
     a = t.select("g", "form", F.col("k").alias("ka"), F.col("spelling").alias("sa"))
     b = t.select("g", "form", F.col("k").alias("kb"), F.col("spelling").alias("sb"))
     pairs = a.join(b, ["g", "form"]).filter("sa <> sb and ka < kb")
     return pairs.select(F.col("g").alias(group), F.col("ka").alias(f"{key}_a"), F.col("kb").alias(f"{key}_b")).distinct()
+
+
+def look_alike_groups(units: DataFrame, group: str = "table_name", key: str = "unit_no", column: str = "text") -> DataFrame:
+    """(group, <key>, class_id, spelling_id): one row for each row whose text has look-alikes, however many.
+
+    class_id is the smallest key with the same form, spelling_id the smallest with the very same text; two rows look alike
+    where the class is one and the spellings differ. Odd rows count as in look_alike_pairs.
+    """
+    t = _shared_forms(units, group, key, column)
+    own = t.groupBy("g", "form", "spelling").agg(F.min("k").alias("spelling_id"))
+    whole = own.groupBy("g", "form").agg(F.min("spelling_id").alias("class_id"))
+    out = t.join(own, ["g", "form", "spelling"]).join(whole, ["g", "form"])
+    return out.select(F.col("g").alias(group), F.col("k").alias(key), "class_id", "spelling_id")

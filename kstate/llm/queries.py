@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kstate.llm.canonical_match import UNMATCHED, map_to_canonical
 from kstate.llm.leakage import leaked_items, near_items
-from kstate.llm.lookalikes import look_alike_pairs
+from kstate.llm.lookalikes import look_alike_groups, look_alike_pairs
 from kstate.llm.merge_groups import merge_groups
 from kstate.llm.mixture import mix, shares
 from kstate.llm.near_duplicates import expand_pairs, near_duplicate_groups, near_duplicates
@@ -42,12 +42,21 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_groups(rows)
 
 
-def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = None
     for name in ("raw_unit", "normalized_unit"):
         part = table(spark, sf_dir, name).select(F.lit(name).alias("table_name"), "unit_no", "text")
         rows = part if rows is None else rows.unionByName(part)
-    return look_alike_pairs(rows)
+    return rows
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return look_alike_pairs(_unit_texts(spark, sf_dir))
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every unit whose text has look-alikes, one row a unit."""
+    return look_alike_groups(_unit_texts(spark, sf_dir))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,4 +133,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p6_near": p6_near, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p6_near": p6_near, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kstate.llm.leakage import Weights, leaked_items, near_items, sizes
-from kstate.llm.lookalikes import Rewriter, canonical_text, look_alike_classes, look_alike_pairs
+from kstate.llm.lookalikes import Rewriter, canonical_text, look_alike_classes, look_alike_groups, look_alike_pairs
 from kstate.llm.sentences import DICTIONARY, PLAIN, Lattices, sentence_units, sentences, spaceless_words
 
 
@@ -111,7 +111,8 @@ def test_look_alike_pairs(spark):
     rows = [("t", 1, "page"), ("t", 2, "pаge"), ("t", 3, "page"), ("u", 4, "pаge"), ("t", 5, None), ("t", 2, "pаge"), ("t", None, "pаge"), ("t", 6, ""), ("t", 7, "​")]
     df = spark.createDataFrame(rows, "table_name string, unit_no long, text string").withColumn("form", F.lit(1))
     assert {tuple(r) for r in look_alike_pairs(df).collect()} == {("t", 1, 2), ("t", 2, 3), ("t", 6, 7)}
-    assert look_alike_pairs(df.limit(0)).count() == 0
+    assert look_alike_pairs(df.limit(0)).count() == 0 and look_alike_groups(df.limit(0)).count() == 0
+    assert {tuple(r) for r in look_alike_groups(df).collect()} == {("t", 1, 1, 1), ("t", 2, 1, 2), ("t", 3, 1, 1), ("t", 6, 6, 6), ("t", 7, 6, 7)}
     assert len({r.canonical for r in canonical_text(df.filter("unit_no in (1, 2)").select("text")).collect()}) == 1
 
 
