@@ -239,6 +239,15 @@ def operation_faults(operations: DataFrame) -> DataFrame:
     return verb.unionByName(late).unionByName(twice).unionByName(total)
 
 
+def path_faults(concepts: DataFrame, operations: DataFrame) -> DataFrame:
+    """(operation_id, fault): operations that create a concept at a path some concept has or had, or that another one creates too."""
+    new = operations.filter("object_type = 'concept' and proposed_canonical_path is not null").select("operation_id", path_key(F.col("proposed_canonical_path")).alias("k"))
+    had = concepts.select(F.explode(F.concat(F.array("canonical_path"), "path_history")).alias("p")).select(path_key(F.col("p")).alias("k")).distinct()
+    used = new.join(had, "k", "left_semi").select("operation_id", F.lit("path in use").alias("fault"))
+    twice = new.join(new.groupBy("k").count().filter("count > 1").select("k"), "k", "left_semi").select("operation_id", F.lit("path created twice").alias("fault"))
+    return used.unionByName(twice).unionByName(new.filter("k is null").select("operation_id", F.lit("unsafe path").alias("fault")))
+
+
 def state_faults(state: dict[str, DataFrame]) -> DataFrame:
     """(object_type, internal_id, fault) of rows that break a rule of the state."""
     out = None

@@ -9,6 +9,7 @@ texts typed more than once are scored once.
 from __future__ import annotations
 
 import difflib
+import json
 import math
 import re
 from bisect import insort
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kstate.functions.canon import KStateError
+from kstate.functions.canon import KStateError, canonical_json
 from kstate.functions.text import fold, label, label_tokens, path_key, path_title
 from kstate.operators.normalize import repeated
 from kstate.runtime import cut
@@ -275,6 +276,29 @@ def resolve(candidates: DataFrame, catalog: DataFrame, threshold: float = THRESH
     return r.select("candidate_no", "status", "method", "resolved_internal_id", "considered_internal_ids", "signals")
 
 
+class ModelAdjudicator:
+    """Asks a model, through anything that answers requests (see synthesize), which of the concepts considered is meant."""
+
+    INSTRUCTIONS = "Say which of the concepts considered the candidate is: match with its id, new if it is none of them, ambiguous if that cannot be told."
+
+    def __init__(self, provider, model: str, max_output_tokens: int = 1200) -> None:  # noqa: ANN001
+        self.provider, self.model, self.tokens = provider, model, max_output_tokens
+        self.name = provider.name
+
+    def decide(self, question: dict) -> tuple[str, str | None]:
+        ident = {"type": ["string", "null"], "enum": [*question["considered"], None]}
+        fields = {"decision": {"type": "string", "enum": ["match", "new", "ambiguous"]}, "internal_id": ident, "reason": {"type": "string"}}
+        schema = {"type": "object", "additionalProperties": False, "required": list(fields), "properties": fields}
+        asked = {"model": self.model, "instructions": self.INSTRUCTIONS, "input": canonical_json(question), "max_output_tokens": self.tokens, "schema": canonical_json(schema)}
+        try:
+            answer = json.loads(self.provider.generate(asked))
+        except ValueError as e:
+            raise KStateError(f"the adjudicator's answer is no JSON: {e}") from e
+        if not isinstance(answer, dict) or set(answer) != set(fields):
+            raise KStateError("the adjudicator's answer has other fields")
+        return answer["decision"], answer["internal_id"]
+
+
 def adjudicate(resolutions: DataFrame, adjudicator) -> DataFrame:  # noqa: ANN001
     """Asks the adjudicator about ambiguous rows; it answers (match, id), (new, None) or (ambiguous, None) within the ids considered."""
     fields = [f for f in resolutions.schema.fieldNames()]

@@ -183,6 +183,27 @@ def file_signatures(spark: SparkSession, d: str) -> DataFrame:
     return C.classify_files(f).select("doc_id", "format", "basis", "strength", F.array_join("diagnostics", ",").alias("diagnostics"))
 
 
+@query
+def container_formats(spark: SparkSession, d: str) -> DataFrame:
+    """What zip and tar containers are by what they hold, named as text, as themselves, or as another container."""
+
+    def make(lines: list[str], k: int) -> bytes:
+        types = {"[Content_Types].xml": "<Types/>"}
+        if k < 3:
+            return zipped(types | {("word/document.xml", "xl/workbook.xml", "ppt/presentation.xml")[k]: escaped(lines[0])})
+        if k < 5:
+            return zipped({"mimetype": ("application/epub+zip", "application/vnd.oasis.opendocument.text")[k - 3], "x": lines[0]})
+        return tar_file(lines) if k == 5 else zipped({"a.txt": lines[0]}) if k == 6 else b"PK\x03\x04" + lines[0].encode()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            names = [f"f{n}.{('md', 'docx', 'zip')[n % 3]}" for n in b["doc_id"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "path": names, "content": [make(clean(t or "").split("\n"), n % 8) for n, t in zip(b["doc_id"], b["text"])]})
+
+    f = table(spark, d, "documents").select("doc_id", "text").mapInPandas(run, "doc_id long, path string, content binary")
+    return C.classify_files(f).select("doc_id", "format", "basis", "strength", F.array_join("diagnostics", ",").alias("diagnostics"))
+
+
 def oracle_sql() -> dict[str, str]:
     # lines as the files have them, numbered from 1
     lines = r"""t AS (SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B-\x1F]', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
@@ -213,4 +234,8 @@ SELECT 'unsupported' AS kind, diagnostics, CASE WHEN even THEN 'archive' ELSE 'i
 WITH d AS (SELECT doc_id, doc_id % 8 AS k, doc_id % 16 < 8 AS md FROM documents), f AS (SELECT *, ['png', 'gif', 'pdf', 'gzip', 'jpeg', 'xz', 'bzip2', 'binary'][k + 1] AS format FROM d)
 SELECT doc_id, format, CASE WHEN k < 7 THEN 'magic' ELSE 'fallback' END AS basis, CASE WHEN k < 7 THEN 'exact' ELSE 'generic' END AS strength,
   CASE WHEN NOT md THEN '' WHEN k < 7 THEN 'extension-conflict:markdown->' || format ELSE 'extension-binary-conflict:markdown' END AS diagnostics FROM f"""
+    q["container_formats"] = """
+WITH d AS (SELECT doc_id, doc_id % 8 AS k, ['markdown', 'docx', 'zip'][doc_id % 3 + 1] AS named FROM documents), f AS (SELECT *, ['docx', 'xlsx', 'pptx', 'epub', 'odt', 'tar', 'zip', 'zip'][k + 1] AS format FROM d)
+SELECT doc_id, format, CASE WHEN k < 5 THEN 'container' ELSE 'magic' END AS basis, CASE WHEN k < 6 THEN 'exact' ELSE 'supported' END AS strength,
+  concat_ws(',', CASE WHEN k = 7 THEN 'zip-container-unreadable' END, CASE WHEN named <> format THEN 'extension-conflict:' || named || '->' || format END) AS diagnostics FROM f"""
     return q

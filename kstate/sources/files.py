@@ -181,27 +181,42 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Entries of a tree: kind, size, hash, executable bit, link target; '.' for the root. Devices and sockets are refused."""
+    """Entries of a tree: kind, size, hash, executable bit, link target; '.' for the root. Devices and sockets are refused.
+
+    The driver lists names; the workers read and hash the files, so the root has to be a folder all nodes share.
+    """
     rows = []
 
     def walk(p: Path, rel: str) -> None:
         if p.is_symlink():
-            rows.append((rel, "symlink", None, None, None, os.readlink(p)))
+            rows.append((rel, "symlink", None, os.readlink(p)))
         elif p.is_dir():
-            rows.append((rel, "directory", None, None, None, None))
+            rows.append((rel, "directory", None, None))
             for child in sorted(os.scandir(p), key=lambda e: os.fsencode(e.name)):
                 walk(Path(child.path), child.name if rel == "." else f"{rel}/{child.name}")
         elif p.is_file():
-            h = hashlib.sha256()
-            with p.open("rb") as f:
-                while block := f.read(CHUNK):
-                    h.update(block)
-            rows.append((rel, "file", p.stat().st_size, h.hexdigest(), bool(p.stat().st_mode & 0o111), None))
+            rows.append((rel, "file", bool(p.stat().st_mode & 0o111), None))
         else:
             raise KStateError(f"{rel} is no file, folder or link")
 
+    def read(batches):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        for b in batches:
+            out = []
+            for rel, kind, executable, target in b.itertuples(index=False):
+                size = sha = None
+                if kind == "file":
+                    place = Path(root) if rel == "." else Path(root) / rel
+                    size = place.stat().st_size
+                    with place.open("rb") as f:
+                        sha = hashlib.file_digest(f, "sha256").hexdigest()
+                out.append((rel, kind, size, sha, executable, target))
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in ENTRY_SCHEMA.split(", ")]).astype({"size": "Int64", "executable": "boolean"})
+
     walk(Path(root), ".")
-    return spark.createDataFrame(rows, ENTRY_SCHEMA)
+    listed = spark.createDataFrame(rows, "path string, kind string, executable boolean, target string")
+    return listed.mapInPandas(read, ENTRY_SCHEMA)
 
 
 def depth_first(path: Column) -> Column:
@@ -252,29 +267,51 @@ def tree_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of canonical JSON lines; a line that is no object of the schema's types fails the read."""
+    """Rows of canonical JSON lines, of one file or a folder of parts; a line that is no object of the schema's types fails the read.
+
+    Every file has to end in a line feed: the last bytes are looked at where the files are read.
+    """
+
+    def last(batches):  # noqa: ANN001, ANN202
+        for b in batches:
+            yield b[[_ends_badly(p) for p in b["path"]]]
+
+    files_ = sorted(str(p) for p in Path(path).glob("part-*")) if Path(path).is_dir() else [path]
+    bad = spark.createDataFrame([(p,) for p in files_], "path string").mapInPandas(last, "path string").limit(1).collect() if files_ else []
+    if bad:
+        raise KStateError(f"{bad[0].path} does not end in a line feed")
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def _ends_badly(path: str) -> bool:
     with open(path, "rb") as f:
         f.seek(0, os.SEEK_END)
-        if f.tell():
-            f.seek(-1, os.SEEK_END)
-            if f.read(1) != b"\n":
-                raise KStateError(f"{path} does not end in a line feed")
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        if not f.tell():
+            return False
+        f.seek(-1, os.SEEK_END)
+        return f.read(1) != b"\n"
 
 
-def write_json_lines(df: DataFrame, path: str, order: list[str]) -> None:
-    """One file of canonical JSON lines in the given order: ordered by range, written part by part, joined by the driver."""
+def write_json_lines(df: DataFrame, path: str, order: list[str], parts: bool = False) -> None:
+    """Canonical JSON lines in the given order: ordered by range and written part by part, as a folder or joined to one file.
+
+    With ``parts`` the result is a folder whose files, taken by name, are in order, and no byte passes through the driver.
+    """
     names = df.columns
-    work = Path(path).with_name(f".{Path(path).name}-{os.getpid()}")
-    try:
+    work = Path(path) if parts else Path(path).with_name(f".{Path(path).name}-{os.getpid()}")
 
-        def lines(batches):  # noqa: ANN001, ANN202
-            import pandas as pd
+    def lines(batches):  # noqa: ANN001, ANN202
+        import pandas as pd
 
-            for b in batches:
-                yield pd.DataFrame({"value": [canonical_json({n: _plain(v) for n, v in zip(names, row)}) for row in b.itertuples(index=False)]})
+        for b in batches:
+            yield pd.DataFrame({"value": [canonical_json({n: _plain(v) for n, v in zip(names, row)}) for row in b.itertuples(index=False)]})
 
-        df.orderBy(*order).mapInPandas(lines, "value string").write.text(str(work))
+    text = df.orderBy(*order).mapInPandas(lines, "value string")
+    if parts:
+        text.write.text(str(work))
+        return
+    try:
+        text.write.text(str(work))
         with open(path, "wb") as out:
             for part in sorted(work.glob("part-*")):
                 with part.open("rb") as f:

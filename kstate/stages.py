@@ -451,6 +451,7 @@ def compile_state(store: Store, *identity: str) -> dict:
             claims_now, relations_now = A.planning_projection(base["claim"], base["relation"])
             A.stale_guard(tables["claims"], claims_now)
             A.stale_guard(relations, relations_now)
+        N.require(A.path_faults(base["concept"], tables["operations"]), "new concepts have paths of their own")
         state, results = A.apply_operations(base, A.translate(tables["operations"]))
         state = {t: cut(s) for t, s in state.items()}
         N.require(A.state_faults(state), "the new state keeps its rules")

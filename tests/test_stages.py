@@ -169,3 +169,33 @@ def test_responses_provider():
     for bad in ({"status": "incomplete"}, {"status": "completed", "output": [{"content": [{"type": "refusal", "refusal": "no"}]}]}, {"status": "completed", "output": [{"content": [text, text]}]}, []):
         with pytest.raises(KStateError):
             ask(bad)
+
+
+def test_model_adjudicator(spark):
+    from kstate.operators import resolve as R
+
+    class Model:
+        name = "fixture"
+
+        def generate(self, request):
+            ids = json.loads(request["input"])["considered"]
+            return json.dumps({"decision": "match", "internal_id": max(ids), "reason": "r"})
+
+    rows = [(1, "Shared", "d", "ambiguous", "alias-history-exact", None, ["k1", "k2"], None), (2, "Other", None, "new", "no-catalog-candidate", None, [], None)]
+    schema = "candidate_no long, name string, description string, status string, method string, resolved_internal_id string, considered_internal_ids array<string>, signals array<string>"
+    got = {r.candidate_no: (r.status, r.method, r.resolved_internal_id) for r in R.adjudicate(spark.createDataFrame(rows, schema), R.ModelAdjudicator(Model(), "m")).collect()}
+    assert got == {1: ("matched", "adjudicated", "k2"), 2: ("new", "no-catalog-candidate", None)}
+    for answer in ("no json", "{}"):
+        with pytest.raises(KStateError):
+            R.ModelAdjudicator(type("P", (), {"name": "p", "generate": lambda self, r, a=answer: a})(), "m").decide({"considered": ["k1"]})
+
+
+def test_json_lines_in_parts(spark, tmp_path):
+    df = spark.range(500).selectExpr("id AS n", "concat('x', id) AS t")
+    files.write_json_lines(df.repartition(5), str(tmp_path / "rows"), ["n"], parts=True)
+    parts = sorted((tmp_path / "rows").glob("part-*"))
+    assert [json.loads(x)["n"] for p in parts for x in p.read_text().splitlines()] == list(range(500))
+    assert files.read_json_lines(spark, str(tmp_path / "rows"), "n long, t string").count() == 500
+    parts[0].write_text(parts[0].read_text() + "{")
+    with pytest.raises(KStateError):
+        files.read_json_lines(spark, str(tmp_path / "rows"), "n long, t string")
