@@ -69,9 +69,9 @@ class Blocks:
     def block(f: np.ndarray, lo: int, hi: int) -> np.ndarray:
         return ((f >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)).astype(np.int64)
 
-    def near(self, f: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(index in f, index here) of all pairs of fingerprints within the radius."""
-        seen: set[int] = set()
+    def near(self, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index in f, index here) of all pairs of fingerprints within the radius, each once."""
+        found = [np.zeros(0, np.int64)]
         total = len(self.print)
         for (order, starts), lo, hi in zip(self.tables, self.edges, self.edges[1:]):
             v = self.block(f, lo, hi)
@@ -84,10 +84,9 @@ class Blocks:
             offset = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
             right = order[np.repeat(starts[v[hit]], n) + offset]
             ok = np.bitwise_count(f[left] ^ self.print[right]) <= self.radius
-            for x, y in zip(left[ok].tolist(), right[ok].tolist()):
-                if (k := x * total + y) not in seen:
-                    seen.add(k)
-                    yield x, y
+            found.append(left[ok] * total + right[ok])
+        pairs = np.unique(np.concatenate(found))
+        return pairs // max(total, 1), pairs % max(total, 1)
 
 
 class Weights:
@@ -97,9 +96,10 @@ class Weights:
         self.of = {w: max(1, round(4 * (math.log2((items + 1) / n) + 1))) for w, n in df.items()}
         self.top, self.flat = round(4 * (math.log2(items + 1) + 1)), flat
         self.rows: dict[str, int] = {}
-        self.matrix = np.zeros((1024, 64), np.int16)
+        self.matrix, self.hash, self.weight = np.zeros((1024, 64), np.int16), np.zeros(1024, np.uint64), np.zeros(1024, np.int64)
 
-    def signs(self, t: list[str]) -> np.ndarray:
+    def ids(self, t: list[str]) -> np.ndarray:
+        """Rows of the tokens in matrix, hash and weight."""
         if len(self.rows) > 200_000:
             self.rows.clear()
         ids = np.empty(len(t), np.int64)
@@ -108,17 +108,29 @@ class Weights:
             if r is None:
                 r = self.rows[w] = len(self.rows)
                 if r == len(self.matrix):
-                    self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-                bits = np.unpackbits(np.frombuffer(xxhash.xxh3_64_digest(w), np.uint8))
-                self.matrix[r] = (bits.astype(np.int16) * 2 - 1) * (1 if self.flat else self.of.get(w, self.top))
+                    self.matrix, self.hash, self.weight = (np.concatenate([x, np.zeros_like(x)]) for x in (self.matrix, self.hash, self.weight))
+                digest = xxhash.xxh3_64_digest(w)
+                bits = np.unpackbits(np.frombuffer(digest, np.uint8))
+                self.weight[r] = self.of.get(w, self.top)
+                self.hash[r] = int.from_bytes(digest)
+                self.matrix[r] = (bits.astype(np.int16) * 2 - 1) * (1 if self.flat else self.weight[r])
             ids[k] = r
-        return self.matrix[ids]
+        return ids
 
-    def sums(self, t: list[str]) -> np.ndarray:
-        out = np.zeros((len(t) + 1, 64), np.int32)
-        np.cumsum(self.signs(t), axis=0, dtype=np.int32, out=out[1:])
+    def sums(self, ids: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(ids) + 1, 64), np.int32)
+        np.cumsum(self.matrix[ids], axis=0, dtype=np.int32, out=out[1:])
         return out
 
+    def shingles(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and weight of the shingle that starts at each token."""
+        n = max(len(ids) - SHINGLE + 1, 0)
+        hashes, weights, own, w = np.zeros(n, np.uint64), np.zeros(n, np.int64), self.hash[ids], self.weight[ids]
+        for k in range(SHINGLE if n else 0):
+            hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n]
+            weights += w[k : k + n]
+        return hashes, weights
+
     def similarity(self, a: tuple[str, ...], b: tuple[str, ...]) -> float:
         """Weighted Jaccard of the shingles; a shingle weighs what its tokens weigh."""
         if a == b:
@@ -138,10 +150,10 @@ def prints(sums: np.ndarray, window: int) -> np.ndarray:
 
 
 def sizes(least: int, most: int) -> list[int]:
-    """Window sizes from ``least`` on, each a seventh longer than the one before."""
+    """Window sizes from ``least`` on, each a third longer than the one before."""
     out = [least]
     while out[-1] < most:
-        out.append(max(out[-1] + 1, out[-1] * 8 // 7))
+        out.append(out[-1] * 4 // 3)
     return out
 
 
@@ -160,7 +172,10 @@ class ItemIndex:
             n = max(g for g in grid if g <= len(t))
             for k in sorted({0, len(t) - n}) if sized else range(len(t) - n + 1):
                 held[n].append((i, tuple(t[k : k + n])))
-        self.by_size = {n: (Blocks(np.concatenate([prints(weights.sums(list(w)), n) for _, w in own]), radius), own) for n, own in sorted(held.items())}
+        ids = {w: weights.ids(list(w)) for own in held.values() for _, w in own}
+        self.by_size = {n: (Blocks(np.concatenate([prints(weights.sums(ids[w]), n) for _, w in own]), radius), own) for n, own in sorted(held.items())}
+        #: hashes of all shingles of the windows
+        self.known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(weights.shingles(i)[0] for i in ids.values())]))
 
 
 def search(docs: list[tuple[int, str]], indexes: Iterable[ItemIndex], by_sign: bool, window: int, weights: Weights, least: float, plain: bool) -> dict[tuple[int, int], list]:
@@ -180,26 +195,34 @@ def search(docs: list[tuple[int, str]], indexes: Iterable[ItemIndex], by_sign: b
             stream += t
             owner.append(np.full(len(t), n))
     of = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-    summed: dict[int, np.ndarray] = {}
+    kept: dict[int, tuple] = {}
     for index in indexes:
         over = max(index.by_size, default=0)
         for at in range(0, len(stream) - window + 1, CHUNK):
             part = stream[at : at + CHUNK + over - 1]
             # the running sums of a chunk serve every size and, while the chunks are as long, every block of items
-            own = summed.get(at)
-            if own is None or len(own) < len(part) + 1:
-                own = weights.sums(part)
+            own = kept.get(at)
+            if own is None or len(own[0]) < len(part) + 1:
+                ids = weights.ids(part)
+                own = (weights.sums(ids), *weights.shingles(ids))
                 if len(stream) <= 4 * CHUNK:
-                    summed[at] = own
+                    kept[at] = own
+            sums, hashes, weight = own
+            # weight up to each token of all shingles, and of those some item has: a window can be no more alike than the latter's part
+            every = np.concatenate([[0], np.cumsum(weight)])
+            some = np.concatenate([[0], np.cumsum(np.where(np.isin(hashes, index.known), weight, 0))])
             for size, (blocks, windows) in index.by_size.items():
                 end = min(len(part), CHUNK + size - 1)
                 if end < size:
                     continue
                 whole = of[at : at + end - size + 1] == of[at + size - 1 : at + end]
                 place = np.flatnonzero(whole)
+                left, right = blocks.near(prints(sums[: end + 1], size)[place])
+                left = place[left]
+                stop = left + size - SHINGLE + 1
+                able = some[stop] - some[left] >= (every[stop] - every[left]) * least - 1e-6
                 hits: dict[tuple[int, int], tuple[float, bool]] = {}
-                for x, y in blocks.near(prints(own[: end + 1], size)[place]):
-                    x = int(place[x])
+                for x, y in zip(left[able].tolist(), right[able].tolist()):
                     mine, (item, theirs) = tuple(part[x : x + size]), windows[y]
                     s = weights.similarity(mine, theirs)
                     if s >= least:
@@ -230,7 +253,7 @@ def leaked_items(
 def near_items(documents: DataFrame, items: DataFrame, window: int = 12, sign_window: int = 20, radius: int = 7, min_similarity: float = 0.8) -> DataFrame:
     """(doc_id, item_id, windows, exact_windows, similarity) for documents that hold the first or last tokens of an item with small edits.
 
-    A window has as many tokens as the largest window size the item reaches (seven eighths of it at least); similarity is the
+    A window has as many tokens as the largest window size the item reaches (three quarters of it at least); similarity is the
     weighted one of five-token shingles. Fingerprints weigh all tokens alike, so that one rare word replaced does not
     move them beyond the radius: in the tests at least 0.9 of what brute force finds is found. Odd rows count as in leaked_items.
     """
