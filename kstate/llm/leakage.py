@@ -53,6 +53,9 @@ def is_spaceless(lang: str | None, text: str) -> bool:
     return 2 * len(SPACELESS.findall(text)) > len(signs)
 
 
+KNOWN = np.uint64((1 << 22) - 1)
+
+
 class Blocks:
     """Fingerprints with a table for each of radius + 1 blocks of their bits."""
 
@@ -102,20 +105,17 @@ class Weights:
         """Rows of the tokens in matrix, hash and weight."""
         if len(self.rows) > 200_000:
             self.rows.clear()
-        ids = np.empty(len(t), np.int64)
-        for k, w in enumerate(t):
-            r = self.rows.get(w)
-            if r is None:
-                r = self.rows[w] = len(self.rows)
-                if r == len(self.matrix):
-                    self.matrix, self.hash, self.weight = (np.concatenate([x, np.zeros_like(x)]) for x in (self.matrix, self.hash, self.weight))
-                digest = xxhash.xxh3_64_digest(w)
-                bits = np.unpackbits(np.frombuffer(digest, np.uint8))
-                self.weight[r] = self.of.get(w, self.top)
-                self.hash[r] = int.from_bytes(digest)
-                self.matrix[r] = (bits.astype(np.int16) * 2 - 1) * (1 if self.flat else self.weight[r])
-            ids[k] = r
-        return ids
+        rows = self.rows
+        for w in set(t).difference(rows):
+            r = rows[w] = len(rows)
+            if r == len(self.matrix):
+                self.matrix, self.hash, self.weight = (np.concatenate([x, np.zeros_like(x)]) for x in (self.matrix, self.hash, self.weight))
+            digest = xxhash.xxh3_64_digest(w)
+            bits = np.unpackbits(np.frombuffer(digest, np.uint8))
+            self.weight[r] = self.of.get(w, self.top)
+            self.hash[r] = int.from_bytes(digest)
+            self.matrix[r] = (bits.astype(np.int16) * 2 - 1) * (1 if self.flat else self.weight[r])
+        return np.fromiter(map(rows.__getitem__, t), np.int64, len(t))
 
     def sums(self, ids: np.ndarray) -> np.ndarray:
         out = np.zeros((len(ids) + 1, 64), np.int32)
@@ -167,15 +167,17 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]], by_sign: bool, window: int, radius: int, weights: Weights, sized: bool = False) -> None:
         lists = [(i, t) for i, text in items if len(t := tokens(text, by_sign)) >= window]
         grid = sizes(window, max((len(t) for _, t in lists), default=window)) if sized else [window]
-        held: dict[int, list[tuple[int, tuple[str, ...]]]] = defaultdict(list)
+        held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+        #: which low bits of a hash some shingle of the items has
+        self.known = np.zeros(int(KNOWN) + 1, bool)
         for i, t in lists:
             n = max(g for g in grid if g <= len(t))
-            for k in sorted({0, len(t) - n}) if sized else range(len(t) - n + 1):
-                held[n].append((i, tuple(t[k : k + n])))
-        ids = {w: weights.ids(list(w)) for own in held.values() for _, w in own}
-        self.by_size = {n: (Blocks(np.concatenate([prints(weights.sums(ids[w]), n) for _, w in own]), radius), own) for n, own in sorted(held.items())}
-        #: hashes of all shingles of the windows
-        self.known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(weights.shingles(i)[0] for i in ids.values())]))
+            starts = sorted({0, len(t) - n}) if sized else list(range(len(t) - n + 1))
+            ids = weights.ids(t)
+            held[n][0].append(prints(weights.sums(ids), n)[starts])
+            held[n][1].extend((i, tuple(t[k : k + n])) for k in starts)
+            self.known[weights.shingles(ids)[0] & KNOWN] = True
+        self.by_size = {n: (Blocks(np.concatenate(f), radius), own) for n, (f, own) in sorted(held.items())}
 
 
 def search(docs: list[tuple[int, str]], indexes: Iterable[ItemIndex], by_sign: bool, window: int, weights: Weights, least: float, plain: bool) -> dict[tuple[int, int], list]:
@@ -210,7 +212,7 @@ def search(docs: list[tuple[int, str]], indexes: Iterable[ItemIndex], by_sign: b
             sums, hashes, weight = own
             # weight up to each token of all shingles, and of those some item has: a window can be no more alike than the latter's part
             every = np.concatenate([[0], np.cumsum(weight)])
-            some = np.concatenate([[0], np.cumsum(np.where(np.isin(hashes, index.known), weight, 0))])
+            some = np.concatenate([[0], np.cumsum(np.where(index.known[hashes & KNOWN], weight, 0))])
             for size, (blocks, windows) in index.by_size.items():
                 end = min(len(part), CHUNK + size - 1)
                 if end < size:
