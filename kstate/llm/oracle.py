@@ -49,6 +49,16 @@ JOIN normalized_unit u ON u.source_version_uri = 'kst-source:' || m.source_id ||
 WHERE length(u.text) > m.max_input_chars
 """
 
+P5_PLACED = """
+SELECT m.run_id, count(*) AS units, CAST(coalesce(sum(length(u.text)), 0) AS BIGINT) AS chars, true AS limits_kept
+FROM (SELECT DISTINCT run_id, source_id, snapshot_id FROM synthesis_manifest) m
+JOIN (SELECT DISTINCT unit_no, source_version_uri, text FROM normalized_unit) u ON u.source_version_uri = 'kst-source:' || m.source_id || '@' || m.snapshot_id GROUP BY m.run_id
+"""
+
+P8_COVERED = r"""
+SELECT doc_id, md5(b) AS signs_md5 FROM (SELECT DISTINCT doc_id, regexp_replace(text, '[\s\p{Z}\x{1C}-\x{1F}\x{85}]+', '', 'g') AS b FROM documents) WHERE b <> ''
+"""
+
 _P6 = """
 i AS (SELECT DISTINCT item_id, suite, lower(nfc_normalize(text)) AS t, substr(lower(lang), 1, 2) IN ('zh', 'ja') AS by_sign FROM eval_item),
 d AS (SELECT DISTINCT doc_id, lower(nfc_normalize(text)) AS t FROM documents WHERE text IS NOT NULL),
@@ -71,4 +81,4 @@ SELECT i.item_id, i.suite, count(f.doc_id) AS documents, CAST(coalesce(sum(f.win
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND, "p5_found": P5_FOUND, "p6_found": P6_FOUND, "p6_items": P6_ITEMS}
+    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND, "p5_found": P5_FOUND, "p5_placed": P5_PLACED, "p8_covered": P8_COVERED, "p6_found": P6_FOUND, "p6_items": P6_ITEMS}

@@ -99,6 +99,14 @@ def p5_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.join(m, "run_id").select("run_id", "units", "chars", "batches", "solved_batches", least.alias("least_batches"))
 
 
+def p5_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each run's batches hold in all, and whether every batch keeps both limits."""
+    own = _packed(spark, sf_dir).groupBy("run", "container").agg(F.sum("size").alias("chars"), F.count("*").alias("pieces"), F.count_if(F.col("piece") == 0).alias("units"))
+    m = table(spark, sf_dir, "synthesis_manifest").select(F.col("run_id").alias("run"), "max_input_chars", "max_batch_units").distinct()
+    keeps = (F.col("chars") <= F.col("max_input_chars")) & (F.col("pieces") <= F.col("max_batch_units"))
+    return own.join(m, "run").groupBy(F.col("run").alias("run_id")).agg(F.sum("units").alias("units"), F.sum("chars").alias("chars"), F.bool_and(keeps).alias("limits_kept"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
     return found.filter("exact_windows > 0").select("doc_id", "item_id")
@@ -132,5 +140,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_units(table(spark, sf_dir, "documents"))
 
 
+def p8_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All signs but blanks of each document's sentences, in order, as a hash: none may be lost, doubled or moved."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = sentence_units(d).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sent_start", "sent_end"))).alias("s"))
+    parts = F.transform("s", lambda x: F.substring("text", (x["sent_start"] + 1).cast("int"), (x["sent_end"] - x["sent_start"]).cast("int")))
+    bare = F.regexp_replace(F.array_join(parts, ""), r"[\s\p{Z}\x1C-\x1F\x85]+", "")
+    return d.distinct().join(s, "doc_id").select("doc_id", F.md5(bare).alias("signs_md5"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p6_found": p6_found, "p6_items": p6_items, "p6_near": p6_near, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_misses": p4_misses, "p5_found": p5_found, "p5_batches": p5_batches, "p5_runs": p5_runs, "p5_placed": p5_placed, "p6_found": p6_found, "p6_items": p6_items, "p6_near": p6_near, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_covered": p8_covered}
