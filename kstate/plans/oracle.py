@@ -208,6 +208,11 @@ f AS (SELECT run_id, unit_no, rn, 1 AS b, n AS chars, 1 AS k FROM u WHERE rn = 1
   UNION ALL SELECT u.run_id, u.unit_no, u.rn, CASE WHEN k >= 12 OR chars + 1 + n > room THEN b + 1 ELSE b END, CASE WHEN k >= 12 OR chars + 1 + n > room THEN n ELSE chars + 1 + n END, CASE WHEN k >= 12 OR chars + 1 + n > room THEN 1 ELSE k + 1 END
   FROM f JOIN u ON u.run_id = f.run_id AND u.rn = f.rn + 1)
 SELECT run_id, unit_no, 'b' || lpad(CAST(b AS VARCHAR), 4, '0') AS batch_id FROM f"""
+    q["offline_concepts"] = f"""WITH RECURSIVE {RUN_UNITS}, w AS (SELECT DISTINCT f.run_id, f.b, f.unit_no, x.w FROM fold f JOIN nu USING (unit_no), LATERAL (SELECT unnest(regexp_extract_all(nu.text, '[\\p{{L}}\\p{{N}}_]+')) AS w) x
+  WHERE regexp_matches(x.w, '^[A-Z]') AND length(x.w) >= 4),
+c AS (SELECT run_id, b, count(*) AS n, count(DISTINCT w) AS names FROM w GROUP BY ALL), a AS (SELECT DISTINCT run_id, b FROM fold)
+SELECT run_id, 'b' || lpad(CAST(b AS VARCHAR), 4, '0') AS batch_id, 'summary' AS candidate_type, 1 AS n, 0 AS names FROM a
+UNION ALL SELECT run_id, 'b' || lpad(CAST(b AS VARCHAR), 4, '0'), 'concept', n, names FROM c UNION ALL SELECT run_id, 'b' || lpad(CAST(b AS VARCHAR), 4, '0'), 'relation', n - 1, 0 FROM c WHERE n > 1"""
     q["candidate_ids"] = f"""SELECT run_id, candidate_no, batch_id || '-' || CASE candidate_type WHEN 'summary' THEN 's' WHEN 'concept' THEN 'c' WHEN 'claim' THEN 'q' ELSE 'r' END
   || lpad(CAST(row_number() OVER (PARTITION BY run_id, batch_id, candidate_type ORDER BY candidate_no) AS VARCHAR), 4, '0') AS candidate_id FROM ({CAND})"""
     q["evidence_violations"] = f"""

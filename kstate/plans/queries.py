@@ -320,6 +320,15 @@ def offline_candidates(spark: SparkSession, d: str) -> DataFrame:
     return S.candidate_counts(c)
 
 
+@query
+def offline_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """Summaries, concepts and relations of the offline provider in each batch; claims are left to the tests, SQL cannot tell sentences."""
+    u = run_units(spark, d)
+    req = S.requests(u.join(S.ordered_batches(u), ["run_id", "unit_no"]))
+    c = S.parse_answers(S.call_provider(req, S.OfflineProvider())).filter("candidate_type <> 'claim'")
+    return c.groupBy("run_id", "batch_id", "candidate_type").agg(F.count("*").alias("n"), F.countDistinct("name").alias("names"))
+
+
 @query
 def offline_evidence(spark: SparkSession, d: str) -> DataFrame:
     u = run_units(spark, d)

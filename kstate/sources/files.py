@@ -89,6 +89,8 @@ def fetch_http(url: str, to: Path, max_bytes: int = MAX_BYTES, timeout: float =
     if max_bytes <= 0:
         raise KStateError("the size limit must be positive")
     parts = urlsplit(url)
+    if parts.scheme.lower() not in ("http", "https"):
+        raise KStateError(f"{parts.scheme!r} is no http scheme")
     if parts.username or parts.password:
         raise KStateError("credentials in a URL are refused")
     done = 0
@@ -134,6 +136,10 @@ def acquire(source_id: str, locator: str, root: Path, provider: str = "auto", re
             seen = fetch_http(locator, artifact, max_bytes)
         else:
             src = local_path(locator)
+            # the artifact keeps the name of its source
+            seen = {"source_name": src.name or "source"}
+            artifact = work / "payload" / seen["source_name"]
+            artifact.parent.mkdir()
             if src.is_dir() and not src.is_symlink():
                 if root.resolve().is_relative_to(src.resolve()):
                     raise KStateError("the output lies inside the source")
@@ -143,7 +149,7 @@ def acquire(source_id: str, locator: str, root: Path, provider: str = "auto", re
             else:
                 raise KStateError(f"no file, folder or link at {locator}")
         shape = "git" if kind == "git" else "symlink" if artifact.is_symlink() else "directory" if artifact.is_dir() else "file"
-        receipt = {"schema_version": 1, "stage": "acquire", "source_id": source_id, "provider": kind, "locator": locator, "acquired_at": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "artifact": {"path": "artifact", "kind": shape}, "observations": seen}
+        receipt = {"schema_version": 1, "stage": "acquire", "source_id": source_id, "provider": kind, "locator": locator, "acquired_at": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "artifact": {"path": artifact.relative_to(work).as_posix(), "kind": shape}, "observations": seen}
         if ref:
             receipt["requested_ref"] = ref
         write_manifest(work / "receipt.json", receipt)

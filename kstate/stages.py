@@ -147,7 +147,7 @@ def snapshot(store: Store, source_id: str) -> dict:
     ident = files.snapshot_id(lock, before)
     final = store.folder("snapshot", source_id, ident)
     manifest = {
-        "source_id": source_id, "snapshot_id": ident, "artifact": {"path": "artifact", "kind": receipt["artifact"]["kind"]}, "fingerprint": before, "version_lock": lock,
+        "source_id": source_id, "snapshot_id": ident, "artifact": {"path": "artifact", "kind": receipt["artifact"]["kind"]}, "fingerprint": before, "version_lock": lock, "source_name": receipt["observations"].get("source_name") or source_id,
         "receipt_sha256": hashlib.sha256((place / "receipt.json").read_bytes()).hexdigest(),
     }
     if final.exists():
@@ -198,7 +198,7 @@ def classified(store: Store, source_id: str, ident: str) -> DataFrame:
     single = manifest["artifact"]["kind"] == "file"
     content = files.read_files(store.spark, str(artifact)) if not single else store.spark.read.format("binaryFile").load(str(artifact)).select(F.lit(".").alias("path"), "content")
     # a single file is known by the name it was acquired under
-    name = Path(files.read_manifest(store.root / "acquired" / source_id / "receipt.json")["locator"]).name if single else None
+    name = manifest["source_name"] if single else None
     found = entries.filter("kind = 'file'").select("path", "kind", "target").join(content.select("path", "content"), "path", "left")
     shown = found.withColumn("at", F.col("path")).withColumn("path", F.lit(name) if single else F.col("path"))
     c = C.classify_files(shown).withColumn("path", F.col("at")).withColumn("entry_kind", F.lit("file")).select(*ENTRY)
