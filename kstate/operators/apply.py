@@ -11,6 +11,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,16 +137,39 @@ class Fold:
         return [row["internal_id"]]
 
 
-def _fold_group(group: pd.DataFrame) -> pd.DataFrame:
-    kind = group["object_type"].iloc[0]
-    f = Fold(kind, [json.loads(r) for r in group.loc[group["number"] == 0, "body"]])
-    out = []
-    for body in group.loc[group["number"] > 0].sort_values("number")["body"]:
-        op = json.loads(body)
-        op["payload"] = json.loads(op["payload"])
-        out.append((kind, None, op["operation_id"], f.apply(op)))
-    out += [(kind, canonical_json(r), None, None) for r in f.rows.values()]
-    return pd.DataFrame(out, columns=["object_type", "row", "result_of", "result_ids"])
+def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Folds rows sorted by type, group and number, a group after the other: its state (number 0) first, then its operations.
+
+    Only the state of one group is held; operations stream by.
+    """
+    names = [f.split()[0] for f in FOLD_SCHEMA.split(", ")]
+    types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string())]
+    at, fold, out = None, None, []
+
+    def close() -> None:
+        out.extend((fold.kind, canonical_json(r), None, None) for r in fold.rows.values())
+
+    def batch() -> pa.RecordBatch:
+        cols = list(zip(*out)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+
+    for b in batches:
+        for kind, group, number, body in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if (kind, group) != at:
+                if fold is not None:
+                    close()
+                at, fold = (kind, group), Fold(kind, [])
+            row = json.loads(body)
+            if number == 0:
+                fold.rows[row["internal_id"]] = row
+            else:
+                row["payload"] = json.loads(row["payload"])
+                out.append((kind, None, row["operation_id"], fold.apply(row)))
+        yield batch()
+        out.clear()
+    if fold is not None:
+        close()
+        yield batch()
 
 
 def translate(operations: DataFrame) -> DataFrame:
@@ -190,7 +214,8 @@ def apply_operations(state: dict[str, DataFrame], operations: DataFrame) -> tupl
         rest[t] = s.join(groups, "id", "left_anti").drop("id")
         inside = s.join(groups, "id").select(F.lit(t).alias("object_type"), F.lit(0).cast("bigint").alias("number"), F.to_json(F.struct(*[c for c in state[t].columns]), {"ignoreNullFields": "false"}).alias("body"), "group")
         work = work.unionByName(inside)
-    folded = cut(work.groupBy("object_type", "group").applyInPandas(_fold_group, FOLD_SCHEMA))
+    keys = ["object_type", "group"]
+    folded = cut(work.select(*keys, "number", "body").repartition(*keys).sortWithinPartitions(*keys, "number").mapInArrow(_fold_rows, FOLD_SCHEMA))
     out = {}
     for t in TYPES:
         new = folded.filter((F.col("object_type") == t) & F.col("row").isNotNull()).select(F.from_json("row", SCHEMAS[t]).alias("r")).select("r.*")
