@@ -160,7 +160,12 @@ y AS (SELECT k.doc_id, k.extension, k.format, f.media_type, f.family, f.route, C
 UNION ALL SELECT 'family', family, count(*) FROM y GROUP BY ALL UNION ALL SELECT 'format', format, count(*) FROM y GROUP BY ALL"""
     q["text_probe"] = """
 WITH t AS (SELECT doc_id, length(source_path) % 3 AS c, coalesce(text, '') || repeat(chr(1), CAST(length(source_path) % 3 AS INT)) AS t FROM documents)
-SELECT doc_id, c AS controls, CASE WHEN t = '' THEN 'empty' WHEN c <= greatest(1, length(t) // 100) THEN 'utf-8' END AS encoding FROM t"""
+SELECT doc_id, c AS controls, CASE WHEN doc_id % 7 = 0 THEN CASE WHEN t = '' THEN 'empty' ELSE 'utf-16' END WHEN doc_id % 11 = 0 THEN 'utf-8-sig' WHEN doc_id % 13 = 0 THEN NULL
+  WHEN t = '' THEN 'empty' WHEN c <= greatest(1, length(t) // 100) THEN 'utf-8' END AS encoding FROM t"""
+    q["tree_rows"] = """
+WITH e AS (SELECT doc_id % 3 AS k, concat_ws('/', source_path, CAST(doc_id AS VARCHAR)) AS path, source_path FROM documents WHERE doc_id % 3 > 0)
+SELECT path, CASE WHEN k = 1 THEN 'directory' ELSE 'symlink' END AS kind, CASE WHEN k = 2 AND source_path IS NOT NULL THEN '{"target":' || to_json(source_path) || '}' ELSE '{}' END AS data,
+  '{"path":' || to_json(path) || '}' AS native_locator, CASE WHEN k = 2 THEN 'symlink-not-dereferenced' ELSE '' END AS diagnostics FROM e"""
     q["zip_members"] = """
 WITH d AS (SELECT doc_id || '.zip' AS path, text FROM documents WHERE text IS NOT NULL)
 SELECT path, 'a.txt' AS member, 'archive-member' AS kind, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size FROM d
@@ -274,6 +279,10 @@ SELECT 'op' || lpad(CAST(n AS VARCHAR), 6, '0') AS operation_id, fault FROM n JO
     q["provisional_ids"] = f"""WITH {PLAN}, p AS (SELECT qo.o, 'urn:kst:claim:sha256-' || sha256('{{"descriptor":{{"candidate_id":"' || qo.o || '","evidence_anchors":' || {_strings('cand.evidence_anchors')} || ',"statement":' || {_literal('cand.statement')} || '}},"object_type":"claim"}}') AS id
   FROM qo JOIN cand ON cand.candidate_no = qo.o WHERE operation = 'create')
 SELECT o AS ordinal, id AS provisional_internal_id, 'urn:kst:identity:claim:sha256-' || sha256('{{"basis":"kst-identity-v1","object_type":"claim","provisional":"' || id || '"}}') AS final_id FROM p"""
+    q["translated_ids"] = f"""WITH {PLAN}, p AS (SELECT qo.o, 'urn:kst:claim:sha256-' || sha256('{{"descriptor":{{"candidate_id":"' || qo.o || '","evidence_anchors":' || {_strings('cand.evidence_anchors')} || ',"statement":' || {_literal('cand.statement')} || '}},"object_type":"claim"}}') AS id
+  FROM qo JOIN cand ON cand.candidate_no = qo.o WHERE operation IN ('create', 'contradict')),
+f AS (SELECT o, 'urn:kst:identity:claim:sha256-' || sha256('{{"basis":"kst-identity-v1","object_type":"claim","provisional":"' || id || '"}}') AS id FROM p)
+SELECT qo.o AS ordinal, operation, a.id AS final_id, b.id AS merged_into, b.id AS survivor FROM qo LEFT JOIN f a ON a.o = qo.o LEFT JOIN f b ON qo.operation = 'merge' AND b.o = qo.first"""
     slug = r"trim(regexp_replace(replace(lower(nfc_normalize(coalesce(co.name, ''))), 'ß', 'ss'), '[^\p{L}\p{N}]+', '-', 'g'), '-')"
     q["path_proposals"] = f"""WITH {PLAN}, n AS (SELECT co.o, {slug} AS slug, sha256('{{"descriptor":{{"candidate_id":"' || co.o || '","description":' || {_literal('co.description')} || ',"evidence_anchors":' || {_strings('cand.evidence_anchors')} || ',"name":' || {_literal('co.name')} || '}},"object_type":"concept"}}') AS h
   FROM co JOIN cand ON cand.candidate_no = co.o WHERE operation = 'create'),

@@ -143,8 +143,19 @@ def classify_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def text_probe(spark: SparkSession, d: str) -> DataFrame:
+    """Control characters and encoding of each text, some with a mark of UTF-16 or UTF-8, some behind bytes no text has."""
     t = documents(spark, d).select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.repeat(F.lit("\x01"), (F.length("source_path") % 3).cast("int"))).alias("t"))
-    return t.select("doc_id", C.control_characters(F.col("t")).alias("controls"), C.text_encoding(F.substring(F.encode("t", "UTF-8"), 1, C.PROBE_BYTES)).alias("encoding"))
+    plain, k = F.encode("t", "UTF-8"), F.col("doc_id")
+    content = F.when(k % 7 == 0, F.encode("t", "UTF-16")).when(k % 11 == 0, F.concat(F.unhex(F.lit("EFBBBF")), plain)).when(k % 13 == 0, F.concat(F.unhex(F.lit("FF00")), plain)).otherwise(plain)
+    return t.select("doc_id", C.control_characters(F.col("t")).alias("controls"), C.text_encoding(F.substring(content, 1, C.PROBE_BYTES)).alias("encoding"))
+
+
+@query
+def tree_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Units of folders and links among the entries of a tree."""
+    k = F.col("doc_id") % 3
+    e = documents(spark, d).select(F.concat_ws("/", "source_path", F.col("doc_id").cast("string")).alias("path"), F.when(k == 0, "file").when(k == 1, "directory").otherwise("symlink").alias("kind"), F.when(k == 2, F.col("source_path")).alias("target"))
+    return X.tree_units(e).select("path", "kind", "data", "native_locator", F.array_join("diagnostics", ",").alias("diagnostics"))
 
 
 # -- extraction ---------------------------------------------------------------------------------------
@@ -610,6 +621,13 @@ def provisional_ids(spark: SparkSession, d: str) -> DataFrame:
     return claim_operations(spark, d).filter("operation = 'create'").select("ordinal", "provisional_internal_id", P.final_id(F.lit("claim"), F.col("provisional_internal_id")).alias("final_id"))
 
 
+@query
+def translated_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Final ids of the claims an operation makes, and of those it merges into."""
+    t = A.translate(operation_log(spark, d)).filter("object_type = 'claim'")
+    return t.select("ordinal", "operation", "final_id", F.when(F.col("operation") == "merge", F.get("target_internal_ids", F.lit(0))).alias("merged_into"), F.when(F.col("operation") == "merge", F.col("survivor_internal_id")).alias("survivor"))
+
+
 @query
 def slugs(spark: SparkSession, d: str) -> DataFrame:
     return concept_candidates(spark, d).select("candidate_no", slug(F.col("name")).alias("slug"))

@@ -62,6 +62,17 @@ def test_stages_repeat_without_change(made):
     assert run(parser().parse_args(["--root", str(store.root), "normalize", *who[:2]]), store.spark).startswith('{"identity":["paper"')
 
 
+def test_run_ids_do_not_depend_on_partitions(made):
+    store, who, _ = made
+    try:
+        store.spark.conf.set("spark.sql.shuffle.partitions", "1")
+        assert stages.resolve(store, *who[:3])["run_id"] == who[3]
+        store.spark.conf.set("spark.sql.shuffle.partitions", "9")
+        assert stages.plan(store, *who[:4])["run_id"] == who[4]
+    finally:
+        store.spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.mark.parametrize("stage,parts,table,reader", [
     ("snapshot", 2, "entries", lambda s, w: stages.classify(s, *w[:2])), ("extract", 2, "units", lambda s, w: stages.normalize(s, *w[:2])),
     ("normalize", 2, "units", lambda s, w: stages.synthesize(s, *w[:2], S.OfflineProvider())), ("synthesize", 3, "candidates", lambda s, w: stages.resolve(s, *w[:3])),
